@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from docloom.llm.ann import nearest
+from docloom.llm.topk import top_k
 from docloom.llm.url_filter import LISTED_WORDS, RULES, url_filter
 
 
@@ -28,5 +31,23 @@ SELECT page_id, host, path, rule,
 FROM f WHERE n = 1
 """
 
-QUERIES = {"op6_url_filter": op6_url_filter}
-ORACLES = {"op6_url_filter": OP6}
+
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, k=20)
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, k=5)
+
+
+OP10 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+QUERIES = {"op6_url_filter": op6_url_filter, "op9_nearest": op9_nearest, "op10_top_k": op10_top_k}
+ORACLES = {"op6_url_filter": OP6, "op10_top_k": OP10}
