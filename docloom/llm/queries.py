@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.ann import nearest
+from docloom.llm.encoding import decode, encode
+from docloom.llm.packing import pack
 from docloom.llm.topk import top_k
 from docloom.llm.url_filter import LISTED_WORDS, RULES, url_filter
 
@@ -14,6 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -32,6 +45,13 @@ FROM f WHERE n = 1
 """
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = tokenizer_file("byte_bpe_50k.tiktoken")
+    coded = encode(table(spark, sf_dir, "documents"), ranks).select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids")
+    back = decode(coded, ranks)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, k=20)
 
@@ -49,5 +69,5 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 5
 """
 
-QUERIES = {"op6_url_filter": op6_url_filter, "op9_nearest": op9_nearest, "op10_top_k": op10_top_k}
+QUERIES = {"op1_pack": op1_pack, "op7_bpe": op7_bpe, "op6_url_filter": op6_url_filter, "op9_nearest": op9_nearest, "op10_top_k": op10_top_k}
 ORACLES = {"op6_url_filter": OP6, "op10_top_k": OP10}
