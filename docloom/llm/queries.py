@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.ann import nearest
 from docloom.llm.encoding import decode, encode
+from docloom.llm.jaccard import jaccard_components
 from docloom.llm.packing import pack
 from docloom.llm.topk import top_k
 from docloom.llm.url_filter import LISTED_WORDS, RULES, url_filter
@@ -27,6 +28,24 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+OP3 = """
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+r(x, y) AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, coalesce(least(w.doc_id, min(r.y)), w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.x = w.doc_id GROUP BY w.doc_id
+"""
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -69,5 +88,5 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 5
 """
 
-QUERIES = {"op1_pack": op1_pack, "op7_bpe": op7_bpe, "op6_url_filter": op6_url_filter, "op9_nearest": op9_nearest, "op10_top_k": op10_top_k}
-ORACLES = {"op6_url_filter": OP6, "op10_top_k": OP10}
+QUERIES = {"op1_pack": op1_pack, "op3_jaccard": op3_jaccard, "op7_bpe": op7_bpe, "op6_url_filter": op6_url_filter, "op9_nearest": op9_nearest, "op10_top_k": op10_top_k}
+ORACLES = {"op3_jaccard": OP3, "op6_url_filter": OP6, "op10_top_k": OP10}
