@@ -10,6 +10,7 @@ from docloom.llm.encoding import decode, encode
 from docloom.llm.jaccard import jaccard_components
 from docloom.llm.packing import pack
 from docloom.llm.topk import top_k
+from docloom.llm.toxicity import fit, held_out, score
 from docloom.llm.url_filter import LISTED_WORDS, RULES, url_filter
 
 
@@ -71,6 +72,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs.select("doc_id", "text"), fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence")
+
+
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, k=20)
 
@@ -88,5 +95,5 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 5
 """
 
-QUERIES = {"op1_pack": op1_pack, "op3_jaccard": op3_jaccard, "op7_bpe": op7_bpe, "op6_url_filter": op6_url_filter, "op9_nearest": op9_nearest, "op10_top_k": op10_top_k}
+QUERIES = {"op1_pack": op1_pack, "op3_jaccard": op3_jaccard, "op7_bpe": op7_bpe, "op8_toxicity": op8_toxicity, "op6_url_filter": op6_url_filter, "op9_nearest": op9_nearest, "op10_top_k": op10_top_k}
 ORACLES = {"op3_jaccard": OP3, "op6_url_filter": OP6, "op10_top_k": OP10}
