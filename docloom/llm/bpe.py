@@ -8,45 +8,66 @@ themselves. ``PieceCache`` remembers the pieces' ids, since words repeat.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable
+from itertools import filterfalse
 
-import numpy as np
-
-#: Pieces remembered by one Python worker; past it the memory starts anew. It bounds memory, not results.
-REMEMBERED = 700_000
+#: Pieces remembered by one Python worker, the first seen. It bounds memory, not results.
+REMEMBERED = 1_000_000
 CUT = re.compile(r"(?<=\S) (?=\S)")
-WIDE = re.compile(r"\s\s|^\s|\s$")
-
-
-def pieces(text: str) -> list[str]:
-    """The text cut before every single space between two other characters, without these spaces."""
-    return CUT.split(text) if WIDE.search(text) else text.split(" ")
 
 
 class PieceCache:
-    """``ids(texts)``: each text's ids as little-endian unsigned 32-bit integers."""
+    """``ids(texts)``: each text's ids as unsigned 32-bit integers of the machine's (little-endian) order."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
         self.encode = encode
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {"": b""}  # pieces behind a space, without it; "" stands for a text's first piece
+        self.odd: dict[str, bytes] = {}  # pieces as they are: first ones, and all of texts with wider white space
 
     def _learn(self, known: dict[str, bytes], new: list[str], before: str) -> None:
-        known.update(zip(new, (np.array(x, dtype="<u4").tobytes() for x in self.encode([before + w for w in new])), strict=True))
+        known.update(zip(new, (array("I", x).tobytes() for x in self.encode([before + w for w in new])), strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.later) > REMEMBERED:
-            self.later.clear()
-        if len(self.first) > REMEMBERED:
-            self.first.clear()
-        cut = [pieces(t) for t in texts]
-        self._learn(self.first, list({x[0] for x in cut if x[0]} - self.first.keys()), "")
+        known, odd = self.later.__contains__, self.odd
+        cut: list[tuple[bool, list[str]]] = []
         new: set[str] = set()
-        for x in cut:
-            new.update(x[1:])
-        self._learn(self.later, list(new - self.later.keys()), " ")
-        get = self.later.__getitem__
-        return [(self.first[x[0]] if x[0] else b"") + b"".join(map(get, x[1:])) for x in cut]
+        new_odd: set[str] = set()
+        for text in texts:
+            parts = text.split(" ")
+            first, parts[0] = parts[0], ""
+            missing = set(filterfalse(known, parts))
+            plain = "  " not in text and text[:1].strip() and text[-1:].strip() and not first[-1:].isspace()
+            if plain and not any(w[0].isspace() or w[-1].isspace() for w in missing):
+                new |= missing
+                parts[0] = first
+                new_odd.add(first)
+            else:
+                plain, pieces = False, CUT.split(text)
+                parts = [pieces[0], *(f" {w}" for w in pieces[1:])]
+                new_odd.update(parts)
+            cut.append((plain, parts))
+        new_odd.discard("")
+        new_odd = new_odd - odd.keys()
+        bare = {w[:-1] for w in new if w[-1] in ".," and w[:-1].isalpha()}  # these with a stop or comma are two pre-tokens
+        whole = {w for w in new if w[:-1] not in bare or w[-1] not in ".,"} | set(filterfalse(known, bare))
+        self._learn(self.later, list(whole), " ")
+        self._learn(odd, [*new_odd, *({".", ","} - odd.keys() - new_odd)], "")
+        later = self.later
+        later.update({w: later[w[:-1]] + odd[w[-1]] for w in new - whole})
+        out = []
+        for plain, parts in cut:
+            if plain:
+                first, parts[0] = parts[0], ""
+                out.append(odd[first] + b"".join(map(later.__getitem__, parts)))
+            else:
+                out.append(b"".join(odd[w] for w in parts if w))
+        if len(later) > REMEMBERED:
+            for w in new | whole:
+                later.pop(w, None)
+        if len(odd) > REMEMBERED:
+            odd.clear()
+        return out
 
 
 _CACHES: dict[tuple[str, str], PieceCache] = {}
