@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.llm import license_scan as licence
+from docloom.llm import pii
 from docloom.llm.ann import nearest
 from docloom.llm.encoding import decode, encode
 from docloom.llm.jaccard import jaccard_components
+from docloom.llm.line_dedup import line_dedup
 from docloom.llm.packing import pack
 from docloom.llm.topk import top_k
 from docloom.llm.toxicity import fit, held_out, score
@@ -29,6 +32,15 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.annotate(docs, pii.fit(docs))
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    counts = [of(kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(told("base").cast("binary"), 256).alias("base_sha256"), told("spans").alias("spans"))
+
+
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 
@@ -47,6 +59,41 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.x = w.doc_id GROUP BY w.doc_i
 """
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+def op5_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole, lines = licence.known_table(spark, licence.LICENCES), spark.createDataFrame([(v, k) for k, v in licence.NOTICES.items()], "licence string, text string")
+    found = licence.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"), whole, lines)
+    return found.select("doc_id", "digest", "licence", F.array_join("notices", ",").alias("notices"))
+
+
+def _canonical_sql(text: str) -> str:
+    plain = f"trim(regexp_replace(lower(regexp_replace({text}, '{licence.COPYRIGHT}', chr(10), 'g')), '{licence.OTHER}', ' ', 'g'), ' ')"
+    for one, other in licence.SPELLINGS.items():
+        plain = rf"regexp_replace({plain}, '\b{one}\b', '{other}', 'g')"
+    return plain
+
+
+def _known_sql(rows: list[tuple[str, str]]) -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    values = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in rows)
+    return f"(SELECT md5({_canonical_sql('text')}) AS digest, min(licence) AS licence FROM (VALUES {values}) t(licence, text) GROUP BY 1)"
+
+
+OP5 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, md5({_canonical_sql("text")}) AS digest FROM d),
+l AS (SELECT DISTINCT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+n AS (SELECT doc_id, string_agg(DISTINCT k.licence, ',' ORDER BY k.licence) AS notices
+      FROM (SELECT doc_id, md5({_canonical_sql("line")}) AS digest FROM l) x JOIN {_known_sql([(v, k) for k, v in licence.NOTICES.items()])} k USING (digest) GROUP BY doc_id)
+SELECT w.doc_id, w.digest, k.licence, coalesce(n.notices, '') AS notices
+FROM w LEFT JOIN {_known_sql(sorted(licence.LICENCES.items()))} k USING (digest) LEFT JOIN n USING (doc_id)
+"""
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -95,5 +142,16 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 5
 """
 
-QUERIES = {"op1_pack": op1_pack, "op3_jaccard": op3_jaccard, "op7_bpe": op7_bpe, "op8_toxicity": op8_toxicity, "op6_url_filter": op6_url_filter, "op9_nearest": op9_nearest, "op10_top_k": op10_top_k}
-ORACLES = {"op3_jaccard": OP3, "op6_url_filter": OP6, "op10_top_k": OP10}
+QUERIES = {
+    "op1_pack": op1_pack,
+    "op2_pii": op2_pii,
+    "op3_jaccard": op3_jaccard,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_license": op5_license,
+    "op6_url_filter": op6_url_filter,
+    "op7_bpe": op7_bpe,
+    "op8_toxicity": op8_toxicity,
+    "op9_nearest": op9_nearest,
+    "op10_top_k": op10_top_k,
+}
+ORACLES = {"op3_jaccard": OP3, "op5_license": OP5, "op6_url_filter": OP6, "op10_top_k": OP10}
