@@ -1,4 +1,420 @@
 """Registered queries over the library's own operators, with their SQL counterparts."""
 
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docloom.functions import text as X
+from docloom.operators import backfill, parse, search
+from docloom.operators.chunk import chunk, large_cases, line_paragraphs, totals
+from docloom.operators.embed import embed, hashing_embedder
+from docloom.operators.html import Selector, select_texts
+from docloom.operators.points import batches
+from docloom.operators.store import Collection, merge_rows
+from docloom.sources import scans
+from docloom.streaming import loads
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+TERMS = "the that with"
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _chunked(spark: SparkSession, sf_dir: str, target: int) -> DataFrame:
+    docs = scans.read_table(spark, sf_dir, "documents").select("doc_id", line_paragraphs("text").alias("paragraphs"))
+    return chunk(docs, "doc_id", "paragraphs", target)
+
+
+def _paragraph_sql(target: int) -> str:
+    """Paragraphs after long ones are split, with their words; then the greedy walk over their prefix sums."""
+    return rf"""
+l AS (SELECT doc_id, p, list_filter(regexp_split_to_array(line, '[{X.SPACE}]+'), lambda x: x <> '') AS words
+      FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS p FROM documents)),
+s AS (SELECT doc_id, p, k, words[k * {target} + 1:(k + 1) * {target}] AS part FROM (SELECT *, unnest(range(0, (len(words) + {target - 1}) // {target})) AS k FROM l)),
+para AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY p, k) AS i, len(part) AS w, array_to_string(part, ' ') AS t FROM s),
+c AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY i) AS upto, count(*) OVER (PARTITION BY doc_id) AS n FROM para),
+e AS (SELECT a.doc_id, a.i, any_value(a.n) AS n, greatest(a.i, max(b.i)) AS stop FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND (b.i = a.i OR b.upto - a.upto + a.w <= {target}) GROUP BY a.doc_id, a.i),
+walk AS (SELECT doc_id, 0 AS chunk_index, i, stop, n FROM e WHERE i = 1
+         UNION ALL SELECT e.doc_id, w.chunk_index + 1, e.i, e.stop, e.n FROM walk w JOIN e ON e.doc_id = w.doc_id AND e.i = greatest(w.stop, w.i + 1) WHERE w.stop < w.n)"""
+
+
+# ---- scans, filters, sinks
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey = 7 LIMIT 1")
+def s1_point_lookup(spark, sf_dir):
+    return scans.point_lookup(scans.read_table(spark, sf_dir, "orders"), "o_orderkey", 7).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 1")
+def s2_first_row(spark, sf_dir):
+    return scans.first_row(scans.read_table(spark, sf_dir, "orders"), "o_orderkey").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE doc_id > 10 AND text IS NOT NULL ORDER BY doc_id LIMIT 100")
+def s3_keyset_page(spark, sf_dir):
+    return scans.keyset_page(scans.read_table(spark, sf_dir, "documents"), "doc_id", 10, 100, "text").select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@query("SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE doc_id > 20 AND doc_id <= 700 AND text IS NOT NULL")
+def s4_keyset_range(spark, sf_dir):
+    return scans.keyset_range(scans.read_table(spark, sf_dir, "documents"), "doc_id", 20, 700, "text").select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@query("SELECT vec_id, label FROM embeddings WHERE vec_id >= 40 ORDER BY vec_id LIMIT 101")
+def s7_scroll_page(spark, sf_dir):
+    return scans.scroll(scans.read_table(spark, sf_dir, "embeddings"), "vec_id", 40, 100, ["label"])
+
+
+@query("SELECT conv_id, turn, role FROM conversations WHERE text IS NOT NULL AND text <> ''")
+def f2_nonempty(spark, sf_dir):
+    return scans.nonempty(scans.read_table(spark, sf_dir, "conversations"), "text").select("conv_id", "turn", "role")
+
+
+@query("SELECT doc_id, n_chars FROM documents WHERE doc_id > 500")
+def f6_ahead(spark, sf_dir):
+    return scans.ahead(scans.read_table(spark, sf_dir, "documents"), "doc_id", 500).select("doc_id", "n_chars")
+
+
+@query("""SELECT o_orderkey, o_orderstatus AS stored, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS computed FROM orders
+          WHERE o_orderstatus IS DISTINCT FROM CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END""")
+def f8_changed_rows(spark, sf_dir):
+    both = scans.read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("stored"), F.when(F.col("o_orderkey") % 3 == 0, "X").otherwise(F.col("o_orderstatus")).alias("computed"))
+    return scans.changed(both, "stored", "computed")
+
+
+@query("""SELECT o_orderkey, o_totalprice FROM (SELECT o_orderkey, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderkey % 4 = 0
+          UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 4 <> 0)""")
+def k3_upsert(spark, sf_dir):
+    orders = scans.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    new = orders.where("o_orderkey % 4 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    return merge_rows(orders.where("o_orderkey % 2 = 0"), new, "o_orderkey")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'late' ELSE o_orderpriority END AS o_orderpriority FROM orders")
+def k6_set_payload(spark, sf_dir):
+    orders = scans.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docloom-")
+    collection = Collection(spark, f"{base}/collection-{spark.range(1).select(F.uuid().alias('u')).first().u}", "o_orderkey", sort_by=["o_orderkey"])
+    collection.upsert(orders)
+    collection.set_payload(orders.where("o_orderkey % 5 = 0").select("o_orderkey", F.lit("late").alias("o_orderpriority")))
+    return collection.read()
+
+
+@query("SELECT doc_id, CAST(strlen(text) AS BIGINT) AS utf8_bytes FROM documents WHERE text IS NOT NULL")
+def x17_utf8_bytes(spark, sf_dir):
+    return scans.read_table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.octet_length("text").cast("long").alias("utf8_bytes"))
+
+
+@query(f"""WITH RECURSIVE {_paragraph_sql(100)},
+k AS (SELECT w.doc_id, w.chunk_index FROM walk w)
+SELECT doc_id, chunk_index, chunk_index // 25 AS batch FROM k""")
+def k5_batches(spark, sf_dir):
+    found = batches(_chunked(spark, sf_dir, 100), "doc_id", "chunk_index", 8 << 20, 25)
+    return found.select("doc_id", "chunk_index", "batch")
+
+
+# ---- scalars
+
+
+@query(rf"""SELECT doc_id, md5(trim(regexp_replace(CASE doc_id % 3 WHEN 0 THEN replace(text, ' ', chr(160)) WHEN 1 THEN replace(text, ' ', chr(9) || ' ') ELSE text END, '[{X.SPACE}]+', ' ', 'g'), ' ')) AS text_md5 FROM documents""")
+def x1_normalize(spark, sf_dir):
+    odd = F.when(F.col("doc_id") % 3 == 0, F.replace("text", F.lit(" "), F.lit(" "))).when(F.col("doc_id") % 3 == 1, F.replace("text", F.lit(" "), F.lit("\t "))).otherwise(F.col("text"))
+    return scans.read_table(spark, sf_dir, "documents").select("doc_id", F.md5(X.normalize_inline(odd)).alias("text_md5"))
+
+
+def _listed(c: str, by: str) -> Column:
+    return F.replace(F.split(c, "\n")[0], F.lit(" "), F.lit(by))
+
+
+@query("""SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(trim(replace(string_split(text, chr(10))[1], ' ', ', '), ' '), ' ?, ?'), lambda x: x <> ''), '|') AS items FROM documents""")
+def x4_comma_list(spark, sf_dir):
+    return scans.read_table(spark, sf_dir, "documents").select("doc_id", F.array_join(X.comma_list(_listed("text", ", ")), "|").alias("items"))
+
+
+@query("""SELECT doc_id, array_to_string(list_filter(list_transform(regexp_split_to_array(trim(regexp_replace(replace(string_split(text, chr(10))[1], ' ', ' ; '), ' +', ' ', 'g'), ' '), ' ?; ?| {2,}| ?\\| ?| ?, ?'),
+          lambda x: regexp_replace(trim(x, ' '), '^[,;]+|[,;]+$', '', 'g')), lambda x: x <> ''), '#') AS items FROM documents""".replace("\\\\", "\\"))
+def x5_loose_list(spark, sf_dir):
+    return scans.read_table(spark, sf_dir, "documents").select("doc_id", F.array_join(X.loose_list(_listed("text", " ; ")), "#").alias("items"))
+
+
+@query(rf"""WITH t AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '[' || doc_id || '] ' WHEN 1 THEN '(' || doc_id || ')' ELSE doc_id || '. ' END || text AS t FROM documents)
+SELECT doc_id, CAST(regexp_extract(t, '^[\[(]?([0-9]+)[\]).]', 1) AS BIGINT) AS para_no,
+       md5(trim(regexp_replace(regexp_extract(t, '(?s)^[\[(]?[0-9]+[\]).][{X.SPACE}]*(.*)$', 1), '[{X.SPACE}]+', ' ', 'g'), ' ')) AS text_md5 FROM t""")
+def x6_para_number(spark, sf_dir):
+    key = F.col("doc_id").cast("string")
+    front = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("["), key, F.lit("] "))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("("), key, F.lit(")"))).otherwise(F.concat(key, F.lit(". ")))
+    parsed = scans.read_table(spark, sf_dir, "documents").select("doc_id", X.paragraph_number(F.concat(front, F.col("text"))).alias("p"))
+    return parsed.select("doc_id", "p.para_no", F.md5("p.text").alias("text_md5"))
+
+
+@query(rf"SELECT doc_id, len(list_filter(regexp_split_to_array(text, '[{X.SPACE}]+'), lambda x: x <> '')) AS words FROM documents")
+def x7_word_count(spark, sf_dir):
+    return scans.read_table(spark, sf_dir, "documents").select("doc_id", X.word_count("text").cast("long").alias("words"))
+
+
+@query("""SELECT doc_id, md5(concat_ws(chr(10), CASE WHEN source <> '' THEN 'title: ' || source END, CASE WHEN lang <> '' THEN 'court: ' || lang END, 'judges: ' || source || ', ' || lang, 'text: ' || text)) AS sparse_md5 FROM documents""")
+def x9_sparse_text(spark, sf_dir):
+    df = scans.read_table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("title"), F.col("lang").alias("court"), F.array("source", "lang").alias("judges"))
+    return df.select("doc_id", F.md5(X.sparse_text("text", {"title": "title", "court": "court"}, {"judges": "judges"})).alias("sparse_md5"))
+
+
+@query("SELECT l_orderkey * 100000 + l_linenumber AS id, l_orderkey || '_' || l_linenumber AS chunk_id FROM lineitem")
+def x10_point_id(spark, sf_dir):
+    return scans.read_table(spark, sf_dir, "lineitem").select(X.point_id("l_orderkey", "l_linenumber").alias("id"), X.chunk_id("l_orderkey", "l_linenumber").alias("chunk_id"))
+
+
+COURT_SQL = f"CASE WHEN (o_custkey * 100000 + o_orderkey % 100000) // 100000 IN ({', '.join(map(str, X.COURTS))}) THEN (o_custkey * 100000 + o_orderkey % 100000) // 100000 END"
+
+
+def _running(spark, sf_dir):
+    orders = scans.read_table(spark, sf_dir, "orders")
+    return orders.withColumn("running", F.format_number(F.col("o_custkey") * 100000 + F.col("o_orderkey") % 100000, 0))
+
+
+@query(f"SELECT o_orderkey, {COURT_SQL} AS court_id FROM orders")
+def x13_court_id(spark, sf_dir):
+    return _running(spark, sf_dir).select("o_orderkey", X.court_id("running").alias("court_id"))
+
+
+@query("SELECT doc_id, md5(left(coalesce(text, ''), 1500)) AS dense_md5, md5(left(coalesce(text, ''), 1800)) AS hybrid_md5 FROM documents")
+def x15_prefixes(spark, sf_dir):
+    return scans.read_table(spark, sf_dir, "documents").select("doc_id", F.md5(X.prefix("text", 1500)).alias("dense_md5"), F.md5(X.prefix("text", 1800)).alias("hybrid_md5"))
+
+
+@query("SELECT range + 1 AS attempt, CAST(least(2000 * pow(2.0, range), 60000) AS BIGINT) AS delay_ms FROM range(9)")
+def x18_backoff(spark, sf_dir):
+    return spark.range(1, 10).select(F.col("id").alias("attempt"), X.backoff_ms("id", 2000, 60000).alias("delay_ms"))
+
+
+DATE_SQL = "CASE WHEN o_orderkey % 7 = 0 THEN '31 February 1950' ELSE strftime(o_orderdate, '%d %B %Y') END"
+
+
+def _dated(spark, sf_dir):
+    orders = scans.read_table(spark, sf_dir, "orders")
+    return orders.withColumn("date_of_decision", F.when(F.col("o_orderkey") % 7 == 0, "31 February 1950").otherwise(F.date_format("o_orderdate", "dd MMMM yyyy")))
+
+
+@query(f"""SELECT o_orderkey, strftime(try_strptime({DATE_SQL}, '%d %B %Y'), '%Y-%m-%d') AS decision_date, CAST(year(try_strptime({DATE_SQL}, '%d %B %Y')) AS INTEGER) AS decision_year FROM orders""")
+def d1_decision_date(spark, sf_dir):
+    parsed = _dated(spark, sf_dir).select("o_orderkey", X.decision_date("date_of_decision").alias("d"))
+    return parsed.select("o_orderkey", F.date_format("d.decision_date", "yyyy-MM-dd").alias("decision_date"), "d.decision_year")
+
+
+# ---- passages
+
+
+@query(rf"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[{X.SPACE}]+'), lambda x: x <> '') AS words FROM documents)
+SELECT doc_id, window_no, md5(array_to_string(words[window_no * 50 + 1:(window_no + 1) * 50], ' ')) AS text_md5
+FROM (SELECT *, unnest(range(0, (len(words) + 49) // 50)) AS window_no FROM w WHERE len(words) > 50)""")
+def c1_word_windows(spark, sf_dir):
+    docs = scans.read_table(spark, sf_dir, "documents").where(X.word_count("text") > 50)
+    return docs.select("doc_id", F.posexplode(X.word_windows("text", 50)).alias("window_no", "t")).select("doc_id", F.col("window_no").cast("long"), F.md5("t").alias("text_md5"))
+
+
+@query(f"""WITH RECURSIVE {_paragraph_sql(600)}
+SELECT w.doc_id, w.chunk_index, CAST(w.i AS INTEGER) AS paragraph_start, CAST(w.stop AS INTEGER) AS paragraph_end, CAST(sum(c.w) AS INTEGER) AS word_count, md5(string_agg(c.t, chr(10) || chr(10) ORDER BY c.i)) AS text_md5
+FROM walk w JOIN c ON c.doc_id = w.doc_id AND c.i BETWEEN w.i AND w.stop GROUP BY w.doc_id, w.chunk_index, w.i, w.stop""")
+def c6_chunks(spark, sf_dir):
+    return _chunked(spark, sf_dir, 600).select("doc_id", "chunk_index", "paragraph_start", "paragraph_end", "word_count", F.md5("text").alias("text_md5"))
+
+
+@query(f"""WITH RECURSIVE {_paragraph_sql(100)} SELECT count(DISTINCT doc_id) AS cases, count(*) AS chunks FROM walk""")
+def a1_counters(spark, sf_dir):
+    return totals(_chunked(spark, sf_dir, 100), "doc_id")
+
+
+@query(f"""WITH RECURSIVE {_paragraph_sql(100)} SELECT doc_id, count(*) AS chunks FROM walk GROUP BY doc_id HAVING count(*) > 20""")
+def e7_large_cases(spark, sf_dir):
+    return large_cases(_chunked(spark, sf_dir, 100), "doc_id", 20)
+
+
+@query(f"""WITH RECURSIVE {_paragraph_sql(100)}, n AS (SELECT doc_id, count(*) * 10 AS chunks FROM walk GROUP BY doc_id)
+SELECT doc_id, chunks, CASE WHEN chunks > 500 THEN 8 WHEN chunks > 200 THEN 12 ELSE 24 END AS batch FROM n""")
+def e5_adaptive_batch(spark, sf_dir):
+    counts = _chunked(spark, sf_dir, 100).groupBy("doc_id").agg((F.count("*") * 10).alias("chunks"))
+    return counts.select("doc_id", "chunks", X.adaptive_batch("chunks").alias("batch"))
+
+
+# ---- HTML
+
+
+def _web(spark, sf_dir):
+    pages = scans.read_table(spark, sf_dir, "pages")
+    return parse.parse_cases(pages.select(F.col("page_id").alias("file_name"), F.lit(None).cast("string").alias("ftype"), F.lit(None).cast("int").alias("flag"), "html"), parse.WEB)
+
+
+def _clean_sql(html: str) -> str:
+    for name, character in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        html = f"replace({html}, '&{name};', '{character}')"
+    return f"trim(regexp_replace({html}, '[{X.SPACE}]+', ' ', 'g'), ' ')"
+
+
+@query(f"""SELECT page_id, nullif({_clean_sql("regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[^>]+>', ' ', 'g')")}, '') AS title FROM pages""")
+def h2_title(spark, sf_dir):
+    return _web(spark, sf_dir).select(F.col("case_id").alias("page_id"), "title")
+
+
+@query(f"""WITH a AS (SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '(?s)<a [^>]*>(.*?)</a>', 1) AS t FROM pages),
+x AS (SELECT page_id, {_clean_sql("u")} AS t, i FROM (SELECT page_id, unnest(t) AS u, generate_subscripts(t, 1) AS i FROM a)),
+f AS (SELECT page_id, t, min(i) AS i FROM x WHERE t <> '' GROUP BY page_id, t)
+SELECT p.page_id, coalesce(string_agg(f.t, '|' ORDER BY f.i), '') AS links FROM pages p LEFT JOIN f USING (page_id) GROUP BY p.page_id""")
+def h5_links(spark, sf_dir):
+    return _web(spark, sf_dir).select(F.col("case_id").alias("page_id"), F.array_join("acts_referred", "|").alias("links"))
+
+
+@query()
+def h9_paragraphs(spark, sf_dir):
+    return _web(spark, sf_dir).select(F.col("case_id").alias("page_id"), F.posexplode("paragraphs").alias("position", "p")).select("page_id", "position", "p.para_no", "p.text", "p.role")
+
+
+@query()
+def h10_text(spark, sf_dir):
+    found = select_texts(scans.read_table(spark, sf_dir, "pages").select("page_id", "html"), "html", {"body": Selector("article", "space", 1)})
+    return found.select("page_id", F.array_join(F.transform("body", lambda x: x["text"]), "\n").alias("body"))
+
+
+@query(rf"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+n AS (SELECT doc_id, i, trim(regexp_replace(t, '[{X.SPACE}]+', ' ', 'g'), ' ') AS t FROM l)
+SELECT doc_id, count(DISTINCT t) AS paragraphs FROM n WHERE t <> '' AND NOT regexp_matches(t, '(?i)^judgement text\s*:?\s*$') GROUP BY doc_id""")
+def h12_dedup(spark, sf_dir):
+    docs = scans.read_table(spark, sf_dir, "documents")
+    raw = docs.select("doc_id", F.transform(F.split("text", "\n"), lambda t: F.struct(X.normalize_inline(t).alias("text"), F.lit("judgpara").alias("classes"))).alias("found"))
+    kept = parse.paragraphs(raw, "found", parse.JUDGMENT)
+    return kept.where(F.size("paragraphs") > 0).select("doc_id", F.size("paragraphs").cast("long").alias("paragraphs"))
+
+
+@query("""SELECT c_custkey, c_custkey % 3 < 2 AS lead FROM customer""")
+def h14_lead_line(spark, sf_dir):
+    line = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.regexp_replace("c_name", "[^A-Za-z]", ""), F.lit(", C. J. -"))).when(F.col("c_custkey") % 3 == 1, F.lit("PER  court -:")).otherwise(F.concat("c_name", F.lit(", J. - x")))
+    return scans.read_table(spark, sf_dir, "customer").select("c_custkey", parse.is_lead(line).alias("lead"))
+
+
+@query("""SELECT c_custkey, CAST(CASE WHEN c_custkey % 2 = 0 THEN 2 ELSE 3 END AS INTEGER) AS paragraphs, CASE WHEN c_custkey % 2 = 0 THEN 'Rao, J. - ' || c_name ELSE 'Rao, J. -' END AS first FROM customer""")
+def h15_lead_merge(spark, sf_dir):
+    row = lambda text, role: F.struct(F.lit(None).cast("long").alias("para_no"), text.alias("text"), F.lit("judgpara").alias("source_class"), role.alias("role"))
+    second = F.when(F.col("c_custkey") % 2 == 0, "main").otherwise("subpoint")
+    df = scans.read_table(spark, sf_dir, "customer").select("c_custkey", F.array(row(F.lit("Rao, J. -"), F.lit("lead")), row(F.col("c_name"), second), row(F.lit("end"), F.lit("main"))).alias("p"))
+    merged = df.withColumn("p", parse.merge_lead("p"))
+    return merged.select("c_custkey", F.size("p").alias("paragraphs"), F.get("p", F.lit(0))["text"].alias("first"))
+
+
+# ---- backfills
+
+
+def _courts(spark, sf_dir):
+    stored = F.when(F.col("o_orderkey") % 2 == 0, X.court_id("running").cast("string"))
+    return backfill.court_ids(_running(spark, sf_dir).select("o_orderkey", F.col("running").alias("file_name"), F.lit(None).cast("long").alias("case_id"), stored.alias("court_id")))
+
+
+COURT_CLASS = f"SELECT o_orderkey, {COURT_SQL} AS c, CASE WHEN {COURT_SQL} IS NULL THEN 'missing_or_invalid' WHEN o_orderkey % 2 = 0 THEN 'already_correct' ELSE 'updated' END AS class FROM orders"
+
+
+@query(f"WITH x AS ({COURT_CLASS}) SELECT c AS computed, count(*) AS points FROM x WHERE class = 'updated' GROUP BY c")
+def a2_court_groups(spark, sf_dir):
+    return backfill.groups(_courts(spark, sf_dir))
+
+
+def _dates(spark, sf_dir):
+    stored = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderdate").cast("date"))
+    return backfill.decision_dates(_dated(spark, sf_dir).select("o_orderkey", "date_of_decision", stored.alias("decision_date"), F.year(stored).alias("decision_year")))
+
+
+@query(f"""WITH x AS (SELECT o_orderkey, try_strptime({DATE_SQL}, '%d %B %Y') AS d FROM orders)
+SELECT strftime(d, '%Y-%m-%d') AS decision_date, CAST(year(d) AS INTEGER) AS decision_year, count(*) AS points FROM x WHERE d IS NOT NULL AND o_orderkey % 2 <> 0 GROUP BY d""")
+def a3_date_groups(spark, sf_dir):
+    return backfill.groups(_dates(spark, sf_dir)).select(F.date_format("computed.decision_date", "yyyy-MM-dd").alias("decision_date"), "computed.decision_year", "points")
+
+
+@query(f"""WITH x AS ({COURT_CLASS}) SELECT count(*) AS scanned, count(*) FILTER (class = 'updated') AS updated, count(*) FILTER (class = 'already_correct') AS already_correct,
+          count(*) FILTER (class = 'missing_or_invalid') AS missing_or_invalid FROM x""")
+def a4_backfill_summary(spark, sf_dir):
+    return backfill.summary(_courts(spark, sf_dir))
+
+
+@query("SELECT o_orderkey, '31 February 1950' AS date_of_decision FROM orders WHERE o_orderkey % 7 = 0 ORDER BY o_orderkey LIMIT 20")
+def a5_samples(spark, sf_dir):
+    return backfill.samples(_dates(spark, sf_dir), "o_orderkey").select("o_orderkey", "date_of_decision")
+
+
+# ---- retrieval
+
+
+def _query_vector(spark, sf_dir):
+    return [float(x) for x in scans.point_lookup(scans.read_table(spark, sf_dir, "embeddings"), "vec_id", 0).first().embedding]
+
+
+DENSE = """dense AS (SELECT e.vec_id AS id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS score
+           FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q)"""
+
+
+@query(f"WITH {DENSE} SELECT id, score FROM dense ORDER BY score DESC, id LIMIT 20")
+def r1_dense_topk(spark, sf_dir):
+    return search.dense_topk(scans.read_table(spark, sf_dir, "embeddings"), _query_vector(spark, sf_dir), 20, "vec_id", "embedding")
+
+
+def _bm25_sql(source: str, key: str) -> str:
+    terms = ", ".join(f"('{t}')" for t in TERMS.split())
+    return rf"""tok AS (SELECT {key} AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS words FROM {source}),
+tf AS (SELECT id, len(words) AS dl, term, len(list_filter(words, lambda x: x = term)) AS tf FROM tok, (VALUES {terms}) v(term)),
+st AS (SELECT count(*) AS n, avg(len(words)) AS avgdl FROM tok), dfs AS (SELECT term, count(*) FILTER (tf > 0) AS df FROM tf GROUP BY term),
+bm AS (SELECT id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score FROM tf JOIN dfs USING (term), st GROUP BY id HAVING sum(tf) > 0)"""
+
+
+@query(f"WITH {_bm25_sql('documents', 'doc_id')} SELECT id, score FROM bm ORDER BY score DESC, id LIMIT 20")
+def r2_bm25_topk(spark, sf_dir):
+    return search.bm25_topk(scans.read_table(spark, sf_dir, "documents"), TERMS, 20, "doc_id", "text")
+
+
+@query(rf"""SELECT doc_id AS id, term, count(*) AS tf FROM (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')) AS term FROM documents) GROUP BY ALL""")
+def r2_postings(spark, sf_dir):
+    return search.postings(scans.read_table(spark, sf_dir, "documents"), "doc_id", "text").select("id", "term", "tf")
+
+
+FUSED = """a AS (SELECT id, row_number() OVER (ORDER BY score DESC, id) AS r FROM (SELECT * FROM bm ORDER BY score DESC, id LIMIT 20)),
+b AS (SELECT id, row_number() OVER (ORDER BY score DESC, id) AS r FROM (SELECT * FROM dense ORDER BY score DESC, id LIMIT 20)),
+f AS (SELECT id, round(sum(1.0 / (60 + r)), 6) AS score FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY id)"""
+
+
+def _embedded(spark, sf_dir):
+    docs = scans.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return docs.join(scans.read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding"), "id")
+
+
+@query(f"WITH {DENSE}, {_bm25_sql('documents', 'doc_id')}, {FUSED} SELECT id, score FROM f ORDER BY score DESC, id LIMIT 10")
+def r4_rrf(spark, sf_dir):
+    lexical = search.bm25_topk(scans.read_table(spark, sf_dir, "documents"), TERMS, 20, "doc_id", "text")
+    dense = search.dense_topk(scans.read_table(spark, sf_dir, "embeddings"), _query_vector(spark, sf_dir), 20, "vec_id", "embedding")
+    return search.rrf([lexical, dense], 10)
+
+
+@query(f"""WITH both_ AS (SELECT doc_id, text FROM documents JOIN embeddings ON doc_id = vec_id), {DENSE.replace("FROM embeddings e", "FROM (SELECT * FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents)) e")},
+{_bm25_sql('both_', 'doc_id')}, {FUSED}
+SELECT f.score, f.id, md5(left(text, 1800)) AS text_md5 FROM f JOIN both_ ON doc_id = f.id ORDER BY f.score DESC, f.id LIMIT 10""")
+def r5_hybrid(spark, sf_dir):
+    found = search.hybrid_search(_embedded(spark, sf_dir), TERMS, _query_vector(spark, sf_dir), 10, 20, 1800, "id", "embedding", "text")
+    return found.select("score", "id", F.md5("text").alias("text_md5"))
+
+
+@query()
+def e3_embed(spark, sf_dir):
+    """Vectors of all passages by the offline embedder."""
+    out = embed(_chunked(spark, sf_dir, 600), "text", lambda: hashing_embedder(64), 64)
+    return out.select("doc_id", "chunk_index", F.round(search.inner_product(F.col("vector").cast("array<double>"), F.col("vector").cast("array<double>")), 3).alias("norm"), "skip_reason")
+
+
+@query("""SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events, round(sum(value), 4) AS value FROM events GROUP BY ALL""")
+def w1_event_windows(spark, sf_dir):
+    return loads.event_windows(scans.read_table(spark, sf_dir, "events"))
