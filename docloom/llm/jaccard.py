@@ -8,10 +8,12 @@
 3. Index lists are read in blocks: by level, and then by the other set's size and the position of the
    shingle in both sets, so blocks that can't reach the threshold are skipped. A set whose prefix has
    no shingle of another set is dropped.
-4. Each list's most central set (fewest shingles of its own) is compared first. What is known of a
-   set's distance to such a pivot answers for its neighbours: sets linked to it are in one component and
-   need no comparison with each other, and two sets whose distances to it differ too much can't be
-   linked (Jaccard distance is a metric). Only the other pairs of a list are compared themselves.
+4. Each list's most central set (fewest shingles of its own) is its pivot and is compared first. What is
+   known of that comparison answers for its neighbours. Sets linked to the pivot are in one component. Other
+   sets close to it are linked to each other only if their differences to the pivot share shingles, so
+   candidates come from an index over these differences (`_derived`), not from pairs of the list. A set
+   that isn't close to its list's pivot meets the list's others within the bounds of 3 and the triangle
+   inequality (Jaccard distance is a metric).
 
 Documents come out with their component, so copies are never expanded into pairs.
 """
@@ -32,6 +34,8 @@ from docloom.llm.shingles import Shingler, node_of
 
 #: Levels hold sets of up to ``8 * 2**level`` shingles. Lists of ids to look up are broadcast up to this many.
 BASE, BROADCAST_ROWS, ROWS_AT_ONCE = 8, 1_000_000, 256
+#: Sets are close if they differ in at most this part (1 / CLOSE) of both sets' shingles.
+CLOSE = 2
 
 
 def misses(n: Column | np.ndarray | int, percent: int):
@@ -79,26 +83,59 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Adds ``common``, the size of the intersection, to pairs ``a, b``, from the whole sets."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Adds to pairs ``a, b, n_a, n_b``, from the whole sets, ``common``, the size of the intersection, and
+    ``apart``: the shingles that only one of both has, if these are at most a ``CLOSE``-th of all, else null."""
     one, two = (sets.select(F.col("node").alias(k), F.col("hashes").alias(f"{k}_set")) for k in "ab")
     both = pairs.join(one, "a").join(two, "b")
-    schema = T.StructType([*pairs.schema.fields, T.StructField("common", T.LongType())])
+    schema = T.StructType([*pairs.schema.fields, T.StructField("common", T.LongType()), T.StructField("apart", T.ArrayType(T.LongType()))])
     names = [f.name for f in pairs.schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = [[np.frombuffer(x, dtype=np.uint64) for x in batch.column(batch.schema.get_field_index(f"{k}_set")).to_pylist()] for k in "ab"]
-            common = []
-            for x, y in zip(*held, strict=True):
-                at = np.searchsorted(x, y)
-                at[at == len(x)] = 0
-                common.append(int((x[at] == y).sum()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(common, pa.int64())], schema.names)
+        for big in batches:
+            for i in range(0, len(big), ROWS_AT_ONCE):
+                batch = big.slice(i, ROWS_AT_ONCE)
+                held = [[np.frombuffer(x, dtype=np.uint64) for x in batch.column(batch.schema.get_field_index(f"{k}_set")).to_pylist()] for k in "ab"]
+                common, apart = [], []
+                for x, y in zip(*held, strict=True):
+                    alone = np.setxor1d(x, y, assume_unique=True)
+                    common.append((len(x) + len(y) - len(alone)) // 2)
+                    apart.append(_signed(alone) if len(alone) * CLOSE <= len(x) + len(y) else None)
+                yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(common, pa.int64()), pa.array(apart, pa.list_(pa.int64()))], schema.names)
 
     return both.mapInArrow(run, schema)
 
 
+def _derived(close: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs among sets close to one pivot, from their differences to it alone.
+
+    ``close``: ``pivot, node, n, c, apart``. Two sets differ in ``|Da| + |Db| - 2 |Da & Db|`` shingles, ``D`` being
+    a set's difference to the pivot. For a pair with ``|Da| + |Db|`` within the distance that a link allows, both
+    sets are linked to the pivot; every other linked pair shares shingles of the differences, at least ``|D| -
+    n (1 - t) / t`` of either, so it meets in the remaining first ones of an order common to the pivot's sets.
+    """
+    d = F.size("apart")
+    most = F.floor(F.col("n") * (100 - percent) / percent)
+    first = d - F.greatest(F.lit(1), d - most) + 1
+    each = close.select("pivot", "node", "n", "c", d.alias("d"), first.cast("int").alias("first"), F.explode("apart").alias("t"))
+    held = scratch.keep(each)
+    shared = held.groupBy("pivot", "t").agg(F.count("*").alias("times"), F.min("c").alias("x"), F.max("c").alias("y")).where("times > 1")
+    # Shingles that no other set has are never shared: they come first in the order. The others are sorted, rare ones first.
+    found = held.join(shared, ["pivot", "t"]).groupBy("pivot", "node").agg(
+        *[F.first(k).alias(k) for k in ("n", "c", "d", "first")], F.array_sort(F.collect_list(F.struct("times", "t", (F.col("x") != F.col("y")).alias("mixed")))).alias("found")
+    )
+    own = F.col("d") - F.size("found")
+    entry = found.withColumn("own", own).where(F.col("own") < F.col("first"))
+    entry = entry.select("pivot", "node", "n", "c", "d", "own", F.posexplode(F.slice("found", F.lit(1), F.col("first") - F.col("own"))).alias("i", "x"))
+    entry = scratch.keep(entry.where("x.mixed").select("pivot", F.col("x.t").alias("t"), "node", "n", "c", "d", (F.col("own") + F.col("i")).alias("at")))
+    p, q = entry.alias("p"), entry.alias("q")
+    need = (F.col("p.d") + F.col("q.d")) * (100 + percent) - (F.col("p.n") + F.col("q.n")) * (100 - percent)  # twice (100 + percent) times the shared ones
+    left = F.least(F.col("p.d") - F.col("p.at"), F.col("q.d") - F.col("q.at"))
+    met = (F.col("p.pivot") == F.col("q.pivot")) & (F.col("p.t") == F.col("q.t")) & (F.col("p.node") < F.col("q.node")) & (F.col("p.c") != F.col("q.c"))
+    pairs = p.join(q, met & (need <= 2 * (100 + percent) * left))
+    return pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.n").alias("n_a"), F.col("q.n").alias("n_b")).distinct()
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
     """``id, n_shingles, component_id`` for every row: its set's size and the smallest id reachable by links.
 
@@ -146,11 +183,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         before, after = F.least(pos1 - own1, pos2 - own2), F.least(n1 - pos1, n2 - pos2)
         return (F.least(n1 - own1, n2 - own2) >= need) & (before + after >= need)
 
-    # First round: each set and the pivot it shares most of its lists with.
+    # First round: each set and the pivots of its lists.
     star = index.join(pivots, "key").where("node <> p.node").where(possible(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos"), F.col("own_only"), F.col("p.own_only")))
-    star = star.groupBy(F.col("node").alias("a"), F.col("p.node").alias("b")).agg(F.count("*").alias("times"), F.first("n").alias("n_a"), F.first("p.n").alias("n_b"))
-    best = star.groupBy("a", "n_a").agg(F.max(F.struct("times", F.col("b"), "n_b")).alias("m")).select("a", F.col("m.b").alias("b"), "n_a", F.col("m.n_b").alias("n_b"))
-    best = scratch.keep(best)
+    star = scratch.keep(star.groupBy(F.col("node").alias("a"), F.col("p.node").alias("b")).agg(F.first("n").alias("n_a"), F.first("p.n").alias("n_b")))
     members = index.join(pivots.select("key"), "key", "left_semi").select("node").distinct()
     wanted = scratch.keep(members.join(linkable.select("node", "id"), "node").groupBy("node").agg(F.min("id").alias("id")))
     ids = wanted.select(F.col("id").alias("wanted_id")).distinct()
@@ -160,23 +195,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     whole = sets_of(texts, id_col, text_col, size, percent, whole=True)
     sets = scratch.keep(whole.groupBy("node").agg(F.first("hashes").alias("hashes")))
     enough = F.col("common") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
-    measured = scratch.keep(_links(best, sets, percent))
+    measured = scratch.keep(_compared(star, sets))
+    # A set that the bounds keep from a list's pivot, but not from sets close to it, is measured too.
+    seats = index.join(pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_pivot")), "key").where("node <> pivot")
+    told = measured.select(F.col("a").alias("node"), F.col("b").alias("pivot"), F.col("apart").isNotNull().alias("close"))
+    told = scratch.keep(seats.join(told, ["node", "pivot"], "left"))
+    open_lists = told.groupBy("key").agg(F.bool_or("close").alias("any"), F.bool_or(F.col("close").isNull()).alias("open")).where("any AND open").select("key")
+    rest = told.where("close IS NULL").join(open_lists, "key", "left_semi").select(F.col("node").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("n_a"), F.col("n_pivot").alias("n_b")).distinct()
+    measured = measured.union(scratch.keep(_compared(scratch.keep(rest), sets)))
     linked = measured.where(enough).select("a", "b")
     first = scratch.keep(components(linked))
-    # Second round: pairs of a list in different components that no distance to a common pivot rules out.
-    known = measured.select(F.col("a").alias("node"), F.col("b").alias("pivot"), (F.col("n_a") + F.col("n_b") - 2 * F.col("common")).alias("far"))
-    known = known.union(measured.select(F.col("b"), F.col("b"), F.lit(0)).distinct().join(measured.select("a"), F.col("b") == F.col("a"), "left_anti"))
-    state = scratch.keep(members.join(known, "node", "left").join(first, "node", "left").select("node", "pivot", "far", F.coalesce("component", "node").alias("c")))
-    placed = scratch.keep(index.join(pivots.select("key"), "key", "left_semi").join(state, "node"))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+    # Second round: pairs in different components. Sets close to a list's pivot are compared by what they differ in from it.
+    state = scratch.keep(members.join(first, "node", "left").select("node", F.coalesce("component", "node").alias("c")))
+    near = measured.where("apart IS NOT NULL").select(F.col("b").alias("pivot"), F.col("a").alias("node"), F.col("n_a").alias("n"), "apart")
+    derived = _derived(near.join(state, "node"), percent)
+    # The other sets of a list meet all of it: what keeps them apart is their distance to the pivot, their size and position.
+    known = measured.select(F.col("a").alias("node"), F.col("b").alias("pivot"), (F.col("n_a") + F.col("n_b") - 2 * F.col("common")).alias("far"), F.col("apart").isNotNull().alias("close"))
+    placed = seats.join(state, "node").join(known, ["node", "pivot"], "left")
+    placed = scratch.keep(placed.withColumn("close", F.coalesce("close", F.lit(False))).drop("pivot", "n_pivot"))
+    mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("close").alias("all_close")).where("lo <> hi AND NOT all_close").select("key")
     placed = scratch.keep(placed.join(mixed, "key", "left_semi"))
-    a, b = placed.alias("p"), placed.alias("q")
-    near = F.col("p.pivot").isNull() | F.col("q.pivot").isNull() | (F.col("p.pivot") != F.col("q.pivot")) | (F.abs(F.col("p.far") - F.col("q.far")) * (100 + percent) <= (100 - percent) * (F.col("p.n") + F.col("q.n")))
+    a, b = placed.where("NOT close").alias("p"), placed.alias("q")
+    apart = F.col("p.far").isNull() | F.col("q.far").isNull() | (F.abs(F.col("p.far") - F.col("q.far")) * (100 + percent) <= (100 - percent) * (F.col("p.n") + F.col("q.n")))
     fits = possible(F.col("p.n"), F.col("q.n"), F.col("p.pos"), F.col("q.pos"), F.col("p.own_only"), F.col("q.own_only"))
-    tried = (F.col("p.pivot").eqNullSafe(F.col("q.node"))) | (F.col("q.pivot").eqNullSafe(F.col("p.node")))
-    pairs = a.join(b, (F.col("p.key") == F.col("q.key")) & (F.col("p.node") < F.col("q.node")) & (F.col("p.c") != F.col("q.c")) & near & fits & ~tried)
-    pairs = pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.n").alias("n_a"), F.col("q.n").alias("n_b")).distinct()
-    more = _links(scratch.keep(pairs), sets, percent).where(enough).select("a", "b")
+    once = F.col("q.close") | (F.col("p.node") < F.col("q.node"))
+    pairs = a.join(b, (F.col("p.key") == F.col("q.key")) & (F.col("p.node") != F.col("q.node")) & once & (F.col("p.c") != F.col("q.c")) & apart & fits)
+    pairs = pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.n").alias("n_a"), F.col("q.n").alias("n_b"))
+    more = _compared(scratch.keep(derived.union(pairs).distinct()), sets).where(enough).select("a", "b")
     final = components(linked.union(more))
     smallest = signed.where("n > 0").groupBy("node").agg(F.min("id").alias("id"))
     named = scratch.keep(smallest.join(final, "node", "left").select("node", "id", F.coalesce("component", "node").alias("c")))
