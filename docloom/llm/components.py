@@ -31,5 +31,6 @@ def components(links: DataFrame) -> DataFrame:
         pairs = small
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if now == state:  # the same links twice: every node links to its component's smallest
-            return pairs.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
+            smallest = pairs.select("lo", "lo").distinct().toDF("hi", "lo")
+            return pairs.union(smallest).select(F.col("hi").alias("node"), F.col("lo").alias("component"))
         state = now

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from docloom.llm import license_scan as L
 from docloom.llm import toxicity, url_filter
@@ -68,7 +69,7 @@ def labelled(spark, n, seed=0):
 def test_held_out_accuracy_and_neighbours(spark):
     docs, labels = labelled(spark, 600)
     model = toxicity.fit(docs, labels)
-    rows = toxicity.score(docs, model).withColumn("held", toxicity.held_out(docs["doc_id"])).join(labels, "doc_id").collect()
+    rows = toxicity.score(docs, model).withColumn("held", toxicity.held_out(F.col("doc_id"))).join(labels, "doc_id").collect()
     held = [r for r in rows if r.held]
     assert len(held) > 60 and sum(r.predicted == r.toxic for r in held) >= 0.95 * len(held) and all(0 <= r.score <= 1 for r in rows)
 
