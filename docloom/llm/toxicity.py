@@ -28,7 +28,7 @@ from docloom.llm import scratch
 
 #: Labelled rows that are learned from, at most (those of the smallest hashes), and features, at most.
 FIT_ROWS, FEATURES = 20_000, 20_000
-NEAREST, BLOCK, LEAST_Z, LEAST_DOCS, BEGINNINGS = 25, 32, 4.0, 8, (4, 5, 6)
+NEAREST, BLOCK, FIRST_BLOCKS, LEAST_Z, LEAST_DOCS, BEGINNINGS = 25, 32, 16, 4.0, 8, (4, 5, 6)
 WORDS = re.compile(r"[^\W\d_]+")
 EVIDENCE = "array<struct<id:string,toxic:int,cosine:double>>"
 
@@ -40,31 +40,36 @@ def features(word: str) -> list[str]:
 
 @dataclass
 class Model:
-    """Examples sorted into blocks; lists by feature over examples and over blocks, with their weights."""
+    """Examples sorted into blocks, and flat inverted lists: of each feature its examples with their weights
+    (``at``, ``weight``) and, of each of their blocks, the largest weight and where its examples begin."""
 
     idf: dict[str, tuple[int, float]]
     prior: float  # share of toxic examples
     blank: float  # the same among examples without a known feature
     ids: list[str] = field(default_factory=list)
     toxic: np.ndarray = field(default_factory=lambda: np.empty(0))
-    members: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    tops: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    memo: dict[str, tuple] = field(default_factory=dict)
-
-    def known(self, word: str) -> tuple:
-        if (found := self.memo.get(word)) is None:
-            found = tuple(self.idf[f] for f in features(word) if f in self.idf)
-            if len(self.memo) < 1_000_000:
-                self.memo[word] = found
-        return found
+    at: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))
+    weight: np.ndarray = field(default_factory=lambda: np.empty(0))
+    block: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))
+    top: np.ndarray = field(default_factory=lambda: np.empty(0))
+    begin: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))  # one more than blocks
+    lists: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))  # where a feature's blocks begin
+    forward: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None = None  # by block: where it begins; feature, example, weight
+    memo: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def vector(self, text: str | None) -> dict[int, float]:
         """Feature -> weight, of length 1; empty for a text without a known feature."""
-        counts: Counter[tuple[int, float]] = Counter()
-        for word, n in Counter(WORDS.findall((text or "").lower())).items():
-            for f in self.known(word):
-                counts[f] += n
-        weights = {i: (1 + math.log(n)) * idf for (i, idf), n in counts.items()}
+        counts: dict[int, int] = {}
+        idf: dict[int, float] = {}
+        for part, n in Counter((text or "").lower().split()).items():  # white space is in no word, so parts can be remembered
+            if (found := self.memo.get(part)) is None:
+                found = tuple(self.idf[f] for word in WORDS.findall(part) for f in features(word) if f in self.idf)
+                if len(self.memo) < 1_000_000:
+                    self.memo[part] = found
+            for i, w in found:
+                counts[i] = counts.get(i, 0) + n
+                idf[i] = w
+        weights = {i: (1 + math.log(n)) * idf[i] for i, n in counts.items()}
         norm = math.sqrt(sum(w * w for w in weights.values()))
         return {i: w / norm for i, w in weights.items()}
 
@@ -72,46 +77,73 @@ class Model:
         """Builds the lists. Examples with the same strongest feature become neighbours, so that blocks differ."""
         examples = sorted(examples, key=lambda x: (max(x[2], key=lambda i: (x[2][i], i)), x[1], x[0]))
         self.ids, self.toxic = [x[0] for x in examples], np.array([x[1] for x in examples], dtype=float)
-        lists: list[list[tuple[int, float]]] = [[] for _ in self.idf]
-        for at, (_, _, vector) in enumerate(examples):
-            for i, w in vector.items():
-                lists[i].append((at, w))
-        for entries in lists:
-            at, w = np.array([e[0] for e in entries], dtype=np.int64), np.array([e[1] for e in entries])
-            self.members.append((at, w))
-            blocks, first = np.unique(at // BLOCK, return_index=True)
-            self.tops.append((blocks, np.maximum.reduceat(w, first) if len(w) else w))
+        entries = [(i, at, w) for at, (_, _, vector) in enumerate(examples) for i, w in vector.items()]
+        feature, self.at, self.weight = np.array([e[0] for e in entries], dtype=np.int64), np.array([e[1] for e in entries], dtype=np.int64), np.array([e[2] for e in entries])
+        order = np.lexsort((self.at, feature))
+        feature, self.at, self.weight = feature[order], self.at[order], self.weight[order]
+        pair = feature * (len(examples) // BLOCK + 1) + self.at // BLOCK
+        first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]) if len(pair) else np.empty(0, dtype=np.int64)
+        self.begin, self.block = np.r_[first, len(pair)], self.at[first] // BLOCK
+        self.top = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
+        by_block = np.argsort(self.at // BLOCK, kind="stable")
+        starts = np.searchsorted(self.at[by_block] // BLOCK, np.arange(-(-len(examples) // BLOCK) + 1))
+        self.forward = starts, feature[by_block], self.at[by_block], self.weight[by_block]
+        self.lists = np.searchsorted(feature[first], np.arange(len(self.idf) + 1))
 
     def nearest(self, vector: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of the largest cosine and these, ties to the earlier example; only cosines over 0."""
-        n = len(self.ids)
-        blocks = -(-n // BLOCK)
-        bound = np.zeros(blocks)
-        for i, q in vector.items():
-            at, top = self.tops[i]
-            bound[at] += q * top
+        """The ``k`` examples of the largest cosine and these, ties to the earlier example; only cosines over 0.
+
+        The blocks of the largest bounds are read first; then every block whose bound reaches the ``k``-th cosine.
+        """
+        if not len(self.ids):
+            return np.empty(0, dtype=np.int64), np.empty(0)
+        n, spans = len(self.ids), [(slice(self.lists[i], self.lists[i + 1]), q) for i, q in vector.items()]
+        block = np.concatenate([self.block[x] for x, _ in spans])
+        bound = np.bincount(block, np.concatenate([q * self.top[x] for x, q in spans]), minlength=-(-n // BLOCK))
         order = np.argsort(-bound, kind="stable")
-        best, best_at, begin, width = np.empty(0), np.empty(0, dtype=np.int64), 0, 8
-        while begin < blocks and bound[order[begin]] > 0:
-            if len(best) == k and bound[order[begin]] + 1e-12 < best[-1]:
-                break
-            chosen = np.sort(order[begin : begin + width])
-            local = np.full(blocks, -1)
-            local[chosen] = np.arange(len(chosen))
-            scores = np.zeros(len(chosen) * BLOCK)
-            for i, q in vector.items():
-                held = np.isin(self.tops[i][0], chosen, assume_unique=True)
-                if held.any():
-                    at, w = self.members[i]
-                    place = local[at // BLOCK]
-                    inside = place >= 0
-                    scores[place[inside] * BLOCK + at[inside] % BLOCK] += q * w[inside]
+
+        def by_block(wanted: np.ndarray) -> np.ndarray:
+            """Scores from all entries of a few blocks."""
+            starts, feature, at, weight = self.forward
+            parts = [slice(starts[b], starts[b + 1]) for b in wanted]
+            query = np.zeros(len(self.idf))
+            query[list(vector)] = list(vector.values())
+            scores = query[np.concatenate([feature[x] for x in parts])] * np.concatenate([weight[x] for x in parts])
+            return np.bincount(np.concatenate([at[x] for x in parts]), scores, minlength=n)
+
+        def by_list(wanted: np.ndarray) -> np.ndarray:
+            """Scores from the lists' entries in many blocks."""
+            chosen = np.flatnonzero(wanted[block])
+            own = np.concatenate([np.arange(x.start, x.stop) for x, _ in spans])[chosen]
+            q = np.repeat([w for _, w in spans], [x.stop - x.start for x, _ in spans])[chosen]
+            sizes = self.begin[own + 1] - self.begin[own]
+            places = np.repeat(self.begin[own] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
+            return np.bincount(self.at[places], np.repeat(q, sizes) * self.weight[places], minlength=n)
+
+        def whole() -> np.ndarray:
+            parts = [(slice(self.begin[x.start], self.begin[x.stop]), q) for x, q in spans]
+            return np.bincount(np.concatenate([self.at[x] for x, _ in parts]), np.concatenate([q * self.weight[x] for x, q in parts]), minlength=n)
+
+        def best(at: np.ndarray, cosine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            if len(at) > 4 * k:
+                held = cosine >= np.partition(cosine, -k)[-k]
+                at, cosine = at[held], cosine[held]
+            pick = np.lexsort((at, -cosine))[:k]
+            return at[pick], cosine[pick]
+
+        def scored(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             found = np.flatnonzero(scores > 0)
-            best, best_at = np.r_[best, scores[found]], np.r_[best_at, chosen[found // BLOCK] * BLOCK + found % BLOCK]
-            pick = np.lexsort((best_at, -best))[:k]
-            best, best_at = best[pick], best_at[pick]
-            begin, width = begin + width, 2 * width
-        return best_at, best
+            return found, scores[found]
+
+        at, cosine = best(*scored(by_block(order[:FIRST_BLOCKS])))
+        late = (bound > 0) & (bound + 1e-12 >= (cosine[-1] if len(cosine) == k else 0))
+        if 4 * late.sum() > (bound > 0).sum():  # little is skipped: whole lists are read faster than their parts
+            return best(*scored(whole()))
+        late[order[:FIRST_BLOCKS]] = False
+        if late.any():
+            more, scores = scored(by_list(late))
+            at, cosine = best(np.r_[at, more], np.r_[cosine, scores])
+        return at, cosine
 
     def score(self, text: str | None, k: int = NEAREST) -> tuple[float, list[dict]]:
         """The weighted share of toxic neighbours, with the prior as one weak vote, and the neighbours that weigh most."""
