@@ -125,3 +125,22 @@ def test_line_dedup_edges(spark):
     rows = line_dedup.line_dedup(docs).orderBy(F.col("doc_id").asc_nulls_first()).collect()
     assert [r.text for r in rows] == ["one two three\nx", "one two three\nx", "y"]
     assert line_dedup.line_dedup(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("low, high, least", [(20, 29, 1.0), (30, 53, 1.0), (54, 99, 0.85), (100, 199, 0.9), (200, 400, 0.95)])
+def test_line_dedup_recall_by_length(spark, low, high, least):
+    """Of pairs with as many edits as the similarity allows, all of the short ones meet and nearly all of the longer ones."""
+    rng = random.Random(low)
+    made = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") if i % 6 else " " for i in range(n)).strip()
+    pairs = []
+    while len(pairs) < 80:
+        a = b = made(rng.randint(low, high))
+        for _ in range(len(a) // 10):
+            at = rng.randrange(len(b))
+            b = b[:at] + rng.choice(["", "q", "q" + b[at]]) + b[at + 1 :]
+        if normal(b) != a and helpers.edit_distance(a, normal(b)) <= max(len(a), len(normal(b))) // 10:
+            pairs.append((a, b))
+    docs = spark.createDataFrame([(2 * i + k, line) for i, pair in enumerate(pairs) for k, line in enumerate(pair)], "doc_id long, text string")
+    rows = {r.doc_id: r.n_removed for r in line_dedup.line_dedup(docs).collect()}
+    assert not any(rows[2 * i] for i in range(80))
+    assert sum(rows[2 * i + 1] for i in range(80)) >= least * 80
