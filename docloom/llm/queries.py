@@ -60,7 +60,7 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.x = w.doc_id GROUP BY w.doc_i
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup(table(spark, sf_dir, "documents"))
+    kept = line_dedup(table(spark, sf_dir, "documents"), least_words=1)
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
 
 

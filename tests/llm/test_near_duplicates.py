@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.llm import jaccard, line_dedup
+import corpus_pipeline
+from docloom.llm import jaccard, line_dedup, queries
 from docloom.llm.components import components
 
 from . import helpers
@@ -144,3 +145,14 @@ def test_line_dedup_recall_by_length(spark, low, high, least):
     rows = {r.doc_id: r.n_removed for r in line_dedup.line_dedup(docs).collect()}
     assert not any(rows[2 * i] for i in range(80))
     assert sum(rows[2 * i + 1] for i in range(80)) >= least * 80
+
+
+def test_lines_of_few_words(spark, tmp_path):
+    """Lines of one or two words, and long ones without spaces, are deduplicated too by the query and the pipeline."""
+    chinese = "敏捷的棕色狐狸在清晨跳过了河岸边那只懒惰的老狗然后消失在远处的树林里"
+    texts = ["Les.\nand ornd\n" + chinese, "les\nAnd ornd.\n" + chinese.replace("清", "早"), "new fox here now\n--", "new fix here now\n--"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "length(text) AS n_chars")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id: r.n_removed for r in queries.op4_line_dedup(spark, str(tmp_path)).collect()} == {0: 0, 1: 3, 2: 0, 3: 1}
+    left = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, docs, str(tmp_path)).collect()}
+    assert left == {0: texts[0], 1: "", 2: texts[2], 3: "--"}
