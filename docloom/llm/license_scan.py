@@ -2,7 +2,8 @@
 
 A text is brought to one canonical form (copyright lines out, lower case, equivalent spellings to one,
 all but letters and digits to one space) and named by the form's digest. Whole documents are hash-joined
-to the digests of known licence texts, and whole lines to those of known licence notices. No text is
+to the digests of known licence texts, and whole lines to those of known licence notices. A text that isn't
+known as it stands is tried once more by its body, without a leading title and list markers. No text is
 compared with another; only digests are joined, and the known side is broadcast only if its count is
 under a bound.
 """
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 COPYRIGHT = r"(?i)(^|\n)[ \t#*/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+TITLE = r"(?i)^\s*[#*=/ \t-]*(the )?((mit|expat|isc|zlib|0bsd|bsd)( licen[cs]e)?|(modified |new |simplified )?bsd licen[cs]e|zlib/libpng licen[cs]e|bsd zero[- ]clause licen[cs]e|zero[- ]clause bsd( licen[cs]e)?|(the )?(bsd [23][- ]clause|[23][- ]clause bsd)( licen[cs]e)?)( *\([^)\n]*\))?[ \t:.*=#-]*\n([ \t]*[=*-]{3,}[ \t]*\n)?"
+MARKER = r"(^|\n)[ \t]*([0-9]{1,2}[.)]|\([0-9a-z]\)|[*•-])[ \t]+"
 OTHER = r"[^\p{L}\p{N}]+"
 
 # Equivalent spellings, the second is kept.
@@ -52,6 +55,23 @@ LICENCES = {
     "BSD-3-Clause": f"{BSD}\n{BSD_NAME}\n{BSD_END}",
     "Zlib": ZLIB,
 }
+# Body digests of longer public licence texts, as Debian's common-licenses hold them, and of
+# Apache-2.0 without its appendix, ending before or with "END OF TERMS AND CONDITIONS".
+BODIES = {
+    "a61bca3a5e70aebcd9bcca965e511dbc": "Apache-2.0",
+    "b827117525bdd2384440aa29b250abe0": "Apache-2.0",
+    "4377ce7f78fc5fa37bf951b9083ff639": "Apache-2.0",
+    "a0e79ef18035ed3a0408083af6c9a1af": "Artistic-1.0-Perl",
+    "5daf61c1ab3d835d70254af5bd4b2989": "CC0-1.0",
+    "9148dbcb0ce2b52205328e2b53d27a1e": "GPL-1.0",
+    "681c5ea2d1513d0a3be435e2c068f930": "GPL-2.0",
+    "e4a36f4dd71cc28ab2979d16e335eb33": "GPL-3.0",
+    "fe0e6158b76bb629c6bb99b54dfb5cfa": "LGPL-2.0",
+    "663b4a34adfd0e300926cce02fae7958": "LGPL-2.1",
+    "74bf0282b73ed1271a848801bd090145": "LGPL-3.0",
+    "5017331385d6d7a2bb6d4e5148691864": "MPL-1.1",
+    "4cb33a85d42c23a40cfd9b0a96de1127": "MPL-2.0",
+}
 # Usual one-line notices.
 NOTICES = {
     "Released under the MIT License.": "MIT",
@@ -80,6 +100,11 @@ def canonical(text: Column) -> Column:
     return F.when(plain.rlike(rf"\b({'|'.join(SPELLINGS)})\b"), spelled).otherwise(plain)
 
 
+def body_digest(text: Column) -> Column:
+    """The digest of a text without copyright lines, a leading title line and list markers."""
+    return digest(F.regexp_replace(F.regexp_replace(F.regexp_replace(text, COPYRIGHT, "\n"), TITLE, "\n"), MARKER, "\n"))
+
+
 def digest(text: Column) -> Column:
     return F.md5(canonical(text))
 
@@ -89,10 +114,10 @@ def known_table(spark: SparkSession, texts: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(sorted(texts.items()), "licence string, text string")
 
 
-def digests(known: DataFrame) -> DataFrame:
+def digests(known: DataFrame, of=digest) -> DataFrame:
     """``digest, licence`` with one row per digest (of several licences the first name). Texts without a letter or digit name none."""
-    named = known.where(canonical(F.col("text")) != "").select(digest(F.col("text")).alias("digest"), "licence")
-    named = named.groupBy("digest").agg(F.min("licence").alias("licence"))
+    named = known.where(canonical(F.col("text")) != "").select(of(F.col("text")).alias("digest"), "licence")
+    named = named.where(F.col("digest") != F.md5(F.lit(""))).groupBy("digest").agg(F.min("licence").alias("licence"))
     return F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
 
 
@@ -101,7 +126,8 @@ def license_scan(docs: DataFrame, licences: DataFrame, notices: DataFrame, text_
     whose notice is a whole line of the text) to every row of ``docs``.
 
     ``licences`` and ``notices`` have columns ``licence`` and ``text``. A null text counts as empty and
-    matches nothing. Repeated rows stay, also with null ids; an empty table gives an empty one; input
+    matches nothing. A text that isn't a known one may be one by its body digest, which further ones of
+    ``BODIES`` join; ``digest`` stays that of the whole text. Repeated rows stay, also with null ids; an empty table gives an empty one; input
     columns named like the new ones are replaced.
     """
     docs = docs.drop("digest", "licence", "notices").withColumn("docloom_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
@@ -109,7 +135,12 @@ def license_scan(docs: DataFrame, licences: DataFrame, notices: DataFrame, text_
     lines = docs.select(F.xxhash64("docloom_text").alias("docloom_key"), F.explode(F.split("docloom_text", "\n")).alias("line"))
     lines = lines.withColumn("digest", digest(F.col("line"))).join(digests(notices), "digest")
     held = lines.groupBy("docloom_key").agg(F.array_sort(F.collect_set("licence")).alias("notices"))
-    out = docs.withColumn("docloom_key", F.xxhash64("docloom_text")).withColumn("digest", digest(F.col("docloom_text"))).drop("docloom_text")
-    out = out.join(digests(licences), "digest", "left").join(held, "docloom_key", "left")
+    text = F.col("docloom_text")
+    out = docs.withColumn("docloom_key", F.xxhash64(text)).withColumn("digest", digest(text)).withColumn("docloom_body", body_digest(text)).drop("docloom_text")
+    more = docs.sparkSession.createDataFrame(sorted(BODIES.items()), "docloom_body string, known string")
+    bodies = digests(licences, body_digest).toDF("docloom_body", "known").union(more).groupBy("docloom_body").agg(F.min("known").alias("docloom_licence"))
+    bodies = F.broadcast(bodies) if bodies.count() <= BROADCAST_ROWS else bodies
+    out = out.join(digests(licences), "digest", "left").join(bodies, "docloom_body", "left").join(held, "docloom_key", "left")
+    out = out.withColumn("licence", F.coalesce("licence", "docloom_licence"))
     new = [F.col("digest"), F.col("licence"), F.coalesce("notices", F.array().cast("array<string>")).alias("notices")]
     return out.select(*[c for c in docs.columns if c != "docloom_text"], *new)

@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -18,6 +19,36 @@ def test_licences_by_digest(spark):
     assert rows[0].digest == rows[1].digest and rows[4].digest == rows[6].digest and rows[0].doc_id == 0
 
 
+def test_licences_as_published(spark):
+    """With titles, holders and bullets, as the usual files have them; the digest stays that of the whole text."""
+    holder = "Copyright (c) 2001, Some One\nAll rights reserved.\n\n"
+    starred = L.LICENCES["BSD-3-Clause"].replace("\n1. ", "\n* ").replace("\n2. ", "\n* ").replace("\n3. ", "\n* ")
+    texts = {
+        "MIT": ["MIT License\n\n" + holder + L.MIT, "The MIT License (MIT)\n\n" + holder + L.MIT, "# The MIT License\n" + L.MIT],
+        "BSD-3-Clause": ["BSD 3-Clause License\n\n" + holder + L.LICENCES["BSD-3-Clause"], holder + starred, "The 3-Clause BSD License\n" + starred.replace("\n* ", "\n  - ")],
+        "BSD-2-Clause": ["BSD 2-Clause License\n" + holder + L.LICENCES["BSD-2-Clause"]],
+        "ISC": ["ISC License\n\n" + holder + L.LICENCES["ISC"], "ISC License (ISC)\n" + L.LICENCES["ISC"]],
+        "0BSD": ["BSD Zero Clause License\n\n" + holder + L.LICENCES["0BSD"]],
+        "Zlib": ["zlib License\n\n" + holder + L.ZLIB],
+        None: ["MIT License", "1. \n* ", "BSD 3-Clause License\n" + L.MIT.replace("free of charge", "at a charge")],
+    }
+    wanted = [(name, text) for name, forms in texts.items() for text in forms]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(wanted)], "doc_id long, text string")
+    rows = L.license_scan(docs, L.known_table(spark, L.LICENCES), L.known_table(spark, {})).withColumn("plain", L.digest(F.col("text"))).orderBy("doc_id").collect()
+    assert [r.licence for r in rows] == [name for name, _ in wanted]
+    assert all(r.digest == r.plain for r in rows)
+
+
+LONGER = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+
+
+@pytest.mark.skipif(not os.path.isdir("/usr/share/common-licenses"), reason="needs the published texts")
+def test_longer_licences(spark):
+    rows = [(name, open(f"/usr/share/common-licenses/{file}").read()) for name, file in LONGER.items()]
+    found = L.license_scan(spark.createDataFrame(rows, "name string, text string"), L.known_table(spark, L.LICENCES), L.known_table(spark, {})).collect()
+    assert len(found) == len(LONGER) and all(r.licence == r.name for r in found)
+
+
 def test_licence_edges(spark):
     known = spark.createDataFrame([("b", "Same  text"), ("a", "same text."), ("c", "  "), (None, None)], "licence string, text string")
     docs = spark.createDataFrame([(None, "SAME TEXT"), (None, "SAME TEXT"), (1, " ")], "doc_id long, text string")
