@@ -8,9 +8,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark deletes a query's shuffle files at its end, not only once the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_open: list[list[DataFrame]] = []
+
 
 def folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset (tests)."""
@@ -23,10 +29,17 @@ def folder(spark: SparkSession) -> str:
 
 def keep(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back, with the same schema."""
-    path = f"{folder(df.sparkSession)}/docloom-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = f"{folder(spark)}/docloom-{uuid.uuid4().hex}", spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
     out._docloom_path = path
+    if _open:
+        _open[-1].append(out)
     return out
 
 
@@ -35,3 +48,28 @@ def drop(df: DataFrame) -> None:
     spark = df.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(df._docloom_path)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scope() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables kept within the block are deleted at its end, but for those given to the yielded function.
+
+    Only what the returned plan reads has to be given to it.
+    """
+    own: list[DataFrame] = []
+    left: list[DataFrame] = []
+
+    def leave(df: DataFrame) -> DataFrame:
+        left.append(df)
+        return df
+
+    _open.append(own)
+    try:
+        yield leave
+    finally:
+        _open.pop()
+        for df in own:
+            if not any(df is x for x in left):
+                drop(df)  # nothing happens where it is gone already
+        if _open:
+            _open[-1].extend(left)
