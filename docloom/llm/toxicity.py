@@ -1,12 +1,13 @@
 """Operator 8: toxicity by the nearest labelled examples.
 
-Texts become TF-IDF vectors over words and word beginnings that tell the labels apart. The labelled
-examples, a sample of at most ``FIT_ROWS``, are kept in an inverted index whose lists are cut into
-blocks of examples with each block's largest weight. A document takes the blocks in the order of the
+Texts become TF-IDF vectors over all words of the labelled examples, a sample of at most ``FIT_ROWS``. Words that
+tell the labels apart weigh more, others ``WEAK`` of it at least: no word is left out, so every text with a known word
+has neighbours. The examples are kept in an inverted index whose lists are cut into blocks of examples with each
+block's largest weight. A document takes the blocks in the order of the
 bound that these weights give, until no further block can hold one of its ``k`` nearest, so the
 neighbours are exact. Their labels vote with weights that fall with the cosine distance.
 
-Only the model, of a size that ``FIT_ROWS`` and ``FEATURES`` bound, is broadcast; it is fitted on the
+Only the model, of a size that ``FIT_ROWS`` and ``FEATURES`` (a bound of memory, those of most documents) bound, is broadcast; it is fitted on the
 sample alone, and every whole document is scored.
 """
 
@@ -26,16 +27,16 @@ from pyspark.sql import types as T
 
 from docloom.llm import scratch
 
-#: Labelled rows that are learned from, at most (those of the smallest hashes), and features, at most.
-FIT_ROWS, FEATURES = 20_000, 20_000
-NEAREST, BLOCK, FIRST_BLOCKS, LEAST_Z, LEAST_DOCS, BEGINNINGS = 25, 32, 16, 4.0, 8, (4, 5, 6)
+#: Labelled rows that are learned from, at most (those of the smallest hashes), and words, at most (the most frequent).
+FIT_ROWS, FEATURES = 3_000, 400_000
+NEAREST, BLOCK, FIRST_BLOCKS, WEAK, TELLING = 25, 32, 2, 0.05, 4.0
 WORDS = re.compile(r"[^\W\d_]+")
 EVIDENCE = "array<struct<id:string,toxic:int,cosine:double>>"
 
 
-def features(word: str) -> list[str]:
-    """The word itself and, marked by ``*``, its beginnings."""
-    return [word, *(f"{word[:n]}*" for n in BEGINNINGS if len(word) >= n)]
+def telling(z: float) -> float:
+    """What a word's weight is multiplied by, from how many deviations apart its shares among the labels are."""
+    return WEAK + (1 - WEAK) * min(1.0, (abs(z) / TELLING) ** 4)
 
 
 @dataclass
@@ -60,18 +61,18 @@ class Model:
     def vector(self, text: str | None) -> dict[int, float]:
         """Feature -> weight, of length 1; empty for a text without a known feature."""
         counts: dict[int, int] = {}
-        idf: dict[int, float] = {}
+        memo = self.memo
         for part, n in Counter((text or "").lower().split()).items():  # white space is in no word, so parts can be remembered
-            if (found := self.memo.get(part)) is None:
-                found = tuple(self.idf[f] for word in WORDS.findall(part) for f in features(word) if f in self.idf)
-                if len(self.memo) < 1_000_000:
-                    self.memo[part] = found
-            for i, w in found:
-                counts[i] = counts.get(i, 0) + n
-                idf[i] = w
-        weights = {i: (1 + math.log(n)) * idf[i] for i, n in counts.items()}
-        norm = math.sqrt(sum(w * w for w in weights.values()))
-        return {i: w / norm for i, w in weights.items()}
+            if (found := memo.get(part)) is None:
+                found = tuple(self.idf[word] for word in WORDS.findall(part) if word in self.idf)
+                if len(memo) < 300_000:
+                    memo[part] = found
+            for x in found:
+                counts[x] = counts.get(x, 0) + n
+        if not counts:
+            return {}
+        weights = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * np.array([w for _, w in counts])
+        return dict(zip((i for i, _ in counts), (weights / math.sqrt((weights**2).sum())).tolist(), strict=True))
 
     def index(self, examples: list[tuple[str, int, dict[int, float]]]) -> None:
         """Builds the lists. Examples with the same strongest feature become neighbours, so that blocks differ."""
@@ -163,18 +164,25 @@ def held_out(id_col: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = FIT_ROWS) -> Model:
     """Learns from labelled documents that aren't held out, at most ``rows`` of them, chosen by a hash of the id.
 
-    Labels other than 0 and 1 and null ids are left out; an id labelled twice counts as toxic if one label does.
+    Labels other than 0 and 1 and null ids are left out; an id labelled twice counts as toxic if one label does;
+    of rows that share an id the smallest text is taken.
     """
+    with scratch.scope():
+        return _fitted(docs, labels, id_col, text_col, label_col, rows)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> Model:
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     sample = usable.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).dropna(subset=["id"])
-    sample = scratch.keep(texts.join(F.broadcast(sample), "id").select(F.col("id").cast("string"), "text", "toxic"))  # at most `rows` ids
+    found = texts.join(F.broadcast(sample), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))  # at most `rows`
+    sample = scratch.keep(found.select(F.col("id").cast("string"), "text", "toxic"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = [Counter(), Counter()]
         for batch in batches:
             for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                both[toxic].update({f for w in set(WORDS.findall((text or "").lower())) for f in features(w)})
+                both[toxic].update(set(WORDS.findall((text or "").lower())))
         names = list(both[0] | both[1])
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[f] for f in names], pa.int64()) for c in both)], ["feature", "clean", "toxic"])
 
@@ -186,9 +194,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     table = sample.mapInArrow(counted, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("b"), F.sum("toxic").alias("a"))
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
     odds = F.log(a / (toxic - F.col("a") + 0.5)) - F.log(b / (clean - F.col("b") + 0.5))
-    z = F.abs(odds) / F.sqrt(1 / a + 1 / b + 1 / (toxic - F.col("a") + 0.5) + 1 / (clean - F.col("b") + 0.5))
-    kept = table.where(F.col("a") + F.col("b") >= LEAST_DOCS).withColumn("z", z).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(FEATURES)
-    idf = {r.feature: (i, math.log((clean + toxic + 1) / (r.a + r.b + 1)) + 1) for i, r in enumerate(kept.collect())}
+    z = odds / F.sqrt(1 / a + 1 / b + 1 / (toxic - F.col("a") + 0.5) + 1 / (clean - F.col("b") + 0.5))
+    kept = table.withColumn("z", z).orderBy(F.desc(F.col("a") + F.col("b")), "feature").limit(FEATURES)
+    idf = {r.feature: (i, telling(r.z) * (math.log((clean + toxic + 1) / (r.a + r.b + 1)) + 1)) for i, r in enumerate(kept.collect())}
     model = Model(idf, prior, prior)
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
@@ -199,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             weights = pa.array([list(v.values()) for v in found], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), places, weights], ["id", "toxic", "places", "weights"])
 
-    examples = sample.mapInArrow(vectors, "id string, toxic int, places array<long>, weights array<double>").collect()  # at most `rows`, but for repeated ids
+    examples = sample.mapInArrow(vectors, "id string, toxic int, places array<long>, weights array<double>").collect()  # at most `rows`
     blank = [r.toxic for r in examples if not r.places]
     model = Model(idf, prior, (sum(blank) + prior) / (len(blank) + 1))
     model.index([(r.id, r.toxic, dict(zip(r.places, r.weights, strict=True))) for r in examples if r.places])
