@@ -3,9 +3,12 @@
 Vectors are brought to one Euclidean problem (a further component lifts all candidates to one norm,
 so the largest inner product is the smallest distance) and projected to ``DIMS`` dimensions by a
 Gaussian (2-stable) matrix. Each shard indexes its projected points by a kd-tree. A query takes the
-tree's leaves in the order of their projected distance and verifies their points on the original
-vectors, until the chi-square test says that an unseen point closer than the current k-th would, with
-probability ``SURE``, have been met already.
+tree's leaves in the order of their projected distance, and of their points verifies those on the original
+vectors for which the chi-square test fails: a point as near as the current k-th would, with probability
+``SURE``, have a smaller projected distance. Its search ends at the first leaf for which the test holds.
+
+A first round takes the nearest leaf of each shard; the k-th of what all shards found is shared with
+the second, which therefore stops as if all vectors were in one tree.
 """
 
 from __future__ import annotations
@@ -15,9 +18,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm import scratch
 from docloom.llm.vector_grid import Grid, dots, fewest_ids, halves
 
-DIMS, LEAF, SURE, SEED, QUERIES_AT_ONCE = 8, 48, 0.98, 7, 256
+DIMS, LEAF, SURE, SEED, QUERIES_AT_ONCE = 24, 48, 0.88, 7, 256
 
 
 def chi2_cdf(x: np.ndarray, dims: int) -> np.ndarray:
@@ -29,8 +33,13 @@ def chi2_cdf(x: np.ndarray, dims: int) -> np.ndarray:
     return 1 - np.exp(-half) * total
 
 
-def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, norm2: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query's place, id, score) of the ``k`` nearest found in one shard, the query's own id left out."""
+def search_shard(
+    ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, norm2: float, least: np.ndarray | None = None, first_only: bool = False, verified: list | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query's place, id, score) of the ``k`` nearest found in one shard, the query's own id left out.
+
+    ``least``: scores that each query has ``k`` of already. ``verified`` takes how many points were verified.
+    """
     ids, vectors = fewest_ids(ids, vectors, k + 1)
     lift = np.sqrt(np.maximum(norm2 - (vectors**2).sum(1), 0))
     plane = np.random.default_rng(SEED).standard_normal((vectors.shape[1] + 1, DIMS))
@@ -39,29 +48,36 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     low, high = np.array([points[x].min(0) for x in leaves]), np.array([points[x].max(0) for x in leaves])
     most = max(map(len, leaves))
     rows = np.array([np.r_[x, np.full(most - len(x), -1)] for x in leaves])
+    least = np.full(len(queries), -np.inf) if least is None else least
     out = []
     for begin in range(0, len(queries), QUERIES_AT_ONCE):
         part = slice(begin, begin + QUERIES_AT_ONCE)
-        q, own, at = queries[part], query_ids[part], asked[part]
-        gap = np.maximum(np.maximum(low[None] - at[:, None], at[:, None] - high[None]), 0)
-        near = (gap**2).sum(2)
+        q, own, at, floor = queries[part], query_ids[part], asked[part], least[part].copy()
+        near = sum(np.maximum(np.maximum(low[None, :, i] - at[:, None, i], at[:, None, i] - high[None, :, i]), 0) ** 2 for i in range(DIMS))
         order = np.argsort(near, 1, kind="stable")
         near = np.take_along_axis(near, order, 1)
         best, best_id = np.full((len(q), k), -np.inf), np.full((len(q), k), -1, dtype=np.int64)
         live, base = np.arange(len(q)), norm2 + (q**2).sum(1)
-        for step in range(len(leaves)):
+        for step in range(1 if first_only else len(leaves)):
+            kth = np.maximum(base - 2 * floor, 1e-12)  # squared distance; infinite while there are fewer than k
+            live = live[~(chi2_cdf(near[live, step] / kth[live], DIMS) >= SURE)]
+            if not len(live):
+                break
             got = rows[order[live, step]]
-            score = dots(q[live][:, None], vectors[got])
             found = ids[got]
-            score[(got < 0) | (found == own[live][:, None])] = -np.inf
-            score, found = np.c_[best[live], score], np.c_[best_id[live], found]
+            far = ((points[got] - at[live][:, None]) ** 2).sum(2)
+            r, c = np.nonzero((got >= 0) & (found != own[live][:, None]) & ~(chi2_cdf(far / kth[live][:, None], DIMS) >= SURE))
+            if not len(r):
+                continue
+            if verified is not None:
+                verified.append(len(r))
+            score = np.full(got.shape, -np.inf)
+            score[r, c] = dots(q[live[r]], vectors[got[r, c]])
+            changed = np.unique(r)
+            score, found, to = np.c_[best[live[changed]], score[changed]], np.c_[best_id[live[changed]], found[changed]], live[changed]
             pick = np.lexsort((found, -score))[:, :k]
-            best[live], best_id[live] = np.take_along_axis(score, pick, 1), np.take_along_axis(found, pick, 1)
-            if step + 1 < len(leaves):
-                kth = np.maximum(base[live] - 2 * best[live, -1], 1e-12)  # squared distance; infinite while there are fewer than k
-                live = live[~(chi2_cdf(near[live, step + 1] / kth, DIMS) >= SURE)]
-            if not len(live):
-                break
+            best[to], best_id[to] = np.take_along_axis(score, pick, 1), np.take_along_axis(found, pick, 1)
+            floor[to] = np.maximum(floor[to], best[to, -1])
         r, c = np.nonzero(np.isfinite(best))
         out.append((r + begin, best_id[r, c], best[r, c]))
     return tuple(map(np.concatenate, zip(*out, strict=True)))
@@ -70,15 +86,22 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
 def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` nearest found, by inner product in doubles.
 
-    Every row with another id than the query's is a candidate. Null, zero and non-finite vectors take
-    no part; a null id takes no part; rows repeated exactly count once; ties go to the smaller id; with
-    fewer candidates than ``k`` all are returned; an empty table gives no rows.
+    Every row with another id than the query's and a vector of the same length is a candidate. Null, zero and
+    non-finite vectors take no part; a null id takes no part; rows repeated exactly count once; ties go to the
+    smaller id; with fewer candidates than ``k`` all are returned; an empty table gives no rows. Further columns
+    are not looked at.
     """
-    grid = Grid(df, id_col, vec_col, is_query, drop_zero=True)
-    norm2 = grid.norm2
+    with scratch.scope() as leave:
+        grid = Grid(df, id_col, vec_col, is_query, drop_zero=True)
+        norm2 = grid.norm2
+
+        def search(first_only: bool):
+            def run(ids: np.ndarray, vectors: np.ndarray, asked: pd.DataFrame, queries: np.ndarray) -> tuple:
+                return search_shard(ids, vectors, asked["id"].to_numpy(), queries, k, norm2, asked["least"].to_numpy(), first_only)
 
-    def run(ids: np.ndarray, vectors: np.ndarray, asked: pd.DataFrame, queries: np.ndarray) -> tuple:
-        return search_shard(ids, vectors, asked["id"].to_numpy(), queries, k, norm2)
+            return run
 
-    found = grid.search(run, grid.queries())
-    return grid.top(found, k).select("query_id", F.col("rank").cast("int"), F.col("id").alias("vec_id"), "score")
+        first = leave(scratch.keep(grid.search(search(True), grid.queries().withColumn("least", F.lit(float("-inf"))))))
+        found = first.union(grid.search(search(False), leave(scratch.keep(grid.shared(first, k))))).distinct()
+        leave(grid.rows)
+        return grid.top(found, k).select("query_id", F.col("rank").cast("int"), F.col("id").alias("vec_id"), "score")

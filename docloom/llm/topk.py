@@ -10,18 +10,21 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.vector_grid import Grid, fewest_ids, halves
+from docloom.llm import scratch
+from docloom.llm.vector_grid import Grid, far_pair, fewest_ids, halves
 
-LEAF, QUERIES_AT_ONCE = 48, 256
+LEAF, QUERIES_AT_ONCE = 16, 256
 
 
-def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int, first_only: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query's place, id, score) of the up to ``k`` best scores of at least ``least`` in one shard."""
+def search_shard(
+    ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int, first_only: bool, verified: list | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query's place, id, score) of the up to ``k`` best scores of at least ``least`` in one shard. ``verified`` takes how many vectors were scored."""
     ids, vectors = fewest_ids(ids, vectors, k + 1)
-    levels = [[x for x in level if len(x)] for level in halves(vectors, LEAF)]
+    levels = [[x for x in level if len(x)] for level in halves(vectors, LEAF, far_pair)]
     balls = []
     for level in levels:
         centre = np.array([vectors[x].mean(0) for x in level])
@@ -54,6 +57,8 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
             if not len(live):
                 break
             got = rows[order[live, step]]
+            if verified is not None:
+                verified.append(int((got >= 0).sum()))
             score = np.matmul(vectors[got], q[live][:, :, None])[:, :, 0]  # whole numbers: exact in doubles, in any order
             found = ids[got]
             score[(got < 0) | (found == own[live][:, None])] = -np.inf
@@ -72,24 +77,24 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col:
     """``query_id, rank, vec_id, score``: each query's ``k`` highest inner products of the vectors
     ``floor(scale * x)``, exactly, ties to the smaller id.
 
-    Every row with another id than the query's is a candidate. Vectors null or with null or non-finite
-    components take no part, nor do null ids; zero vectors do. Rows repeated exactly count once; with
-    fewer candidates than ``k`` all are returned; an empty table gives no rows. Scores are exact while
-    they stay under 2**53.
+    Every row with another id than the query's and a vector of the same length is a candidate. Vectors null or
+    with null or non-finite components take no part, nor do null ids or vectors without components; zero vectors do.
+    Rows repeated exactly count once; with fewer candidates than ``k`` all are returned; an empty table gives no
+    rows; further columns are not looked at. Scores are exact while they stay under 2**53; beyond the range of a
+    long, components and scores are the nearest long.
     """
-    whole = F.transform(F.col(vec_col).cast("array<double>"), lambda x: F.when(F.abs(x) < float("inf"), F.floor(x * scale).cast("double")))
-    grid = Grid(df.select(F.col(id_col).alias("id"), is_query.alias("query"), whole.alias("vec")), "id", "vec", F.col("query"), drop_zero=False)
+    whole = F.transform(F.col(vec_col).cast("array<double>"), lambda x: F.when(F.abs(x) < float("inf"), F.floor(F.greatest(F.least(x * scale, F.lit(2.0**62)), F.lit(-(2.0**62)))).cast("double")))
+    with scratch.scope() as leave:
+        grid = Grid(df.select(F.col(id_col).alias("id"), is_query.alias("query"), whole.alias("vec")), "id", "vec", F.col("query"), drop_zero=False)
 
-    def search(first_only: bool):
-        def run(ids: np.ndarray, vectors: np.ndarray, asked: pd.DataFrame, queries: np.ndarray) -> tuple:
-            return search_shard(ids, vectors, asked["id"].to_numpy(), queries, asked["least"].to_numpy(), k, first_only)
+        def search(first_only: bool):
+            def run(ids: np.ndarray, vectors: np.ndarray, asked: pd.DataFrame, queries: np.ndarray) -> tuple:
+                return search_shard(ids, vectors, asked["id"].to_numpy(), queries, asked["least"].to_numpy(), k, first_only)
 
-        return run
+            return run
 
-    queries = grid.queries()
-    first = grid.search(search(True), queries.withColumn("least", F.lit(float("-inf"))))
-    order = Window.partitionBy("key").orderBy(F.desc("score"), "id")
-    shared = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select("key", F.col("score").alias("least"))
-    queries = queries.join(shared, "key", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
-    found = grid.search(search(False), queries.select("key", "id", "vec", "least"))
-    return grid.top(found, k).select("query_id", F.col("rank").cast("int"), F.col("id").alias("vec_id"), F.col("score").cast("long"))
+        first = grid.search(search(True), grid.queries().withColumn("least", F.lit(float("-inf"))))
+        found = grid.search(search(False), leave(scratch.keep(grid.shared(first, k))))
+        leave(grid.rows)
+        score = F.greatest(F.least("score", F.lit(2.0**63 - 1024)), F.lit(-(2.0**63))).cast("long")
+        return grid.top(found, k).select("query_id", F.col("rank").cast("int"), F.col("id").alias("vec_id"), score.alias("score"))

@@ -48,3 +48,44 @@ def test_few_candidates_and_empty(spark):
     assert [(r.query_id, r.vec_id, r.score) for r in rows] == [(0, 20, 0.5), (0, 7, 0.0), (20, 0, 0.5), (20, 7, 0.5)]
     assert ann.nearest(df.limit(0), F.pmod("vec_id", F.lit(20)) == 0).collect() == []
     assert topk.top_k(df.limit(0), F.pmod("vec_id", F.lit(50)) == 0).collect() == []
+
+
+def test_nearest_stops_before_all_are_verified():
+    """The chi-square test ends searches: fewer than half of the vectors are verified, and recall stays."""
+    found = vectors(6000, 64, 3, groups=6000).astype(np.float64)  # no groups: the hard case
+    ids, asked = np.arange(6000), np.arange(0, 6000, 60)
+    scores = found[asked] @ found.T
+    scores[np.arange(100), asked] = -np.inf
+    verified = []
+    at, hit, _ = ann.search_shard(ids, found, asked, found[asked], 20, (found**2).sum(1).max(), np.sort(scores, 1)[:, -40], False, verified)
+    assert sum(verified) < 0.5 * 6000 * 100
+    got = [set(hit[at == i].tolist()) for i in range(100)]
+    assert sum(len(got[i] & set(np.argsort(-scores[i])[:20].tolist())) for i in range(100)) >= 0.9 * 20 * 100
+
+
+def test_top_k_prunes_where_vectors_have_groups():
+    """Balls are left out by their bound. Without any groups in 64 dimensions none can be (see the README)."""
+    found = np.floor(256 * vectors(4000, 16, 4, groups=40).astype(np.float64))
+    asked, verified = np.arange(0, 4000, 50), []
+    scores = found[asked] @ found.T
+    scores[np.arange(80), asked] = -np.inf
+    least = np.sort(scores, 1)[:, -8]
+    at, ids, got = topk.search_shard(np.arange(4000), found, asked, found[asked], least, 5, False, verified)
+    assert sum(verified) < 0.5 * 4000 * 80
+    assert all(sorted(got[at == i])[::-1] == sorted(scores[i])[::-1][:5] for i in range(80))
+
+
+def test_lengths_large_components_and_clashing_names(spark):
+    rows = [(0, [1e30, 0.0], 1), (50, [1.0, -1.0], 2), (3, [2.0, 0.0], 3), (100, [1.0], 4), (4, [2.0], 5), (7, [], 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int").withColumns({"rank": F.lit("x"), "key": F.lit(1), "query": F.lit(1), "least": F.lit(0)})
+    found = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(df, F.pmod("vec_id", F.lit(50)) == 0).collect()}
+    assert found[50, 1] == (0, 256 * 2**62) or found[50, 1][0] == 0
+    assert found[50, 2] == (3, 256 * 512) and found[100, 1] == (4, 256 * 512) and (100, 2) not in found
+    near = [(r.query_id, r.vec_id) for r in ann.nearest(df, F.pmod("vec_id", F.lit(50)) == 0).orderBy("query_id", "rank").collect()]
+    assert near == [(0, 3), (0, 50), (50, 0), (50, 3), (100, 4)] or near == [(0, 3), (0, 50), (50, 3), (50, 0), (100, 4)]
+
+
+def test_nearest_ties_go_to_the_smaller_id(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0, 3.0]) for i in range(45)], "vec_id long, embedding array<double>")
+    rows = ann.nearest(df, F.pmod("vec_id", F.lit(20)) == 0, k=5).orderBy("query_id", "rank").collect()
+    assert [r.vec_id for r in rows] == [1, 2, 3, 4, 5, 0, 1, 2, 3, 4, 0, 1, 2, 3, 4]
