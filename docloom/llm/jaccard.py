@@ -145,6 +145,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     component as copies are. A null id is in its component but never its smallest unless all are null.
     An empty table gives no rows; further columns are not looked at.
     """
+    with scratch.scope() as leave:
+        return leave(scratch.keep(_components(docs, id_col, text_col, size, percent)))
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     signed = scratch.keep(sets_of(docs, id_col, text_col, size, percent, whole=False))
     linkable = signed.where("n > 0")
     # (level, shingle) -> how many have it; those of one node alone are no list.

@@ -23,7 +23,8 @@ def test_stages_in_turn(spark, tmp_path):
     kept = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns and 70 <= kept.count() <= 92
     texts = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, kept, str(tmp_path)).collect()}
-    assert texts[1001] == "another line with words here" and texts[1002] is None and len(texts) == kept.count()
+    assert texts[1001] == "another line with words here" and texts[1002] is None
+    assert {r.doc_id for r in kept.collect()} - texts.keys() == {1005}  # nothing of it stays
     near = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, kept, str(tmp_path)).collect()}
     assert 1004 in near and 1005 not in near and {1002, 1003} <= near
     masked = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.mask_personal_data(spark, kept, str(tmp_path)).collect()}
