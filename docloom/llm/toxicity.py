@@ -2,10 +2,9 @@
 
 Texts become TF-IDF vectors over all words of the labelled examples, a sample of at most ``FIT_ROWS``. Words that
 tell the labels apart weigh more, others ``WEAK`` of it at least: no word is left out, so every text with a known word
-has neighbours. The examples are kept in an inverted index whose lists are cut into blocks of examples with each
-block's largest weight. A document takes the blocks in the order of the
-bound that these weights give, until no further block can hold one of its ``k`` nearest, so the
-neighbours are exact. Their labels vote with weights that fall with the cosine distance.
+has neighbours. The examples are kept in an inverted index. Lists of words in at least a ``FREQUENT``-th of the examples are
+cut into blocks of examples, with each block's largest weight. A document reads its short lists, and of the long ones
+the blocks whose bound can still bring an example among its ``k`` nearest, so the neighbours are exact. Their labels vote with weights that fall with the cosine distance.
 
 Only the model, of a size that ``FIT_ROWS`` and ``FEATURES`` (a bound of memory, those of most documents) bound, is broadcast; it is fitted on the
 sample alone, and every whole document is scored.
@@ -29,7 +28,7 @@ from docloom.llm import scratch
 
 #: Labelled rows that are learned from, at most (those of the smallest hashes), and words, at most (the most frequent).
 FIT_ROWS, FEATURES = 3_000, 400_000
-NEAREST, BLOCK, FIRST_BLOCKS, WEAK, TELLING = 25, 32, 2, 0.05, 4.0
+NEAREST, BLOCK, FREQUENT, WEAK, TELLING = 25, 32, 16, 0.05, 4.0
 WORDS = re.compile(r"[^\W\d_]+")
 EVIDENCE = "array<struct<id:string,toxic:int,cosine:double>>"
 
@@ -41,21 +40,20 @@ def telling(z: float) -> float:
 
 @dataclass
 class Model:
-    """Examples sorted into blocks, and flat inverted lists: of each feature its examples with their weights
-    (``at``, ``weight``) and, of each of their blocks, the largest weight and where its examples begin."""
+    """Examples sorted into blocks, and inverted lists. A short list's examples and weights begin in ``at`` and ``weight``
+    at ``lists[word]``; a long list is row ``row[word]`` of ``wide`` (its weights by example) and ``top`` (the largest of each block)."""
 
     idf: dict[str, tuple[int, float]]
     prior: float  # share of toxic examples
     blank: float  # the same among examples without a known feature
     ids: list[str] = field(default_factory=list)
     toxic: np.ndarray = field(default_factory=lambda: np.empty(0))
-    at: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))
+    at: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int32))
     weight: np.ndarray = field(default_factory=lambda: np.empty(0))
-    block: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))
-    top: np.ndarray = field(default_factory=lambda: np.empty(0))
-    begin: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))  # one more than blocks
-    lists: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))  # where a feature's blocks begin
-    forward: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None = None  # by block: where it begins; feature, example, weight
+    lists: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))
+    row: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int32))
+    wide: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
+    top: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
     memo: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def vector(self, text: str | None) -> dict[int, float]:
@@ -79,72 +77,48 @@ class Model:
         examples = sorted(examples, key=lambda x: (max(x[2], key=lambda i: (x[2][i], i)), x[1], x[0]))
         self.ids, self.toxic = [x[0] for x in examples], np.array([x[1] for x in examples], dtype=float)
         entries = [(i, at, w) for at, (_, _, vector) in enumerate(examples) for i, w in vector.items()]
-        feature, self.at, self.weight = np.array([e[0] for e in entries], dtype=np.int64), np.array([e[1] for e in entries], dtype=np.int64), np.array([e[2] for e in entries])
-        order = np.lexsort((self.at, feature))
-        feature, self.at, self.weight = feature[order], self.at[order], self.weight[order]
-        pair = feature * (len(examples) // BLOCK + 1) + self.at // BLOCK
-        first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]) if len(pair) else np.empty(0, dtype=np.int64)
-        self.begin, self.block = np.r_[first, len(pair)], self.at[first] // BLOCK
-        self.top = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
-        by_block = np.argsort(self.at // BLOCK, kind="stable")
-        starts = np.searchsorted(self.at[by_block] // BLOCK, np.arange(-(-len(examples) // BLOCK) + 1))
-        self.forward = starts, feature[by_block], self.at[by_block], self.weight[by_block]
-        self.lists = np.searchsorted(feature[first], np.arange(len(self.idf) + 1))
+        feature, at, weight = np.array([e[0] for e in entries], dtype=np.int64), np.array([e[1] for e in entries], dtype=np.int32), np.array([e[2] for e in entries])
+        order = np.lexsort((at, feature))
+        feature, at, weight = feature[order], at[order], weight[order]
+        n, blocks = len(examples), -(-len(examples) // BLOCK)
+        often = np.flatnonzero(np.bincount(feature, minlength=len(self.idf)) * FREQUENT >= max(n, 1))
+        self.row = np.full(len(self.idf), -1, dtype=np.int32)
+        self.row[often] = np.arange(len(often))
+        long = self.row[feature] >= 0
+        self.wide = np.zeros((len(often), blocks * BLOCK))
+        self.wide[self.row[feature[long]], at[long]] = weight[long]
+        self.top = self.wide.reshape(len(often), blocks, BLOCK).max(2)
+        self.at, self.weight = at[~long], weight[~long]
+        self.lists = np.searchsorted(feature[~long], np.arange(len(self.idf) + 1))
 
     def nearest(self, vector: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of the largest cosine and these, ties to the earlier example; only cosines over 0.
-
-        The blocks of the largest bounds are read first; then every block whose bound reaches the ``k``-th cosine.
-        """
-        if not len(self.ids):
+        """The ``k`` examples of the largest cosine and these, ties to the earlier example; only cosines over 0."""
+        n = len(self.ids)
+        if not n:
             return np.empty(0, dtype=np.int64), np.empty(0)
-        n, spans = len(self.ids), [(slice(self.lists[i], self.lists[i + 1]), q) for i, q in vector.items()]
-        block = np.concatenate([self.block[x] for x, _ in spans])
-        bound = np.bincount(block, np.concatenate([q * self.top[x] for x, q in spans]), minlength=-(-n // BLOCK))
-        order = np.argsort(-bound, kind="stable")
-
-        def by_block(wanted: np.ndarray) -> np.ndarray:
-            """Scores from all entries of a few blocks."""
-            starts, feature, at, weight = self.forward
-            parts = [slice(starts[b], starts[b + 1]) for b in wanted]
-            query = np.zeros(len(self.idf))
-            query[list(vector)] = list(vector.values())
-            scores = query[np.concatenate([feature[x] for x in parts])] * np.concatenate([weight[x] for x in parts])
-            return np.bincount(np.concatenate([at[x] for x in parts]), scores, minlength=n)
-
-        def by_list(wanted: np.ndarray) -> np.ndarray:
-            """Scores from the lists' entries in many blocks."""
-            chosen = np.flatnonzero(wanted[block])
-            own = np.concatenate([np.arange(x.start, x.stop) for x, _ in spans])[chosen]
-            q = np.repeat([w for _, w in spans], [x.stop - x.start for x, _ in spans])[chosen]
-            sizes = self.begin[own + 1] - self.begin[own]
-            places = np.repeat(self.begin[own] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
-            return np.bincount(self.at[places], np.repeat(q, sizes) * self.weight[places], minlength=n)
-
-        def whole() -> np.ndarray:
-            parts = [(slice(self.begin[x.start], self.begin[x.stop]), q) for x, q in spans]
-            return np.bincount(np.concatenate([self.at[x] for x, _ in parts]), np.concatenate([q * self.weight[x] for x, q in parts]), minlength=n)
-
-        def best(at: np.ndarray, cosine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            if len(at) > 4 * k:
-                held = cosine >= np.partition(cosine, -k)[-k]
-                at, cosine = at[held], cosine[held]
-            pick = np.lexsort((at, -cosine))[:k]
-            return at[pick], cosine[pick]
-
-        def scored(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            found = np.flatnonzero(scores > 0)
-            return found, scores[found]
-
-        at, cosine = best(*scored(by_block(order[:FIRST_BLOCKS])))
-        late = (bound > 0) & (bound + 1e-12 >= (cosine[-1] if len(cosine) == k else 0))
-        if 4 * late.sum() > (bound > 0).sum():  # little is skipped: whole lists are read faster than their parts
-            return best(*scored(whole()))
-        late[order[:FIRST_BLOCKS]] = False
-        if late.any():
-            more, scores = scored(by_list(late))
-            at, cosine = best(np.r_[at, more], np.r_[cosine, scores])
-        return at, cosine
+        words, q = np.fromiter(vector, np.int64, len(vector)), np.fromiter(vector.values(), float, len(vector))
+        row = self.row[words]
+        short, long = row < 0, row >= 0
+        begin = self.lists[words[short]]
+        sizes = self.lists[words[short] + 1] - begin
+        places = np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        scores = np.bincount(self.at[places], np.repeat(q[short], sizes) * self.weight[places], minlength=self.wide.shape[1])
+        if long.any():
+            asked = np.zeros(len(self.wide))
+            asked[row[long]] = q[long]
+            least = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
+            live = np.flatnonzero(scores.reshape(-1, BLOCK).max(1) + asked @ self.top + 1e-12 >= least)
+            rows = (live[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            # Reading a few blocks means copying them, so most blocks are read as all are.
+            whole = scores[rows] + ((asked @ self.wide)[rows] if 8 * len(rows) > len(scores) else q[long] @ self.wide[np.ix_(row[long], rows)])
+        else:
+            rows, whole = np.arange(len(scores)), scores
+        held = whole > 0
+        if held.sum() > 4 * k:
+            held &= whole >= np.partition(whole, -k)[-k]
+        at, cosine = rows[held], whole[held]
+        pick = np.lexsort((at, -cosine))[:k]
+        return at[pick], cosine[pick]
 
     def score(self, text: str | None, k: int = NEAREST) -> tuple[float, list[dict]]:
         """The weighted share of toxic neighbours, with the prior as one weak vote, and the neighbours that weigh most."""
@@ -208,6 +182,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), places, weights], ["id", "toxic", "places", "weights"])
 
     examples = sample.mapInArrow(vectors, "id string, toxic int, places array<long>, weights array<double>").collect()  # at most `rows`
+    shared.destroy()
     blank = [r.toxic for r in examples if not r.places]
     model = Model(idf, prior, (sum(blank) + prior) / (len(blank) + 1))
     model.index([(r.id, r.toxic, dict(zip(r.places, r.weights, strict=True))) for r in examples if r.places])
