@@ -73,14 +73,21 @@ class Model:
         return dict(zip((i for i, _ in counts), (weights / math.sqrt((weights**2).sum())).tolist(), strict=True))
 
     def index(self, examples: list[tuple[str, int, dict[int, float]]]) -> None:
-        """Builds the lists. Examples with the same strongest feature become neighbours, so that blocks differ."""
-        examples = sorted(examples, key=lambda x: (max(x[2], key=lambda i: (x[2][i], i)), x[1], x[0]))
-        self.ids, self.toxic = [x[0] for x in examples], np.array([x[1] for x in examples], dtype=float)
-        entries = [(i, at, w) for at, (_, _, vector) in enumerate(examples) for i, w in vector.items()]
-        feature, at, weight = np.array([e[0] for e in entries], dtype=np.int64), np.array([e[1] for e in entries], dtype=np.int32), np.array([e[2] for e in entries])
+        """Builds the lists from examples' ids, labels and vectors."""
+        arrays = [(np.fromiter(v, np.int32, len(v)), np.fromiter(v.values(), float, len(v))) for _, _, v in examples]
+        self.index_arrays([x[0] for x in examples], [x[1] for x in examples], [x[0] for x in arrays], [x[1] for x in arrays])
+
+    def index_arrays(self, ids: list[str], toxic: list[int], words: list[np.ndarray], weights: list[np.ndarray]) -> None:
+        """Examples with the same strongest word become neighbours, so that blocks differ."""
+        strongest = [max(zip(w.tolist(), i.tolist(), strict=True))[1] for i, w in zip(words, weights, strict=True)]
+        turn = sorted(range(len(ids)), key=lambda x: (strongest[x], toxic[x], ids[x]))
+        self.ids, self.toxic = [ids[x] for x in turn], np.array([toxic[x] for x in turn], dtype=float)
+        n, blocks = len(ids), -(-len(ids) // BLOCK)
+        at = np.repeat(np.arange(n, dtype=np.int32), [len(words[x]) for x in turn])
+        feature = np.concatenate([words[x] for x in turn]) if n else np.empty(0, dtype=np.int32)
+        weight = np.concatenate([weights[x] for x in turn]) if n else np.empty(0)
         order = np.lexsort((at, feature))
         feature, at, weight = feature[order], at[order], weight[order]
-        n, blocks = len(examples), -(-len(examples) // BLOCK)
         often = np.flatnonzero(np.bincount(feature, minlength=len(self.idf)) * FREQUENT >= max(n, 1))
         self.row = np.full(len(self.idf), -1, dtype=np.int32)
         self.row[often] = np.arange(len(often))
@@ -170,22 +177,27 @@ def _fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     odds = F.log(a / (toxic - F.col("a") + 0.5)) - F.log(b / (clean - F.col("b") + 0.5))
     z = odds / F.sqrt(1 / a + 1 / b + 1 / (toxic - F.col("a") + 0.5) + 1 / (clean - F.col("b") + 0.5))
     kept = table.withColumn("z", z).orderBy(F.desc(F.col("a") + F.col("b")), "feature").limit(FEATURES)
-    idf = {r.feature: (i, telling(r.z) * (math.log((clean + toxic + 1) / (r.a + r.b + 1)) + 1)) for i, r in enumerate(kept.collect())}
+    found = kept.select("feature", (F.col("a") + F.col("b")).alias("n"), "z").toArrow()  # at most `FEATURES` rows
+    columns = zip(found["feature"].to_pylist(), found["n"].to_numpy(), found["z"].to_numpy(), strict=True)
+    idf = {word: (i, telling(z) * (math.log((clean + toxic + 1) / (n + 1)) + 1)) for i, (word, n, z) in enumerate(columns)}
     model = Model(idf, prior, prior)
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shared.value.vector(t) for t in batch.column(1).to_pylist()]
-            places = pa.array([list(v) for v in found], pa.list_(pa.int64()))
+            places = pa.array([list(v) for v in found], pa.list_(pa.int32()))
             weights = pa.array([list(v.values()) for v in found], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), places, weights], ["id", "toxic", "places", "weights"])
 
-    examples = sample.mapInArrow(vectors, "id string, toxic int, places array<long>, weights array<double>").collect()  # at most `rows`
+    examples = sample.mapInArrow(vectors, "id string, toxic int, places array<int>, weights array<double>").toArrow()  # at most `rows`
     shared.destroy()
-    blank = [r.toxic for r in examples if not r.places]
-    model = Model(idf, prior, (sum(blank) + prior) / (len(blank) + 1))
-    model.index([(r.id, r.toxic, dict(zip(r.places, r.weights, strict=True))) for r in examples if r.places])
+    known = np.array([len(x) > 0 for x in examples["places"]], dtype=bool)
+    blank = examples["toxic"].to_numpy()[~known]
+    model = Model(idf, prior, float((blank.sum() + prior) / (len(blank) + 1)))
+    examples = examples.filter(pa.array(known))
+    arrays = [[x.values.to_numpy() for x in examples[c]] for c in ("places", "weights")]
+    model.index_arrays(examples["id"].to_pylist(), examples["toxic"].to_pylist(), *arrays)
     return model
 
 
