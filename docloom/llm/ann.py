@@ -13,6 +13,8 @@ the second, which therefore stops as if all vectors were in one tree.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,13 +26,21 @@ from docloom.llm.vector_grid import Grid, dots, fewest_ids, halves
 DIMS, LEAF, SURE, SEED, QUERIES_AT_ONCE = 24, 48, 0.88, 7, 256
 
 
-def chi2_cdf(x: np.ndarray, dims: int) -> np.ndarray:
+def chi2_cdf(x: float, dims: int) -> float:
     """Chi-square distribution with an even number of degrees of freedom."""
-    half, term, total = x / 2, np.ones_like(x), np.ones_like(x)
+    half, term, total = x / 2, 1.0, 1.0
     for i in range(1, dims // 2):
-        term = term * half / i
-        total = total + term
-    return 1 - np.exp(-half) * total
+        term *= half / i
+        total += term
+    return 1 - math.exp(-half) * total
+
+
+def chi2_quantile(share: float, dims: int) -> float:
+    low, high = 0.0, 20.0 * dims
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi2_cdf(middle, dims) < share else (low, middle)
+    return high
 
 
 def search_shard(
@@ -49,6 +59,7 @@ def search_shard(
     most = max(map(len, leaves))
     rows = np.array([np.r_[x, np.full(most - len(x), -1)] for x in leaves])
     least = np.full(len(queries), -np.inf) if least is None else least
+    limit, lengths = chi2_quantile(SURE, DIMS), (points**2).sum(1)  # the test holds from `limit` times the k-th squared distance on
     out = []
     for begin in range(0, len(queries), QUERIES_AT_ONCE):
         part = slice(begin, begin + QUERIES_AT_ONCE)
@@ -60,13 +71,13 @@ def search_shard(
         live, base = np.arange(len(q)), norm2 + (q**2).sum(1)
         for step in range(1 if first_only else len(leaves)):
             kth = np.maximum(base - 2 * floor, 1e-12)  # squared distance; infinite while there are fewer than k
-            live = live[~(chi2_cdf(near[live, step] / kth[live], DIMS) >= SURE)]
+            live = live[near[live, step] < limit * kth[live]]
             if not len(live):
                 break
             got = rows[order[live, step]]
             found = ids[got]
-            far = ((points[got] - at[live][:, None]) ** 2).sum(2)
-            r, c = np.nonzero((got >= 0) & (found != own[live][:, None]) & ~(chi2_cdf(far / kth[live][:, None], DIMS) >= SURE))
+            far = lengths[got] - 2 * np.matmul(points[got], at[live][:, :, None])[:, :, 0] + (at[live] ** 2).sum(1)[:, None]
+            r, c = np.nonzero((got >= 0) & (found != own[live][:, None]) & (far < limit * kth[live][:, None]))
             if not len(r):
                 continue
             if verified is not None:
@@ -78,7 +89,7 @@ def search_shard(
             pick = np.lexsort((found, -score))[:, :k]
             best[to], best_id[to] = np.take_along_axis(score, pick, 1), np.take_along_axis(found, pick, 1)
             floor[to] = np.maximum(floor[to], best[to, -1])
-        r, c = np.nonzero(np.isfinite(best))
+        r, c = np.nonzero(np.isfinite(best) & (best >= least[part][:, None]))
         out.append((r + begin, best_id[r, c], best[r, c]))
     return tuple(map(np.concatenate, zip(*out, strict=True)))
 
@@ -101,7 +112,8 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
 
             return run
 
-        first = leave(scratch.keep(grid.search(search(True), grid.queries().withColumn("least", F.lit(float("-inf"))))))
+        first = grid.search(search(True), grid.queries().withColumn("least", F.lit(float("-inf"))))
+        first = leave(scratch.keep(grid.best(first, k).select("key", "id", "score")))
         found = first.union(grid.search(search(False), leave(scratch.keep(grid.shared(first, k))))).distinct()
         leave(grid.rows)
         return grid.top(found, k).select("query_id", F.col("rank").cast("int"), F.col("id").alias("vec_id"), "score")

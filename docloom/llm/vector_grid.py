@@ -40,8 +40,7 @@ class Grid:
 
     def shared(self, found: DataFrame, k: int) -> DataFrame:
         """The queries with ``least``, the ``k``-th best score that each has over all shards."""
-        order = Window.partitionBy("key").orderBy(F.desc("score"), "id")
-        kth = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select("key", F.col("score").alias("least"))
+        kth = self.best(found, k).where(F.col("rank") == k).select("key", F.col("score").alias("least"))
         return self.queries().join(kth, "key", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
 
     def search(self, f: Callable[[np.ndarray, np.ndarray, pd.DataFrame, np.ndarray], tuple], queries: DataFrame) -> DataFrame:
@@ -59,11 +58,14 @@ class Grid:
 
         return left.groupBy("own_s", "own_b", "own_dim").cogroup(right.groupBy("s", "b", "dim")).applyInPandas(run, "key long, id long, score double")
 
-    def top(self, found: DataFrame, k: int) -> DataFrame:
-        """The ``k`` best of each query over all shards, ties to the smaller id."""
+    def best(self, found: DataFrame, k: int) -> DataFrame:
+        """The ``k`` best of each query over all shards, with their ``rank``, ties to the smaller id."""
         order = Window.partitionBy("key").orderBy(F.desc("score"), "id")
-        best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        return best.join(self.queries().select("key", F.col("id").alias("query_id")), "key")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    def top(self, found: DataFrame, k: int) -> DataFrame:
+        """The same with the queries' ids."""
+        return self.best(found, k).join(self.queries().select("key", F.col("id").alias("query_id")), "key")
 
 
 def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
