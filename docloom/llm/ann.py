@@ -50,7 +50,7 @@ def search_shard(
 
     ``least``: scores that each query has ``k`` of already. ``verified`` takes how many points were verified.
     """
-    ids, vectors = fewest_ids(ids, vectors, k + 1)
+    ids, vectors = fewest_ids(ids, vectors, k + 1)  # in the order of the ids, so row numbers break ties
     lift = np.sqrt(np.maximum(norm2 - (vectors**2).sum(1), 0))
     plane = np.random.default_rng(SEED).standard_normal((vectors.shape[1] + 1, DIMS))
     points, asked = np.c_[vectors, lift] @ plane, queries @ plane[:-1]
@@ -67,7 +67,8 @@ def search_shard(
         near = sum(np.maximum(np.maximum(low[None, :, i] - at[:, None, i], at[:, None, i] - high[None, :, i]), 0) ** 2 for i in range(DIMS))
         order = np.argsort(near, 1, kind="stable")
         near = np.take_along_axis(near, order, 1)
-        best, best_id = np.full((len(q), k), -np.inf), np.full((len(q), k), -1, dtype=np.int64)
+        distance = lengths - 2 * at @ points.T + (at**2).sum(1)[:, None]
+        best, best_at = np.full((len(q), k), -np.inf), np.full((len(q), k), -1, dtype=np.int64)
         live, base = np.arange(len(q)), norm2 + (q**2).sum(1)
         for step in range(1 if first_only else len(leaves)):
             kth = np.maximum(base - 2 * floor, 1e-12)  # squared distance; infinite while there are fewer than k
@@ -75,22 +76,20 @@ def search_shard(
             if not len(live):
                 break
             got = rows[order[live, step]]
-            found = ids[got]
-            far = lengths[got] - 2 * np.matmul(points[got], at[live][:, :, None])[:, :, 0] + (at[live] ** 2).sum(1)[:, None]
-            r, c = np.nonzero((got >= 0) & (found != own[live][:, None]) & (far < limit * kth[live][:, None]))
+            r, c = np.nonzero((got >= 0) & (ids[got] != own[live][:, None]) & (distance[live[:, None], got] < limit * kth[live][:, None]))
             if not len(r):
                 continue
             if verified is not None:
                 verified.append(len(r))
             score = np.full(got.shape, -np.inf)
-            score[r, c] = dots(q[live[r]], vectors[got[r, c]])
+            score[r, c] = np.einsum("ij,ij->i", q[live[r]], vectors[got[r, c]])
             changed = np.unique(r)
-            score, found, to = np.c_[best[live[changed]], score[changed]], np.c_[best_id[live[changed]], found[changed]], live[changed]
+            score, found, to = np.c_[best[live[changed]], score[changed]], np.c_[best_at[live[changed]], got[changed]], live[changed]
             pick = np.lexsort((found, -score))[:, :k]
-            best[to], best_id[to] = np.take_along_axis(score, pick, 1), np.take_along_axis(found, pick, 1)
+            best[to], best_at[to] = np.take_along_axis(score, pick, 1), np.take_along_axis(found, pick, 1)
             floor[to] = np.maximum(floor[to], best[to, -1])
-        r, c = np.nonzero(np.isfinite(best) & (best >= least[part][:, None]))
-        out.append((r + begin, best_id[r, c], best[r, c]))
+        r, c = np.nonzero(np.isfinite(best) & (best >= least[part][:, None] - 1e-9 * np.abs(least[part][:, None])))
+        out.append((r + begin, ids[best_at[r, c]], dots(q[r], vectors[best_at[r, c]])))
     return tuple(map(np.concatenate, zip(*out, strict=True)))
 
 
