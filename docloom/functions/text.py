@@ -83,9 +83,12 @@ def word_count(value: Column | str) -> Column:
 
 def word_windows(value: Column | str, most: int) -> Column:
     """Windows of ``most`` words joined by one space; a text that fits stays one, stripped."""
-    found = words(value)
-    cut = F.transform(F.sequence(F.lit(0), F.size(found) - 1, F.lit(most)), lambda i: F.array_join(F.slice(found, i + 1, most), " "))
-    return F.when(F.size(found) <= most, F.array(strip(value))).otherwise(cut)
+
+    def windows(found: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.size(found) - 1, F.lit(most)), lambda i: F.array_join(F.slice(found, i + 1, most), " "))
+        return F.when(F.size(found) <= most, F.array(strip(value))).otherwise(cut)
+
+    return F.element_at(F.transform(F.array(words(value)), windows), 1)  # the words are a function's argument, so a text is split once
 
 
 def compact(values: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,23 +29,25 @@ def points(cases: DataFrame, chunks: DataFrame) -> DataFrame:
 def batches(df: DataFrame, group: str, order: str, most_bytes: int = 8 << 20, most_points: int = 25) -> DataFrame:
     """Adds ``batch``: greedy write batches within each case, of so many points and JSON bytes at most.
 
-    A point over the limit is a batch of its own. Only ids and sizes go to the workers.
+    A point over the limit is a batch of its own. Only ids and sizes go to the workers, sorted within their
+    partition; a worker holds the running batch's size and count alone, so a case may have any number of points.
     """
     sized = df.select(F.col(group).alias("g"), F.col(order).alias("o"), X.json_bytes(*df.columns).alias("bytes"))
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("o")
-        return pdf.assign(batch=list(_fold(pdf["bytes"], most_bytes, most_points)))[["g", "o", "bytes", "batch"]]
-
     kinds = dict(sized.dtypes)
-    found = sized.groupBy("g").applyInPandas(fold, f"g {kinds['g']}, o {kinds['o']}, bytes long, batch long")
-    return found.select(F.col("g").alias(group), F.col("o").alias(order), "bytes", "batch")
 
-
-def _fold(sizes: pd.Series, most_bytes: int, most_points: int) -> Iterator[int]:
-    batch, used, count = 0, 0, 0
-    for size in sizes:
-        if count and (used + size > most_bytes or count >= most_points):
-            batch, used, count = batch + 1, 0, 0
-        yield batch
-        used, count = used + size, count + 1
+    def fold(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        case, batch, used, count = object(), 0, 0, 0
+        for table in tables:
+            out = []
+            for g, size in zip(table.column(0).to_pylist(), table.column(2).to_pylist(), strict=True):
+                if g != case:
+                    case, batch, used, count = g, 0, 0, 0
+                elif used + size > most_bytes or count >= most_points:
+                    batch, used, count = batch + 1, 0, 0
+                used, count = used + size, count + 1
+                out.append(batch)
+            yield pa.RecordBatch.from_arrays([*table.columns, pa.array(out, pa.int64())], ["g", "o", "bytes", "batch"])
+
+    ordered = sized.select("g", "o", F.col("bytes").cast("long")).repartition("g").sortWithinPartitions("g", "o")
+    found = ordered.mapInArrow(fold, f"g {kinds['g']}, o {kinds['o']}, bytes long, batch long")
+    return found.select(F.col("g").alias(group), F.col("o").alias(order), "bytes", "batch")

@@ -56,7 +56,8 @@ def bm25_topk(df: DataFrame, query: str, k: int = 20, id_col: str = "id", text_c
     if not terms:
         raise ValueError("a query needs a word")
     words = df.select(F.col(id_col).alias("id"), tokens(text_col).alias("words"))
-    counted = words.select("id", F.size("words").alias("dl"), F.array(*map(_times, terms)).alias("tf"))
+    # Made a row of its own, else each later use of a count and each filter would split the texts again.
+    counted = words.select("id", F.explode(F.transform(F.array("words"), lambda w: F.struct(F.size(w).alias("dl"), F.array(*(_times(w, t) for t in terms)).alias("tf")))).alias("c")).select("id", "c.*")
     found = [F.count_if(F.get("tf", F.lit(i)) > 0).alias(f"df{i}") for i in range(len(terms))]
     stats = counted.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"), *found)
     scored = counted.where(F.exists("tf", lambda x: x > 0)).crossJoin(F.broadcast(stats))  # one row
@@ -68,8 +69,8 @@ def bm25_topk(df: DataFrame, query: str, k: int = 20, id_col: str = "id", text_c
     return scored.select("id", F.round(reduce(Column.__add__, parts), 6).alias("score")).orderBy(F.desc("score"), "id").limit(k)
 
 
-def _times(term: str) -> Column:
-    return F.size(F.filter("words", lambda w: w == term))
+def _times(words: Column, term: str) -> Column:
+    return F.size(F.filter(words, lambda w: w == term))
 
 
 def rrf(lists: list[DataFrame], k: int = 10, constant: int = RRF_K) -> DataFrame:
