@@ -276,6 +276,58 @@ def h5_links(spark, sf_dir):
     return _web(spark, sf_dir).select(F.col("case_id").alias("page_id"), F.array_join("acts_referred", "|").alias("links"))
 
 
+JUDGES = "Hon'ble Judges"
+
+
+def _judgments(spark, sf_dir):
+    """Judgment pages written from the columns of orders: some without a title or court, with a lead line, double paragraphs, acts with or without links."""
+    key, cust = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    some = lambda n, *parts: F.when(F.col("o_orderkey") % n != 0, F.concat(*map(_lit, parts))).otherwise("")
+    html = F.concat(
+        F.lit("<html><body>"), some(5, '<div class="judgtitle">Case ', key, "<br>versus <b>State &amp; Another</b></div>"), some(4, '<p class="highcourt"> Court&nbsp;of ', F.col("o_orderpriority"), "</p>"),
+        _lit('<p class="judgdate">Date of Decision : '), F.date_format("o_orderdate", "dd MMMM yyyy"), _lit('</p><p class="citations">Citation: '), key, _lit(" SCC<br>"), cust,
+        _lit('</p><p class="apptype">Case Type : Appeal</p><p class="appealno">CASE NO:'), key, _lit("/"), cust, _lit(f'</p><p class="judges">{JUDGES}: A. '), cust, _lit(" , B. Roe,</p>"),
+        _lit('<p class="eqcitations">Eq. Citations : X '), key, _lit(", Y 2</p><p class=\"advocate\">Advocates: </p><p class=\"fd\">Subject : Tax "), cust, _lit('</p><p class="fd">Final Decision: Allowed</p>'),
+        F.when(F.col("o_orderkey") % 2 == 0, F.concat(_lit('<div class="acts"><a>Act '), cust, _lit("</a><a> Act "), cust, _lit("</a><a>Act Z</a></div>"))).otherwise(F.concat(_lit('<div class="acts">Acts Referred: A '), cust, _lit("; B | C, D</div>"))),
+        _lit('<p><a id="aCaseCited">Cited</a> <b>'), cust, _lit("</b></p>"), F.when(F.col("o_orderkey") % 3 == 0, '<p class="judgpara">A. Name, J. -</p>').otherwise(""),
+        _lit('<p class="judgpara">[1] First &lt;'), key, _lit('&gt;</p><p class="judgspara">(2) Sub '), cust, _lit('</p><p class="judgpara">3. Third</p><p class="judgpara">3. Third</p><p class="judgpara">Judgement Text :</p><p class="judgpara">1.5 percent<script>x</script></p></body></html>'),
+    )
+    orders = scans.read_table(spark, sf_dir, "orders")
+    return parse.parse_cases(orders.select(F.col("o_orderkey").alias("file_name"), F.lit("J").alias("ftype"), F.lit(1).alias("flag"), html.alias("html")))
+
+
+def _lit(value):
+    return F.lit(value) if isinstance(value, str) else value
+
+
+@query("""SELECT o_orderkey AS case_id, CASE WHEN o_orderkey % 5 <> 0 THEN 'Case ' || o_orderkey || ' versus State & Another' END AS title, CASE WHEN o_orderkey % 4 <> 0 THEN 'Court of ' || o_orderpriority END AS court,
+       strftime(o_orderdate, '%d %B %Y') AS date_of_decision, o_orderkey || ' SCC' || o_custkey AS citation, 'Appeal' AS case_type, o_orderkey || '/' || o_custkey AS case_no, 'Tax ' || o_custkey AS subject, 'Allowed' AS final_decision,
+       CAST(o_custkey AS DOUBLE) AS cited FROM orders""")
+def h3_judgment_metadata(spark, sf_dir):
+    return _judgments(spark, sf_dir).select("case_id", "title", "court", "date_of_decision", "citation", "case_type", "case_no", "subject", "final_decision", "cited")
+
+
+@query("""SELECT o_orderkey AS case_id, 'A. ' || o_custkey || '|B. Roe' AS judges, 'X ' || o_orderkey || '|Y 2' AS equivalent_citations, '' AS advocates,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'Act ' || o_custkey || '|Act Z' ELSE 'A ' || o_custkey || '|B|C|D' END AS acts_referred FROM orders""")
+def h4_judgment_lists(spark, sf_dir):
+    return _judgments(spark, sf_dir).select("case_id", *(F.array_join(c, "|").alias(c) for c in ("judges", "equivalent_citations", "advocates", "acts_referred")))
+
+
+@query("""SELECT o_orderkey AS case_id, i AS place, CASE i WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 1 END AS para_no,
+       CASE i WHEN 0 THEN CASE WHEN o_orderkey % 3 = 0 THEN 'A. Name, J. - ' ELSE '' END || 'First <' || o_orderkey || '>' WHEN 1 THEN 'Sub ' || o_custkey WHEN 2 THEN 'Third' ELSE '5 percent' END AS text,
+       CASE WHEN i = 1 THEN 'judgspara' ELSE 'judgpara' END AS source_class, CASE WHEN i = 1 THEN 'subpoint' ELSE 'main' END AS role
+FROM (SELECT *, unnest(range(4)) AS i FROM orders)""")
+def h9_judgment_paragraphs(spark, sf_dir):
+    found = _judgments(spark, sf_dir).select("case_id", F.posexplode("paragraphs").alias("place", "p"))
+    return found.select("case_id", F.col("place").cast("long"), F.col("p.para_no").cast("int").alias("para_no"), "p.text", "p.source_class", "p.role")
+
+
+@query("""SELECT o_orderkey AS case_id, md5('[1] ' || CASE WHEN o_orderkey % 3 = 0 THEN 'A. Name, J. - ' ELSE '' END || 'First <' || o_orderkey || '>' || chr(10) || chr(10) || '[2] Sub ' || o_custkey || chr(10) || chr(10) || '[3] Third' || chr(10) || chr(10) || '[1] 5 percent') AS full_text_md5,
+       concat_ws(', ', CASE WHEN o_orderkey % 5 = 0 THEN 'no title found' END, CASE WHEN o_orderkey % 4 = 0 THEN 'no court found' END) AS warnings FROM orders""")
+def h16_judgment_text(spark, sf_dir):
+    return _judgments(spark, sf_dir).select("case_id", F.md5("full_text").alias("full_text_md5"), F.array_join("warnings", ", ").alias("warnings"))
+
+
 @query()
 def h9_paragraphs(spark, sf_dir):
     return _web(spark, sf_dir).select(F.col("case_id").alias("page_id"), F.posexplode("paragraphs").alias("position", "p")).select("page_id", "position", "p.para_no", "p.text", "p.role")
