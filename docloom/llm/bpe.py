@@ -74,7 +74,7 @@ _CACHES: dict[tuple[str, str], PieceCache] = {}
 
 
 def by_tokenizers(path: str) -> PieceCache:
-    """Ids as the ``tokenizers`` library gives them for the vocabulary file, without special tokens."""
+    """Ids as the ``tokenizers`` library gives them for the vocabulary file: none is added, a special token's own text gets its id."""
     if ("tokenizers", path) not in _CACHES:
         import os
 
@@ -82,7 +82,6 @@ def by_tokenizers(path: str) -> PieceCache:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         _CACHES["tokenizers", path] = PieceCache(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
     return _CACHES["tokenizers", path]
 

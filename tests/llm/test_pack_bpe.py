@@ -1,3 +1,4 @@
+import functools
 import random
 
 import numpy as np
@@ -10,19 +11,22 @@ from docloom.llm import bpe, encoding, packing
 
 VOCABULARY, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken")
 TEXTS = [
-    "", " ", "  two  spaces ", "don't we've I'LL 123 4567", "a\r\n\r\n\tb\n ", "naïve ☃ 漢字 \U0001f600 é", "<|endoftext|> x", "word " * 50, "x" * 500, " x y\xa0z ", "tab\there", "!!! ... ??", "\n\n a",
+    "", " ", "  two  spaces ", "don't we've I'LL 123 4567", "a\r\n\r\n\tb\n ", "naïve ☃ 漢字 \U0001f600 é", "<|endoftext|> x", "a<|endoftext|>b <|endoftext|>.  <|endoftext|>  c\n<|endoftext|>", "word " * 50, "x" * 500, " x y\xa0z ", "tab\there", "!!! ... ??", "\n\n a",
 ]
 
 
+@functools.cache
+def library():
+    return Tokenizer.from_file(VOCABULARY)
+
+
 def ids_by_tokenizers(text):
-    t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
-    return t.encode(text, add_special_tokens=False).ids
+    return library().encode(text, add_special_tokens=False).ids
 
 
 def test_piece_cache_gives_the_library_s_ids():
     rng = random.Random(3)
-    pieces = [" ", "  ", "\n", "a", "Bc", "'s", "12", ".", "é", "word", "\xa0", "\t", ","]
+    pieces = [" ", "  ", "\n", "a", "Bc", "'s", "12", ".", "é", "word", "\xa0", "\t", ",", "<|endoftext|>"]
     texts = TEXTS + ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 40))) for _ in range(400)]
     cache = bpe.by_tokenizers(VOCABULARY)
     for group in (texts, texts[::-1]):
