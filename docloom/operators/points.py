@@ -14,16 +14,12 @@ from docloom.operators.parse import CASE_COLUMNS
 CHUNK_COLUMNS = ["chunk_id", "chunk_index", "paragraph_start", "paragraph_end", "word_count", "has_subpoints", "source_paragraph_types", "text"]
 
 
-def points(cases: DataFrame, chunks: DataFrame) -> DataFrame:
-    """``id, sparse_text`` and the payload columns; ``chunks`` may bring ``vector`` and ``skip_reason``.
-
-    Skipped passages are left out, and so are cases with no other. The passages are joined to their case
-    by its id, which both sides usually are partitioned by.
-    """
+def points(chunks: DataFrame) -> DataFrame:
+    """``id, sparse_text`` and the payload columns of passages that carry their case's columns; ``chunks`` may bring
+    ``vector`` and ``skip_reason``. Skipped passages are left out, and so are cases with no other."""
     kept = chunks.where(F.col("skip_reason").isNull()) if "skip_reason" in chunks.columns else chunks
     vector = [F.col("vector").alias("dense")] if "vector" in chunks.columns else []
-    both = kept.join(cases.select(*CASE_COLUMNS), "case_id")
-    return both.select(X.point_id("case_id", "chunk_index").alias("id"), *vector, X.sparse_text("text").alias("sparse_text"), *CASE_COLUMNS, *CHUNK_COLUMNS)
+    return kept.select(X.point_id("case_id", "chunk_index").alias("id"), *vector, X.sparse_text("text").alias("sparse_text"), *CASE_COLUMNS, *CHUNK_COLUMNS)
 
 
 def batches(df: DataFrame, group: str, order: str, most_bytes: int = 8 << 20, most_points: int = 25) -> DataFrame:

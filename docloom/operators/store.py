@@ -6,6 +6,8 @@ Every change writes a whole new version beside the one that is read, and a versi
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,12 +55,21 @@ class Collection:
         writer.parquet(f"{self.path}/version={versions[-1] + 1 if versions else 1}")
 
     def upsert(self, new: DataFrame, order: Column | None = None, replace: str | None = None) -> None:
-        """Rows of ``new`` take the place of stored rows with their key; of equal keys the last by ``order`` wins.
+        """Rows of ``new`` take the place of stored rows with their key; of equal keys the last by ``order`` wins,
+        without it the last in the order in which ``new`` is read.
 
         ``replace``: a column such as the case id whose stored rows all go when ``new`` has its value.
+        ``new`` is written beside the versions first, as the merge reads it twice and its embedder may be a paid service.
         """
-        last = merge_rows(self.read() if self.exists() else None, new, self.key, order, replace)
-        self.write(last)
+        staged = f"{self.path}/staged={uuid.uuid4().hex}"
+        marked = new.withColumn("docloom_at", F.monotonically_increasing_id() if order is None else order)
+        try:
+            marked.write.parquet(staged)
+            rows = self.spark.read.schema(marked.schema).parquet(staged)
+            merged = merge_rows(self.read() if self.exists() else None, rows, self.key, F.col("docloom_at"), replace)
+            self.write(merged.drop("docloom_at"))
+        finally:
+            self._delete(staged)
 
     def set_payload(self, changes: DataFrame) -> None:
         """Columns of ``changes`` (with the key, one row each) into the stored rows it names; others keep theirs."""
@@ -74,8 +85,11 @@ class Collection:
     def vacuum(self, keep: int = 2) -> None:
         """Deletes all versions but the last ``keep``."""
         for version in self._folders()[:-keep]:
-            where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/version={version}")
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            self._delete(f"{self.path}/version={version}")
+
+    def _delete(self, folder: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def merge_rows(old: DataFrame | None, new: DataFrame, key: str, order: Column | None = None, replace: str | None = None) -> DataFrame:

@@ -16,17 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docloom.operators.chunk import chunk
-from docloom.operators.parse import JUDGMENT, Profile, parse_cases
+from docloom.operators.parse import CASE_COLUMNS, JUDGMENT, Profile, parse_cases
 from docloom.operators.points import points
 from docloom.operators.store import Collection
 from docloom.sources.scans import nonempty
 
 
 def load(raw: DataFrame, embed: Callable[[DataFrame], DataFrame] | None = None, profile: Profile = JUDGMENT, target_words: int = 600, overlap: int = 1) -> DataFrame:
-    """Raw rows as points: parse, chunk, embed (adds ``vector`` and ``skip_reason``)."""
+    """Raw rows as points: parse, chunk, embed (adds ``vector`` and ``skip_reason``). Nothing is shuffled or computed twice."""
     cases = parse_cases(nonempty(raw, "html"), profile)
-    chunks = chunk(cases, "case_id", "paragraphs", target_words, overlap)
-    return points(cases, embed(chunks) if embed else chunks)
+    chunks = chunk(cases, "case_id", "paragraphs", target_words, overlap, [c for c in CASE_COLUMNS if c != "case_id"])
+    return points(embed(chunks) if embed else chunks)
 
 
 def stream_load(spark: SparkSession, source: str, collection: Collection, checkpoint: str, after: int | None = None, end: int | None = None, files_at_once: int = 100, **options) -> StreamingQuery:

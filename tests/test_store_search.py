@@ -8,7 +8,7 @@ from docloom.operators import backfill, embed, points, search
 from docloom.operators.store import Collection, merge_rows
 from docloom.plans import jobs
 from docloom.sources import scans
-from docloom.streaming.loads import Progress, stream_load
+from docloom.streaming.loads import Progress, load, stream_load
 
 HTML = '<p class="judgtitle">Case {0}</p><p class="judgpara">[1] alpha beta word{0}</p><p class="judgpara">gamma</p>'
 
@@ -48,6 +48,38 @@ def test_merge_takes_the_last(spark):
     assert [tuple(r) for r in merge_rows(None, new, "id", F.col("v")).collect()] == [(1, 2)]
 
 
+def test_upsert_takes_the_last_row_read(spark, tmp_path):
+    c = Collection(spark, str(tmp_path / "c"))
+    c.upsert(spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id long, v string").coalesce(1))
+    assert sorted(map(tuple, c.read().collect())) == [(1, "b"), (2, "c")]
+    c.upsert(spark.createDataFrame([(1, "x", 2), (1, "y", 1)], "id long, v string, at int"), F.col("at"))
+    assert {r.id: (r.v, r["at"]) for r in c.read().collect()} == {1: ("x", 2), 2: ("c", None)}
+    assert not list((tmp_path / "c").glob("staged=*"))
+
+
+def test_load_computes_vectors_once(spark, tmp_path, capsys):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counting():
+        f = embed.hashing_embedder(8)
+
+        def g(texts):
+            calls.add(len(texts))
+            return f(texts)
+
+        return g
+
+    loaded = load(raw(spark, 3), lambda chunks: embed.embed(chunks, "text", counting, 8))
+    loaded.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Join" not in plan and "Exchange" not in plan
+    c = Collection(spark, str(tmp_path / "l"))
+    c.upsert(loaded)
+    c.upsert(loaded)
+    assert calls.value == 6 and c.read().count() == 3
+    assert {(r.case_id, r.title, len(r.dense)) for r in c.read().collect()} == {(100000 + i, f"Case {i}", 8) for i in (1, 2, 3)}
+
+
 def test_batches(spark):
     df = spark.createDataFrame([(1, i, "x" * n) for i, n in enumerate([10, 10, 500, 10, 10])], "case_id long, o int, t string")
     found = points.batches(df, "case_id", "o", 200, 2).orderBy("o").collect()
