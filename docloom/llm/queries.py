@@ -14,6 +14,7 @@ from docloom.llm.line_dedup import line_dedup
 from docloom.llm.packing import pack
 from docloom.llm.topk import top_k
 from docloom.llm.toxicity import fit, held_out, score
+from docloom.llm.turns import repair, report
 from docloom.llm.url_filter import LISTED_WORDS, RULES, url_filter
 
 
@@ -142,6 +143,71 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 5
 """
 
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults of known kinds; ``copies`` is how many times a turn then stands there."""
+    text, role = (F.coalesce(c, F.lit(" ")) for c in ("text", "role"))
+    told = F.concat(*(F.coalesce(F.col(c).cast("string"), F.lit(" ")) if c != ":" else F.lit(c) for c in ("conv_id", ":", "turn")))
+    turns = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(told.cast("binary")) % 20).alias("fault"))
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return turns.select("conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), F.when(F.col("fault") == 0, 0).when(F.col("fault") == 3, 2).otherwise(1).alias("copies"))
+
+
+def _crc32_sql(codes: str) -> str:
+    """The CRC-32 of a list of bytes."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return f"xor(list_reduce({codes}, lambda c, b: xor(c >> 8, {table}[CAST(xor(c, b) & 255 AS BIGINT) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(repair(damaged(table(spark, sf_dir, "conversations")), F.col("copies")))
+
+
+def _op11_sql() -> str:
+    """The same edits by another way: the least cost and letters up to every turn, from the front alone."""
+    least = lambda *x: f"list_sort([{', '.join(x)}])[1]"
+    moved = lambda v, cost, letter, told="''": f"{{'c': {v}.c + {cost}, 'a': {v}.a || '{letter}', 't': {v}.t || {told}}}"
+    where = lambda test, x: f"CASE WHEN {test} THEN {x} ELSE {{'c': 1000000000, 'a': '', 't': ''}} END"
+    into = {"u": "'\n' || 'user:'", "a": "'\n' || 'assistant:'"}
+    sound = "fault NOT IN ('blank', 'duplicate')"
+    more = "CASE fault WHEN 'truncated' THEN 3 ELSE 0 END"
+    keep = lambda v, initial: where(f"{sound} AND ini = '{initial}'", moved(v, more, "K", "'\n' || role || ':' || text"))
+    role = lambda v, initial: where(sound, moved(v, f"3 + {more}", "R", f"{into[initial]} || text"))
+    settled = f"""SELECT * REPLACE ({least("w4", moved("w3", 3, "I", into["a"]))} AS w4)
+        FROM (SELECT * REPLACE ({least("w3", *(moved(v, 3, "I", into["u"]) for v in ("w1", "w2", "w4")))} AS w3) FROM"""
+    none = "{'c': 1000000000, 'a': '', 't': ''}"
+    return rf"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32_sql("list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(unicode(x) AS BIGINT))")} % 20 AS f FROM conversations),
+d AS (SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM k),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM d),
+m AS (SELECT *, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+             WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault FROM o),
+j AS (SELECT *, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS last FROM m),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (i > 1 AND last || ini NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS turns FROM j GROUP BY conv_id),
+w(conv_id, i, w1, w2, w3, w4) AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT), {{'c': 0, 'a': '', 't': ''}}, {none}, {none}, {none} FROM conversations
+    UNION ALL SELECT conv_id, i, {moved("w1", 4, "D")}, {least(moved("w2", 4, "D"), keep("w1", "s"))},
+        {least(moved("w3", 4, "D"), *(f(v, "u") for f in (keep, role) for v in ("w1", "w2", "w4")))}, {least(moved("w4", 4, "D"), keep("w3", "a"), role("w3", "a"))}
+    FROM ({settled} (SELECT w.conv_id, m.i, w1, w2, w3, w4, m.role, m.text, m.ini, m.fault FROM w JOIN m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.i = w.i + 1)))),
+e AS (SELECT conv_id, i, {least("w1", "w4")} AS x FROM ({settled} w)))
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(x.c AS BIGINT) AS cost, x.a AS audit, sha256(substr(x.t, 2)) AS repaired_sha256
+FROM e LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM e.conv_id WHERE e.i = coalesce(n.turns, 0)
+""".replace("'\n'", "chr(10)")
+
+
+OP11 = _op11_sql()
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_pii": op2_pii,
@@ -153,5 +219,6 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_nearest": op9_nearest,
     "op10_top_k": op10_top_k,
+    "op11_conversations": op11_conversations,
 }
-ORACLES = {"op3_jaccard": OP3, "op5_license": OP5, "op6_url_filter": OP6, "op10_top_k": OP10}
+ORACLES = {"op3_jaccard": OP3, "op5_license": OP5, "op6_url_filter": OP6, "op10_top_k": OP10, "op11_conversations": OP11}
