@@ -12,6 +12,7 @@ from docloom.llm.encoding import decode, encode
 from docloom.llm.jaccard import jaccard_components
 from docloom.llm.line_dedup import line_dedup
 from docloom.llm.packing import pack
+from docloom.llm.spelling import LETTERS, count_words, variant_groups
 from docloom.llm.topk import top_k
 from docloom.llm.toxicity import fit, held_out, score
 from docloom.llm.turns import repair, report
@@ -188,8 +189,10 @@ d AS (SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role, CAS
              unnest(range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM k),
 o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
              row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM d),
-m AS (SELECT *, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
-             WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault FROM o),
+m AS (SELECT *, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+             WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault FROM o),
 j AS (SELECT *, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS last FROM m),
 n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
              count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (i > 1 AND last || ini NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS turns FROM j GROUP BY conv_id),
@@ -208,6 +211,27 @@ FROM e LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM e.conv_id WHERE e.i = coale
 OP11 = _op11_sql()
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_groups(count_words(table(spark, sf_dir, "documents")))
+
+
+_UTF8 = "flatten(list_transform(string_split(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [192 + (CAST(unicode(x) AS BIGINT) >> 6), 128 + (CAST(unicode(x) AS BIGINT) & 63)] END))"
+OP12 = f"""
+WITH RECURSIVE r AS (SELECT doc_id, run, count(*) AS times FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[{LETTERS}]{{6,}}')) AS run FROM documents) GROUP BY doc_id, run),
+h AS (SELECT run, times, {_crc32_sql(_UTF8)} AS h FROM r),
+w AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (SELECT times, CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word FROM h)
+      WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+c AS (SELECT word, n, i, left(word, i - 1) AS front, substr(word, i + 1) AS back FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (SELECT a.word, b.word AS near, b.n FROM c a JOIN c b ON a.i = b.i AND a.front = b.front AND a.back = b.back AND a.word <> b.word
+      UNION SELECT c.word, w.word, w.n FROM c JOIN w ON w.word = c.front || c.back
+      UNION SELECT w.word, c.word, c.n FROM c JOIN w ON w.word = c.front || c.back),
+b AS (SELECT word, count(*) AS n_near, arg_min(near, (-n, near)) AS near, max(n) AS near_n FROM p GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * w.n THEN near END AS form, CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n FROM w LEFT JOIN b USING (word)),
+g AS (SELECT word, word AS root, form FROM f UNION ALL SELECT g.word, f.word, f.form FROM g JOIN f ON f.word = g.form)
+SELECT f.word, f.form, g.root, f.n, f.n_near, f.form_n FROM f JOIN g ON g.word = f.word AND g.form IS NULL
+"""
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_pii": op2_pii,
@@ -220,5 +244,6 @@ QUERIES = {
     "op9_nearest": op9_nearest,
     "op10_top_k": op10_top_k,
     "op11_conversations": op11_conversations,
+    "op12_spelling": op12_spelling,
 }
-ORACLES = {"op3_jaccard": OP3, "op5_license": OP5, "op6_url_filter": OP6, "op10_top_k": OP10, "op11_conversations": OP11}
+ORACLES = {"op3_jaccard": OP3, "op5_license": OP5, "op6_url_filter": OP6, "op10_top_k": OP10, "op11_conversations": OP11, "op12_spelling": OP12}
