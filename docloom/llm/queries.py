@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm import license_scan as licence
-from docloom.llm import pii
+from docloom.llm import pii, scratch, warc
 from docloom.llm.ann import nearest
 from docloom.llm.encoding import decode, encode
 from docloom.llm.jaccard import jaccard_components
@@ -232,6 +234,28 @@ SELECT f.word, f.form, g.root, f.n, f.n_near, f.form_n FROM f JOIN g ON g.word =
 """
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{scratch.folder(spark)}/docloom-{uuid.uuid4().hex}"
+    with scratch.scope() as leave:
+        found = warc.read(warc.write(table(spark, sf_dir, "pages"), folder))
+        number = lambda c: F.col(c).cast("long")
+        told = leave(scratch.keep(found.select(number("record").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))))
+    scratch.remove(spark, folder)
+    return told
+
+
+_BITS = "CAST('0x' || substr(h, 5 * i + 1, 5) AS BIGINT)"
+OP13 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST, url) AS n,
+                  max(page_id) OVER (PARTITION BY coalesce(html, '')) AS best FROM pages),
+d AS (SELECT *, sha1(html) AS h FROM p)
+SELECT page_id, strlen(html) AS payload_bytes,
+       array_to_string(list_transform(flatten(list_transform(range(8), lambda i: list_transform([15, 10, 5, 0], lambda s: ({_BITS} >> s) & 31))), lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v + 1, 1)), '') AS payload_digest,
+       CASE WHEN n = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN n > 1 THEN best END AS refers_to
+FROM d
+"""
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_pii": op2_pii,
@@ -245,5 +269,6 @@ QUERIES = {
     "op10_top_k": op10_top_k,
     "op11_conversations": op11_conversations,
     "op12_spelling": op12_spelling,
+    "op13_warc": op13_warc,
 }
-ORACLES = {"op3_jaccard": OP3, "op5_license": OP5, "op6_url_filter": OP6, "op10_top_k": OP10, "op11_conversations": OP11, "op12_spelling": OP12}
+ORACLES = {"op3_jaccard": OP3, "op5_license": OP5, "op6_url_filter": OP6, "op10_top_k": OP10, "op11_conversations": OP11, "op12_spelling": OP12, "op13_warc": OP13}

@@ -45,8 +45,11 @@ def keep(df: DataFrame) -> DataFrame:
 
 def drop(df: DataFrame) -> None:
     """Delete a table made by ``keep`` once nothing reads it any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._docloom_path)
+    remove(df.sparkSession, df._docloom_path)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
