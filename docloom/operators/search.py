@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\p{L}\p{N}]+"
@@ -46,27 +46,38 @@ def postings(df: DataFrame, id_col: str = "id", text_col: str = "sparse_text") -
     return words.select("id", F.size("words").alias("dl"), F.explode("words").alias("term")).groupBy("id", "term", "dl").agg(F.count("*").alias("tf")).select("id", "term", "tf", "dl")
 
 
+def query_terms(spark: SparkSession, query: str) -> list[str]:
+    """A query's distinct words, sorted."""
+    terms = sorted({t for t in spark.range(1).select(tokens(F.lit(query)).alias("t")).first().t})
+    if not terms:
+        raise ValueError("a query needs a word")
+    return terms
+
+
+def bm25_score(df: DataFrame, terms: int, k1: float = K1, b: float = B) -> DataFrame:
+    """``id, score`` of rows ``id, dl, tf`` (by term), ``n, avgdl`` and ``df0, df1 ...``."""
+    parts = []
+    for i in range(terms):
+        n, held, times = F.col("n"), F.col(f"df{i}"), F.get("tf", F.lit(i))
+        idf = F.log(F.lit(1.0) + (n - held + F.lit(0.5)) / (held + F.lit(0.5)))
+        parts.append(idf * times * F.lit(k1 + 1) / (times + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.col("avgdl"))))
+    return df.select("id", F.round(reduce(Column.__add__, parts), 6).alias("score"))
+
+
 def bm25_topk(df: DataFrame, query: str, k: int = 20, id_col: str = "id", text_col: str = "sparse_text", k1: float = K1, b: float = B) -> DataFrame:
     """``id, score`` of the texts with a term of the query.
 
     Only the query's terms are counted, within each text, so no posting is shuffled: document frequencies
     and the average length are one aggregation, the scores a projection behind it.
     """
-    terms = sorted({t for t in df.sparkSession.range(1).select(tokens(F.lit(query)).alias("t")).first().t})
-    if not terms:
-        raise ValueError("a query needs a word")
+    terms = query_terms(df.sparkSession, query)
     words = df.select(F.col(id_col).alias("id"), tokens(text_col).alias("words"))
     # Made a row of its own, else each later use of a count and each filter would split the texts again.
     counted = words.select("id", F.explode(F.transform(F.array("words"), lambda w: F.struct(F.size(w).alias("dl"), F.array(*(_times(w, t) for t in terms)).alias("tf")))).alias("c")).select("id", "c.*")
     found = [F.count_if(F.get("tf", F.lit(i)) > 0).alias(f"df{i}") for i in range(len(terms))]
     stats = counted.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"), *found)
     scored = counted.where(F.exists("tf", lambda x: x > 0)).crossJoin(F.broadcast(stats))  # one row
-    parts = []
-    for i in range(len(terms)):
-        n, held, times = F.col("n"), F.col(f"df{i}"), F.get("tf", F.lit(i))
-        idf = F.log(F.lit(1.0) + (n - held + F.lit(0.5)) / (held + F.lit(0.5)))
-        parts.append(idf * times * F.lit(k1 + 1) / (times + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.col("avgdl"))))
-    return scored.select("id", F.round(reduce(Column.__add__, parts), 6).alias("score")).orderBy(F.desc("score"), "id").limit(k)
+    return bm25_score(scored, len(terms), k1, b).orderBy(F.desc("score"), "id").limit(k)
 
 
 def _times(words: Column, term: str) -> Column:

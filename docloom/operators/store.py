@@ -1,95 +1,308 @@
-"""Collections of points as versioned Parquet tables.
+"""Collections of points: Parquet partitioned by ranges (or hashes) of the key, of which a change rewrites only what it touches.
 
-Every change writes a whole new version beside the one that is read, and a version counts only once its
-``_SUCCESS`` marker is there, so a lost task or a stopped job leaves the last version as it was.
+A change is prepared in ``staged/<batch>``: the new rows (computed once), the touched partitions as they will be, and what the
+change adds to the inverted and vector indexes. Once its ``plan.json`` is there, it is published by steps that may be
+repeated: partitions by Spark's dynamic overwrite, additions by a rename, and a line in the ``ledger`` at the end. A
+writer that finds a sealed change of an interrupted one publishes it first; one that isn't sealed never happened. A
+batch that stands in the ledger isn't written again. One writer at a time; a reader that has begun before a change of its
+partitions has to begin anew.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docloom.operators import postings
+from docloom.operators.vector_index import VectorIndex
+from docloom.sources.files import Files
+
+PART, AT = "docloom_part", "docloom_at"
+
 
 class Collection:
-    """A folder, the key column of its rows, and how its files are laid out (partition and sort columns)."""
+    """A folder of rows with a key. The settings of an existing collection are read from it, those given here make a new one.
+
+    ``width``: keys ``n * width`` to ``(n + 1) * width - 1`` are one partition, so a load of new keys leaves the older ones alone;
+    without it keys are hashed to ``buckets`` partitions. ``text``: the column of an inverted index kept beside the rows.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, key: str = "id", partition_by: list[str] | None = None, sort_by: list[str] | None = None):
-        self.spark, self.path, self.key = spark, path.rstrip("/"), key
-        self.partition_by, self.sort_by = partition_by or [], sort_by or []
+    def __init__(self, spark: SparkSession, path: str, key: str = "id", width: int | None = None, buckets: int = 64, text: str | None = None, sort_by: list[str] | None = None):
+        self.spark, self.path, self.files = spark, path.rstrip("/"), Files(spark, path)
+        self.settings = self.files.read("collection.json") or {"key": key, "width": width, "buckets": buckets, "text": text, "sort_by": sort_by or [key], "schema": None, "indexes": []}
 
-    def _folders(self) -> list[int]:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        system = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(where):
-            return []
-        names = [s.getPath() for s in system.listStatus(where)]
-        done = [p.getName() for p in names if p.getName().startswith("version=") and system.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(n.removeprefix("version=")) for n in done)
+    @property
+    def key(self) -> str:
+        return self.settings["key"]
+
+    @property
+    def text(self) -> str | None:
+        return self.settings["text"]
+
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType.fromJson(self.settings["schema"])
 
     def exists(self) -> bool:
-        return bool(self._folders())
+        return self.files.exists("collection.json")
 
     def ensure(self, schema: T.StructType) -> bool:
         """Makes an empty collection if there is none; one that exists is taken as it is. True if made."""
         if self.exists():
             return False
-        self.write(self.spark.createDataFrame([], schema))
+        self._set(schema=schema.jsonValue())
         return True
 
+    def _set(self, **changes) -> None:
+        self.settings |= changes
+        self.files.write("collection.json", self.settings)
+
+    # ---- reading
+
+    def part(self, key: Column | str) -> Column:
+        value = F.col(key) if isinstance(key, str) else key
+        if self.settings["width"]:
+            width = F.lit(self.settings["width"])
+            return F.call_function("div", value - F.pmod(value, width), width).cast("long")  # whole numbers all the way
+        return F.pmod(F.xxhash64(value), F.lit(self.settings["buckets"])).cast("long")
+
+    def _rows(self, parts: list[int] | None = None) -> DataFrame:
+        schema = _with_part(self.schema)
+        if not self.files.exists("rows"):
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(f"{self.path}/rows")
+        return rows if parts is None else rows.where(F.col(PART).isin(parts))
+
     def read(self, *columns: str) -> DataFrame:
-        versions = self._folders()
-        if not versions:
+        if not self.exists():
             raise FileNotFoundError(f"no collection at {self.path}")
-        df = self.spark.read.parquet(f"{self.path}/version={versions[-1]}")
+        df = self._rows().drop(PART)
         return df.select(*columns) if columns else df
 
-    def write(self, df: DataFrame) -> None:
-        """``df`` as the next version. The one before stays for readers that have begun; older ones are for ``vacuum``."""
-        versions = self._folders()
-        out = df.sortWithinPartitions(*self.sort_by) if self.sort_by else df
-        writer = out.write.mode("overwrite").option("maxRecordsPerFile", 1_000_000)
-        writer = writer.partitionBy(*self.partition_by) if self.partition_by else writer
-        writer.parquet(f"{self.path}/version={versions[-1] + 1 if versions else 1}")
+    def between(self, low: int, high: int) -> DataFrame:
+        """Rows of keys ``low`` to ``high``; of a collection by ranges, only their partitions are read."""
+        found, width = self._rows(), self.settings["width"]
+        found = found.where(F.col(PART).between(low // width, high // width)) if width else found
+        return found.where(F.col(self.key).between(low, high)).drop(PART)
+
+    def of_keys(self, keys: list) -> DataFrame:
+        """Rows of a few keys; only their partitions are read."""
+        if not keys:
+            return self._rows([]).drop(PART)
+        kind = self.schema[self.key].dataType
+        parts = [r[0] for r in self.spark.createDataFrame([(k,) for k in keys], T.StructType([T.StructField("k", kind)])).select(self.part("k")).distinct().collect()]
+        return self._rows(parts).where(F.col(self.key).isin(keys)).drop(PART)
+
+    # ---- payload indexes
+
+    def create_index(self, column: str) -> bool:
+        """An index of a payload column: which partitions hold which values. False if there is one already.
+
+        Partitions written from now on are also sorted by it, with a Bloom filter in their files.
+        """
+        if column in self.settings["indexes"]:
+            return False
+        if column in self.schema.names:
+            self._write_index(column, self._rows())
+        self._set(indexes=[*self.settings["indexes"], column])
+        return True
+
+    def _write_index(self, column: str, rows: DataFrame) -> None:
+        found = rows.select(F.col(column).alias("value"), PART).distinct()
+        found.repartition(PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(f"{self.path}/index/{column}")
+
+    def where(self, column: str, low, high=None) -> DataFrame:
+        """Rows whose indexed column is ``low``, or lies from ``low`` to ``high``; only partitions that hold such rows are read."""
+        wanted = lambda c: c.between(low, high) if high is not None else c == low
+        if column not in self.settings["indexes"] or not self.files.exists(f"index/{column}"):
+            return self.read().where(wanted(F.col(column)))
+        kind = self.schema[column].dataType.simpleString()
+        index = self.spark.read.schema(f"value {kind}, {PART} long").parquet(f"{self.path}/index/{column}")
+        parts = [r[0] for r in index.where(wanted(F.col("value"))).select(PART).distinct().collect()]  # as many as partitions at most
+        return self._rows(parts).where(wanted(F.col(column))).drop(PART)
+
+    # ---- changes
+
+    def done(self, batch: str) -> bool:
+        return self.files.exists(f"ledger/{batch}.json")
+
+    def ledger(self) -> list[dict]:
+        """What every batch has written: its name, rows, and the counters given with it."""
+        return [self.files.read(f"ledger/{name}") for name in self.files.names("ledger") if name.endswith(".json")]
 
-    def upsert(self, new: DataFrame, order: Column | None = None, replace: str | None = None) -> None:
+    def upsert(self, new: DataFrame, order: Column | None = None, replace: str | None = None, batch: str | None = None, count: Callable[[DataFrame], dict] | None = None) -> bool:
         """Rows of ``new`` take the place of stored rows with their key; of equal keys the last by ``order`` wins,
         without it the last in the order in which ``new`` is read.
 
-        ``replace``: a column such as the case id whose stored rows all go when ``new`` has its value.
-        ``new`` is written beside the versions first, as the merge reads it twice and its embedder may be a paid service.
+        ``replace``: a column such as the case id whose stored rows all go when ``new`` has its value. ``batch``: a name; one that
+        is in the ledger already isn't written again (False). ``count``: counters of the stored new rows for the ledger. The
+        plan of ``new`` runs once, as its embedder may be a paid service. Rows without a key are an error.
         """
-        staged = f"{self.path}/staged={uuid.uuid4().hex}"
-        marked = new.withColumn("docloom_at", F.monotonically_increasing_id() if order is None else order)
-        try:
-            marked.write.parquet(staged)
-            rows = self.spark.read.schema(marked.schema).parquet(staged)
-            merged = merge_rows(self.read() if self.exists() else None, rows, self.key, F.col("docloom_at"), replace)
-            self.write(merged.drop("docloom_at"))
-        finally:
-            self._delete(staged)
-
-    def set_payload(self, changes: DataFrame) -> None:
+        batch = self._begin(batch)
+        if batch is None:
+            return False
+        if not self.exists():
+            self.ensure(new.schema)
+        stage = f"{self.path}/staged/{batch}"
+        at = F.monotonically_increasing_id() if order is None else order
+        merge_rows(None, new.withColumn(AT, at), self.key, F.col(AT)).drop(AT).withColumn(PART, self.part(self.key)).write.parquet(f"{stage}/new")
+        fresh = self.spark.read.schema(_with_part(new.schema)).parquet(f"{stage}/new")
+        self._widen(new.schema)
+        parts = {r[0] for r in fresh.select(PART).distinct().collect()}
+        if None in parts:
+            raise ValueError("rows without a key")
+        by = replace or self.key
+        if replace:
+            others = self._rows().select(PART, replace).join(fresh.select(replace).distinct(), replace, "left_semi")
+            parts |= {r[0] for r in others.select(PART).distinct().collect()}
+        stored = self._rows(sorted(parts))
+        named = fresh.select(by).distinct()
+        gone = stored.join(named, by, "left_semi")
+        rest = stored.join(named, by, "left_anti")
+        if replace:  # a row that has gone over to another case
+            keys = fresh.select(self.key)
+            gone = gone.unionByName(rest.join(keys, self.key, "left_semi"))
+            rest = rest.join(keys, self.key, "left_anti")
+        self._change(batch, parts, fresh.unionByName(rest, allowMissingColumns=True), fresh, gone, count(fresh) if count else {})
+        return True
+
+    def delete(self, condition: Column | str, batch: str | None = None) -> bool:
+        """Rows that meet the condition go."""
+        batch = self._begin(batch)
+        if batch is None:
+            return False
+        meets = F.expr(condition) if isinstance(condition, str) else condition
+        parts = {r[0] for r in self._rows().where(meets).select(PART).distinct().collect()}
+        stored = self._rows(sorted(parts))
+        met = F.coalesce(meets, F.lit(False))
+        self._change(batch, parts, stored.where(~met), None, stored.where(met), {})
+        return True
+
+    def set_payload(self, changes: DataFrame, batch: str | None = None) -> bool:
         """Columns of ``changes`` (with the key, one row each) into the stored rows it names; others keep theirs."""
-        names = [c for c in changes.columns if c != self.key]
-        stored = self.read()
-        new = changes.select(self.key, F.struct(*names).alias("docloom_new"))
-        joined = stored.join(new, self.key, "left")
+        batch = self._begin(batch)
+        if batch is None:
+            return False
+        stage, names = f"{self.path}/staged/{batch}", [c for c in changes.columns if c != self.key]
+        changes.select(F.col(self.key), F.struct(*names).alias("docloom_new"), self.part(self.key).alias(PART)).write.parquet(f"{stage}/new")
+        self._widen(changes.schema)
+        told = self.spark.read.parquet(f"{stage}/new")
+        parts = {r[0] for r in told.select(PART).distinct().collect()}
+        stored = self._rows(sorted(parts))
+        joined = stored.join(told.drop(PART), self.key, "left")
         for c in names:
-            old = F.col(c) if c in stored.columns else F.lit(None).cast(changes.schema[c].dataType)
-            joined = joined.withColumn(c, F.when(F.col("docloom_new").isNotNull(), F.col(f"docloom_new.{c}")).otherwise(old))
-        self.write(joined.drop("docloom_new"))
-
-    def vacuum(self, keep: int = 2) -> None:
-        """Deletes all versions but the last ``keep``."""
-        for version in self._folders()[:-keep]:
-            self._delete(f"{self.path}/version={version}")
-
-    def _delete(self, folder: str) -> None:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            joined = joined.withColumn(c, F.when(F.col("docloom_new").isNotNull(), F.col(f"docloom_new.{c}")).otherwise(F.col(c)))
+        fresh = gone = None
+        if self.text in names:
+            fresh, gone = joined.where("docloom_new IS NOT NULL").drop("docloom_new"), stored.join(told.select(self.key), self.key, "left_semi")
+        self._change(batch, parts, joined.drop("docloom_new"), fresh, gone, {})
+        return True
+
+    def _begin(self, batch: str | None) -> str | None:
+        self.recover()
+        batch = batch or uuid.uuid4().hex
+        return None if self.done(batch) else batch
+
+    def _widen(self, schema: T.StructType) -> None:
+        """Columns that the stored rows don't have yet are null there."""
+        old = self.schema
+        if added := [f for f in schema.fields if f.name not in old.names]:
+            self._set(schema=T.StructType(old.fields + [T.StructField(f.name, f.dataType) for f in added]).jsonValue())
+
+    def _change(self, batch: str, parts: set[int], merged: DataFrame, fresh: DataFrame | None, gone: DataFrame | None, counters: dict) -> None:
+        stage, names = f"{self.path}/staged/{batch}", self.schema.names
+        indexed = [c for c in self.settings["indexes"] if c in names]
+        if parts:
+            order = [PART, *indexed, *(c for c in self.settings["sort_by"] if c in names)]
+            missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema if f.name not in merged.columns]
+            out = merged.select("*", *missing).select(*names, PART).hint("rebalance", PART).sortWithinPartitions(*order)  # a partition of many rows is split
+            writer = out.write.option("maxRecordsPerFile", 1_000_000)
+            for c in indexed:
+                writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+            writer.partitionBy(PART).parquet(f"{stage}/rows")
+        if self.text:
+            signed = [postings.of(df, self.key, self.text, sign) for df, sign in ((fresh, 1), (gone, -1)) if df is not None]
+            postings.write(signed, f"{stage}/postings")
+        if fresh is not None and (lists := VectorIndex.of(self)):
+            lists.write(fresh.select(self.key, lists.column), f"{stage}/lists")
+        self.files.write(f"staged/{batch}/plan.json", {"parts": sorted(parts), "counters": counters})
+        self._publish(batch)
+
+    def recover(self) -> list[str]:
+        """Publishes what a writer had sealed when it was interrupted, and drops what it hadn't."""
+        found = []
+        for batch in self.files.names("staged"):
+            if self.files.exists(f"staged/{batch}/plan.json") and not self.done(batch):
+                self._publish(batch)
+                found.append(batch)
+            else:
+                self.files.delete(f"staged/{batch}")
+        return found
+
+    def _publish(self, batch: str) -> None:
+        stage, plan = f"staged/{batch}", self.files.read(f"staged/{batch}/plan.json")
+        if "rebuilt" in plan:
+            self._swap(stage, plan["rebuilt"])
+        if "vectors" in plan:
+            self.files.write("vectors.json", plan["vectors"])
+        if self.files.exists(f"{stage}/rows"):
+            rows = self.spark.read.schema(_with_part(self.schema)).parquet(f"{self.path}/{stage}/rows")
+            left = {int(n.partition("=")[2]) for n in self.files.names(f"{stage}/rows") if n.startswith(PART)}
+            for part in set(plan["parts"]) - left:  # nothing of it is left
+                for folder in ("rows", *(f"index/{c}" for c in self.settings["indexes"])):
+                    self.files.delete(f"{folder}/{PART}={part}")
+            if left:
+                self._overwrite(rows)
+        for name in ("postings", "lists"):
+            if self.files.exists(f"{stage}/{name}"):
+                self.files.rename(f"{stage}/{name}", f"{name}/batch={batch}")
+        self.files.write(f"ledger/{batch}.json", {"batch": batch, **plan["counters"]})
+        self.files.delete(stage)
+
+    def _overwrite(self, rows: DataFrame) -> None:
+        writer = rows.sortWithinPartitions(PART, *(c for c in [*self.settings["indexes"], *self.settings["sort_by"]] if c in rows.columns)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        for c in self.settings["indexes"]:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        writer.partitionBy(PART).parquet(f"{self.path}/rows")
+        for c in self.settings["indexes"]:
+            if c in rows.columns:
+                self._write_index(c, rows)
+
+    # ---- the inverted index
+
+    def postings(self) -> DataFrame:
+        if not self.text:
+            raise ValueError("a collection without an inverted index")
+        if not self.files.exists("postings"):
+            return self.spark.createDataFrame([], postings.SCHEMA)
+        return self.spark.read.schema(postings.SCHEMA).parquet(f"{self.path}/postings")
+
+    def compact(self) -> None:
+        """The additions of all batches to the inverted index as one."""
+        self.recover()
+        if self.files.exists("postings"):
+            self.rebuild("postings", lambda folder: postings.write([self.postings()], folder))
+
+    def rebuild(self, name: str, write: Callable[[str], None], **plan) -> None:
+        """``write`` makes an index anew in the folder it is given, which then takes the place of the old one."""
+        batch = f"{name}-{uuid.uuid4().hex}"
+        write(f"{self.path}/staged/{batch}/rebuilt")
+        self.files.write(f"staged/{batch}/plan.json", {"parts": [], "counters": {}, "rebuilt": name, **plan})
+        self._publish(batch)
+
+    def _swap(self, stage: str, name: str) -> None:
+        """A rebuilt index in place of all batches of the old one."""
+        if self.files.exists(f"{stage}/rebuilt"):
+            self.files.delete(name)
+            self.files.rename(f"{stage}/rebuilt", f"{name}/batch={stage.rpartition('/')[2]}")
+
+
+def _with_part(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(PART, T.LongType())])
 
 
 def merge_rows(old: DataFrame | None, new: DataFrame, key: str, order: Column | None = None, replace: str | None = None) -> DataFrame:

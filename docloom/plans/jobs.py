@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.operators import backfill
+from docloom.functions.text import SERIALS
+from docloom.operators import backfill, postings
 from docloom.operators.chunk import chunk
 from docloom.operators.embed import embed, hashing_embedder
 from docloom.operators.parse import CASE_COLUMNS, parse_cases
 from docloom.operators.points import CHUNK_COLUMNS
-from docloom.operators.search import dense_topk, hybrid_search, query_text, shown
+from docloom.operators.search import bm25_topk, query_text, rrf, shown
 from docloom.operators.store import Collection
+from docloom.operators.vector_index import vector_topk
 from docloom.sources import scans
 from docloom.streaming.loads import load
 
@@ -26,8 +28,20 @@ def point_schema(dense: bool = True) -> T.StructType:
     return T._parse_datatype_string(", ".join(f"{n} {k}" for n, k in columns))
 
 
+#: Keys of a hundred cases are one partition, so that loads of new cases leave the older ones alone.
+CASES_TOGETHER = 100
+
+
 def create_collection(spark: SparkSession, path: str) -> Collection:
-    collection = Collection(spark, path)
+    """A collection for dense search."""
+    collection = Collection(spark, path, width=CASES_TOGETHER * SERIALS)
+    collection.ensure(point_schema())
+    return collection
+
+
+def create_hybrid_collection(spark: SparkSession, path: str) -> Collection:
+    """A collection with an inverted index of the sparse texts beside its vectors."""
+    collection = Collection(spark, path, width=CASES_TOGETHER * SERIALS, text="sparse_text")
     collection.ensure(point_schema())
     return collection
 
@@ -40,31 +54,44 @@ def ingest(raw: DataFrame, collection: Collection, after: int, end: int | None =
 
 
 def search(collection: Collection, words: list[str], size: int = 64, k: int = 5) -> DataFrame:
-    df = collection.read()
-    return shown(df, dense_topk(df, hashing_embedder(size)([query_text(words)])[0].tolist(), k), 1500)
+    """The best rows by vector; by the collection's vector index where it has one."""
+    found = vector_topk(collection, hashing_embedder(size)([query_text(words)])[0].tolist(), k)
+    return payload(collection, found, 1500)
 
 
-def hybrid(collection: Collection, words: list[str], size: int = 64) -> DataFrame:
+def hybrid(collection: Collection, words: list[str], size: int = 64, k: int = 10, prefetch: int = 20) -> DataFrame:
+    """Vector search and BM25, fused; BM25 by the stored postings where the collection has them."""
     text = query_text(words)
-    return hybrid_search(collection.read(), text, hashing_embedder(size)([text])[0].tolist())
+    sparse = postings.bm25_topk(collection.postings(), text, prefetch) if collection.text else bm25_topk(collection.read(collection.key, "sparse_text"), text, prefetch)
+    return payload(collection, rrf([sparse, vector_topk(collection, hashing_embedder(size)([text])[0].tolist(), prefetch)], k), 1800)
+
+
+def payload(collection: Collection, found: DataFrame, characters: int) -> DataFrame:
+    """The found rows (a few) with what a reader wants to see; only their partitions are read."""
+    rows = found.collect()
+    few = found.sparkSession.createDataFrame(rows, found.schema)
+    return shown(collection.of_keys([r.id for r in rows]), few, characters, collection.key)
 
 
 def backfill_court_ids(collection: Collection) -> DataFrame:
-    """Writes the court ids that change; returns the summary."""
+    """Writes the court ids that change, and indexes them; returns the summary."""
     df = collection.read()
     found = backfill.court_ids(df if "court_id" in df.columns else df.withColumn("court_id", F.lit(None).cast("long")))
     counts = found.sparkSession.createDataFrame(backfill.summary(found).collect())
     collection.set_payload(found.where("class = 'updated'").select(collection.key, F.col("computed").alias("court_id")))
+    collection.create_index("court_id")
     return counts
 
 
 def backfill_decision_dates(collection: Collection) -> DataFrame:
-    """Writes the decision dates and years that change; returns the summary."""
+    """Indexes decision years and writes the dates and years that change; returns the summary."""
     df = collection.read()
     for name, kind in (("decision_date", "date"), ("decision_year", "int")):
         df = df if name in df.columns else df.withColumn(name, F.lit(None).cast(kind))
     found = backfill.decision_dates(df)
     counts = found.sparkSession.createDataFrame(backfill.summary(found).collect())
+    for name in ("decision_date", "decision_year"):
+        collection.create_index(name)
     collection.set_payload(found.where("class = 'updated'").select(collection.key, "computed.decision_date", "computed.decision_year"))
     return counts
 

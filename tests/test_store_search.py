@@ -8,7 +8,7 @@ from docloom.operators import backfill, embed, points, search
 from docloom.operators.store import Collection, merge_rows
 from docloom.plans import jobs
 from docloom.sources import scans
-from docloom.streaming.loads import Progress, load, stream_load
+from docloom.streaming.loads import Progress, load
 
 HTML = '<p class="judgtitle">Case {0}</p><p class="judgpara">[1] alpha beta word{0}</p><p class="judgpara">gamma</p>'
 
@@ -27,22 +27,6 @@ def test_scans(spark):
         scans.keyset_range(df, "id", 5, 5)
 
 
-def test_collection_versions(spark, tmp_path):
-    rows = lambda *x: spark.createDataFrame(x, "id long, v string")
-    c = Collection(spark, str(tmp_path / "c"))
-    with pytest.raises(FileNotFoundError):
-        c.read()
-    assert c.ensure(rows((0, "")).schema) and not c.ensure(rows((0, "")).schema) and c.read().count() == 0
-    c.upsert(rows((1, "a"), (2, "b")))
-    c.upsert(rows((2, "c"), (3, "d")))
-    c.upsert(rows((2, "c"), (3, "d")))
-    assert sorted(map(tuple, c.read().collect())) == [(1, "a"), (2, "c"), (3, "d")]
-    c.set_payload(spark.createDataFrame([(1, 7)], "id long, extra int"))
-    assert {r.id: r.extra for r in c.read().collect()} == {1: 7, 2: None, 3: None}
-    c.vacuum(1)
-    assert len(c._folders()) == 1 and c.read().count() == 3
-
-
 def test_merge_takes_the_last(spark):
     new = spark.createDataFrame([(1, 1), (1, 2)], "id long, v int")
     assert [tuple(r) for r in merge_rows(None, new, "id", F.col("v")).collect()] == [(1, 2)]
@@ -54,7 +38,7 @@ def test_upsert_takes_the_last_row_read(spark, tmp_path):
     assert sorted(map(tuple, c.read().collect())) == [(1, "b"), (2, "c")]
     c.upsert(spark.createDataFrame([(1, "x", 2), (1, "y", 1)], "id long, v string, at int"), F.col("at"))
     assert {r.id: (r.v, r["at"]) for r in c.read().collect()} == {1: ("x", 2), 2: ("c", None)}
-    assert not list((tmp_path / "c").glob("staged=*"))
+    assert not list((tmp_path / "c" / "staged").glob("*"))
 
 
 def test_load_computes_vectors_once(spark, tmp_path, capsys):
@@ -140,14 +124,6 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert shown["case"].first().title == "Case 1" and shown["chunks"].count() == 1
 
 
-def test_stream_load_goes_on_where_it_stopped(spark, tmp_path):
-    source, c = str(tmp_path / "source"), Collection(spark, str(tmp_path / "s"))
-    for n in (2, 3):
-        raw(spark, n).write.mode("append").parquet(source)
-        stream_load(spark, source, c, str(tmp_path / "checkpoint"), after=100000, end=100009).awaitTermination()
-    assert sorted(r.case_id for r in c.read().collect()) == [100001, 100002, 100003]
-
-
 def test_progress(tmp_path):
     path = str(tmp_path / "p.json")
     assert Progress.read(path) is None
