@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.operators.search import B, K1, bm25_score, query_terms, tokens
-from docloom.operators.search import postings as counted
 
-BUCKETS, TOTALS = 256, -1
+BUCKETS, TOTALS = 64, -1
 SCHEMA = "term string, id long, tf long, dl long, batch string, bucket int"
 
 
@@ -23,25 +22,32 @@ def bucket(term: Column | str) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
 
 
-def of(df: DataFrame, key: str, text: str, sign: int) -> DataFrame:
-    """Additions of the rows' texts; a text without words adds to the totals alone."""
-    one = F.lit(sign).cast("long")
-    terms = counted(df, key, text).select("term", F.col("id").cast("long").alias("id"), (one * F.col("tf")).alias("tf"), (one * F.col("dl")).alias("dl"))
-    words = df.select(F.size(tokens(text)).alias("dl"))
-    none = F.lit(None)
-    return terms.union(words.select(none.cast("string"), none.cast("long"), one.alias("tf"), (one * F.col("dl")).alias("dl")))
+def delta(key: str, text: str, fresh: DataFrame | None, gone: DataFrame | None) -> DataFrame:
+    """What a change adds: the words of its ``fresh`` rows, less those of the rows that are ``gone`` (one row a key in each).
 
+    A text is split once: its words and one null, which counts the text itself.
+    """
+    parts = []
+    for df, sign in ((fresh, 1), (gone, -1)):
+        if df is not None:
+            split = lambda w: F.struct(F.size(w).alias("dl"), F.concat(w, F.array(F.lit(None).cast("string"))).alias("terms"))
+            found = df.select(F.col(key).cast("long").alias("id"), F.explode(F.transform(F.array(tokens(text)), split)).alias("c"))
+            words = found.select("id", F.col("c.dl").alias("dl"), F.explode("c.terms").alias("term"))
+            parts.append(words.select("term", F.when(F.col("term").isNotNull(), F.col("id")).alias("id"), "dl", F.lit(sign).alias("sign")))
+    longest = lambda sign: F.coalesce(F.max(F.when(F.col("sign") == sign, F.col("dl"))), F.lit(0))
+    length = F.when(F.col("term").isNull(), F.sum(F.col("sign") * F.col("dl"))).otherwise(longest(1) - longest(-1))
+    return reduce(DataFrame.union, parts).groupBy("term", "id").agg(F.sum("sign").alias("tf"), length.cast("long").alias("dl"))
 
-def netted(rows: DataFrame) -> DataFrame:
-    """The sums by term and id; what is gone has none. A term that stands as often in a longer text keeps the new length."""
-    return rows.groupBy("term", "id").agg(F.sum("tf").alias("tf"), F.sum("dl").alias("dl")).where("tf <> 0 OR dl <> 0")
 
+def write(rows: DataFrame, folder: str) -> None:
+    """Additions, netted by term and id: what is gone has none; a term that stands as often in a longer text keeps the new length."""
+    at = F.when(F.col("term").isNull(), TOTALS).otherwise(bucket("term")).cast("int")
+    out = rows.select("term", "id", "tf", "dl", at.alias("bucket")).where("tf <> 0 OR dl <> 0")
+    out.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "id").write.partitionBy("bucket").parquet(folder)
 
-def write(parts: list[DataFrame], folder: str) -> None:
-    if parts:
-        rows = netted(reduce(DataFrame.union, (p.select("term", "id", "tf", "dl") for p in parts)))
-        at = F.when(F.col("term").isNull(), TOTALS).otherwise(bucket("term")).cast("int")
-        rows.withColumn("bucket", at).hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "id").write.partitionBy("bucket").parquet(folder)
+
+def netted(index: DataFrame) -> DataFrame:
+    return index.groupBy("term", "id").agg(F.sum("tf").alias("tf"), F.sum("dl").alias("dl"))
 
 
 def bm25_topk(index: DataFrame, query: str, k: int = 20, k1: float = K1, b: float = B) -> DataFrame:
@@ -51,7 +57,7 @@ def bm25_topk(index: DataFrame, query: str, k: int = 20, k1: float = K1, b: floa
     own = index.where(F.col("bucket").isin([r.b for r in values]) & F.col("term").isin(terms))
     tf = [F.sum(F.when(F.col("term") == t, F.col("tf")).otherwise(0)).alias(f"tf{i}") for i, t in enumerate(terms)]
     dl = F.max("dl").alias("dl")
-    live = own.groupBy("term", "id").agg(F.sum("tf").alias("tf"), F.sum("dl").alias("dl")).where("tf > 0")
+    live = netted(own).where("tf > 0")
     texts = live.groupBy("id").agg(dl, *tf).select("id", "dl", F.array(*(f"tf{i}" for i in range(len(terms)))).alias("tf"))
     held = [F.count_if(F.get("tf", F.lit(i)) > 0).alias(f"df{i}") for i in range(len(terms))]
     totals = index.where(F.col("bucket") == TOTALS).agg(F.sum("tf").alias("n"), (F.sum("dl") / F.sum("tf")).alias("avgdl"))

@@ -31,9 +31,13 @@ def cosine(one: Column | str, two: Column | str) -> Column:
 
 
 def dense_topk(df: DataFrame, query: list[float], k: int = 5, id_col: str = "id", vector_col: str = "dense") -> DataFrame:
-    """``id, score``: one pass over the vectors, the query a literal, then a bounded top-k."""
-    scored = df.select(F.col(id_col).alias("id"), F.round(cosine(vector_col, F.lit([float(x) for x in query])), 6).alias("score"))
-    return scored.where("score IS NOT NULL").orderBy(F.desc("score"), "id").limit(k)
+    """``id, score``: one pass over the vectors, the query a literal, then a bounded top-k.
+
+    Vectors that are null or zero, of another length than the query's, or without finite components take no part.
+    """
+    own = df.where(F.size(vector_col) == len(query))
+    scored = own.select(F.col(id_col).alias("id"), F.round(cosine(vector_col, F.lit([float(x) for x in query])), 6).alias("score"))
+    return scored.where("score IS NOT NULL AND NOT isnan(score)").orderBy(F.desc("score"), "id").limit(k)
 
 
 def tokens(text: Column | str) -> Column:

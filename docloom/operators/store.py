@@ -48,7 +48,7 @@ class Collection:
         return T.StructType.fromJson(self.settings["schema"])
 
     def exists(self) -> bool:
-        return self.files.exists("collection.json")
+        return self.settings["schema"] is not None and self.files.exists("collection.json")
 
     def ensure(self, schema: T.StructType) -> bool:
         """Makes an empty collection if there is none; one that exists is taken as it is. True if made."""
@@ -106,7 +106,7 @@ class Collection:
         """
         if column in self.settings["indexes"]:
             return False
-        if column in self.schema.names:
+        if self.exists() and column in self.schema.names:
             self._write_index(column, self._rows())
         self._set(indexes=[*self.settings["indexes"], column])
         return True
@@ -224,9 +224,8 @@ class Collection:
             for c in indexed:
                 writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
             writer.partitionBy(PART).parquet(f"{stage}/rows")
-        if self.text:
-            signed = [postings.of(df, self.key, self.text, sign) for df, sign in ((fresh, 1), (gone, -1)) if df is not None]
-            postings.write(signed, f"{stage}/postings")
+        if self.text and (fresh is not None or gone is not None):
+            postings.write(postings.delta(self.key, self.text, fresh, gone), f"{stage}/postings")
         if fresh is not None and (lists := VectorIndex.of(self)):
             lists.write(fresh.select(self.key, lists.column), f"{stage}/lists")
         self.files.write(f"staged/{batch}/plan.json", {"parts": sorted(parts), "counters": counters})
@@ -285,7 +284,7 @@ class Collection:
         """The additions of all batches to the inverted index as one."""
         self.recover()
         if self.files.exists("postings"):
-            self.rebuild("postings", lambda folder: postings.write([self.postings()], folder))
+            self.rebuild("postings", lambda folder: postings.write(postings.netted(self.postings()), folder))
 
     def rebuild(self, name: str, write: Callable[[str], None], **plan) -> None:
         """``write`` makes an index anew in the folder it is given, which then takes the place of the old one."""

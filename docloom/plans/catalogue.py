@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import text as X
-from docloom.operators import backfill, parse, search
+from docloom.operators import backfill, parse, postings, search
 from docloom.operators.chunk import chunk, large_cases, line_paragraphs, totals
 from docloom.operators.embed import embed, hashing_embedder
 from docloom.operators.html import Selector, select_texts
 from docloom.operators.points import batches
-from docloom.operators.store import Collection, merge_rows
+from docloom.operators.store import Collection
+from docloom.operators.vector_index import VectorIndex, vector_topk
 from docloom.sources import scans
 from docloom.streaming import loads
 
@@ -50,6 +52,18 @@ walk AS (SELECT doc_id, 0 AS chunk_index, i, stop, n FROM e WHERE i = 1
          UNION ALL SELECT e.doc_id, w.chunk_index + 1, e.i, e.stop, e.n FROM walk w JOIN e ON e.doc_id = w.doc_id AND e.i = greatest(w.stop, w.i + 1) WHERE w.stop < w.n)"""
 
 
+def _collection(spark: SparkSession, key: str, width: int = 1 << 22, text: str | None = None) -> Collection:
+    """A new collection in the shared folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docloom-")
+    return Collection(spark, f"{base}/collection-{uuid.uuid4().hex}", key, width, text=text)
+
+
+def _few(spark: SparkSession, collection: Collection, rows: list, schema) -> DataFrame:
+    """A short result, for which the collection isn't needed any more."""
+    collection.files.delete("")
+    return spark.createDataFrame(rows, schema)
+
+
 # ---- scans, filters, sinks
 
 
@@ -99,31 +113,68 @@ def f8_changed_rows(spark, sf_dir):
 def k3_upsert(spark, sf_dir):
     """Rows of keys 0 mod 4 are updated, those of 1 mod 4 are new, the others stay."""
     orders = scans.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    new = orders.where("o_orderkey % 4 < 2").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    return merge_rows(orders.where("o_orderkey % 4 <> 1"), new, "o_orderkey")
+    collection = _collection(spark, "o_orderkey")
+    collection.upsert(orders.where("o_orderkey % 4 <> 1"))
+    collection.upsert(orders.where("o_orderkey % 4 < 2").withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    return collection.read()
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'late' ELSE o_orderpriority END AS o_orderpriority FROM orders")
 def k6_set_payload(spark, sf_dir):
     orders = scans.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docloom-")
-    collection = Collection(spark, f"{base}/collection-{spark.range(1).select(F.uuid().alias('u')).first().u}", "o_orderkey", sort_by=["o_orderkey"])
+    collection = _collection(spark, "o_orderkey")
     collection.upsert(orders)
     collection.set_payload(orders.where("o_orderkey % 5 = 0").select("o_orderkey", F.lit("late").alias("o_orderpriority")))
     return collection.read()
 
 
+@query("SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE year(o_orderdate) BETWEEN 1994 AND 1995")
+def k7_payload_index(spark, sf_dir):
+    """Rows by an indexed payload column that was written after the rows."""
+    orders = scans.read_table(spark, sf_dir, "orders")
+    collection = _collection(spark, "o_orderkey")
+    collection.create_index("year")
+    collection.upsert(orders.select("o_orderkey"))
+    collection.set_payload(orders.select("o_orderkey", F.year("o_orderdate").alias("year")))
+    return collection.where("year", 1994, 1995)
+
+
+@query(f"""WITH RECURSIVE {_paragraph_sql(600)} SELECT count(DISTINCT doc_id) AS cases, count(*) AS chunks, CAST(4 AS BIGINT) AS batches FROM walk""")
+def w1_load_totals(spark, sf_dir):
+    """Counters of a load of all documents in four batches, of which one is sent twice."""
+    chunks = _chunked(spark, sf_dir, 600).select(X.point_id("doc_id", "chunk_index").alias("id"), F.col("doc_id").alias("case_id"), "text")
+    collection = _collection(spark, "id", 1 << 32)
+    for batch in (0, 1, 2, 3, 0):
+        told = lambda points: loads.counters(points) | {"seconds": 0.0}
+        collection.upsert(chunks.where(F.col("case_id") % 4 == batch), batch=f"part-{batch}", count=told)
+    found = loads.totals(collection)
+    return _few(spark, collection, [(found["cases"], found["chunks"], found["batches"])], "cases long, chunks long, batches long")
+
+
 @query("SELECT doc_id, CAST(strlen(text) AS BIGINT) AS utf8_bytes FROM documents WHERE text IS NOT NULL")
 def x17_utf8_bytes(spark, sf_dir):
     return scans.read_table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.octet_length("text").cast("long").alias("utf8_bytes"))
 
 
-@query(f"""WITH RECURSIVE {_paragraph_sql(100)},
-k AS (SELECT w.doc_id, w.chunk_index FROM walk w)
-SELECT doc_id, chunk_index, chunk_index // 25 AS batch FROM k""")
+@query("""WITH RECURSIVE l AS (SELECT l_suppkey, (l_orderkey * 100 + l_linenumber) * 1000000000 + l_partkey AS line, repeat('x', CAST(l_quantity AS BIGINT)) AS pad FROM lineitem),
+s AS (SELECT l_suppkey, line, 31 + length(l_suppkey::VARCHAR) + length(line::VARCHAR) + length(pad) AS bytes, row_number() OVER (PARTITION BY l_suppkey ORDER BY line) AS i FROM l),
+k AS (SELECT l_suppkey, line, bytes, i, bytes AS used, 1 AS n, CAST(0 AS BIGINT) AS batch FROM s WHERE i = 1
+      UNION ALL SELECT s.l_suppkey, s.line, s.bytes, s.i, CASE WHEN k.used + s.bytes > 1500 OR k.n >= 25 THEN s.bytes ELSE k.used + s.bytes END,
+             CASE WHEN k.used + s.bytes > 1500 OR k.n >= 25 THEN 1 ELSE k.n + 1 END, k.batch + CASE WHEN k.used + s.bytes > 1500 OR k.n >= 25 THEN 1 ELSE 0 END
+      FROM k JOIN s ON s.l_suppkey = k.l_suppkey AND s.i = k.i + 1)
+SELECT l_suppkey, line, CAST(bytes AS BIGINT) AS bytes, batch FROM k""")
 def k5_batches(spark, sf_dir):
-    found = batches(_chunked(spark, sf_dir, 100), "doc_id", "chunk_index", 8 << 20, 25)
-    return found.select("doc_id", "chunk_index", "batch")
+    """Write batches of a supplier's lines: some end at their bytes, some at 25 points."""
+    lines = scans.read_table(spark, sf_dir, "lineitem").select("l_suppkey", ((F.col("l_orderkey") * 100 + F.col("l_linenumber")) * 1000000000 + F.col("l_partkey")).alias("line"), F.repeat(F.lit("x"), F.col("l_quantity").cast("int")).alias("pad"))
+    return batches(lines, "l_suppkey", "line", 1500, 25)
+
+
+@query("""WITH RECURSIVE l AS (SELECT l_suppkey, (l_orderkey * 100 + l_linenumber) * 1000000000 + l_partkey AS line, repeat('x', CAST(l_quantity AS BIGINT)) AS pad FROM lineitem)
+SELECT l_suppkey, count(*) AS points, CAST(sum(31 + length(l_suppkey::VARCHAR) + length(line::VARCHAR) + length(pad)) AS BIGINT) AS bytes FROM l GROUP BY l_suppkey""")
+def a7_batch_bytes(spark, sf_dir):
+    """Points and JSON bytes of each supplier's batches in all."""
+    sized = k5_batches(spark, sf_dir).groupBy("l_suppkey", "batch").agg(F.count("*").alias("points"), F.sum("bytes").alias("bytes"))
+    return sized.groupBy("l_suppkey").agg(F.sum("points").alias("points"), F.sum("bytes").alias("bytes"))
 
 
 # ---- scalars
@@ -135,20 +186,24 @@ def x1_normalize(spark, sf_dir):
     return scans.read_table(spark, sf_dir, "documents").select("doc_id", F.md5(X.normalize_inline(odd)).alias("text_md5"))
 
 
-def _listed(c: str, by: str) -> Column:
-    """A whole text as a list: the separator in place of white space."""
-    return F.regexp_replace(c, f"[{X.SPACE}]+", by)
+#: Items of one and several words between separators, with empty ones, blanks of several kinds and a separator at the end.
+LISTED_SQL = """trim(regexp_replace(p_name || '{a}' || p_type || chr(9) || ' ' || p_brand || '{b}' || p_name || ' ' || p_type || '{a}{a}' || p_size || chr(10) || '{b}', '[\\t\\n ]+', ' ', 'g'), ' ')"""
 
 
-@query(rf"""SELECT doc_id, md5(array_to_string(list_filter(regexp_split_to_array(trim(regexp_replace(text, '[{X.SPACE}]+', ', ', 'g'), ' '), ' ?, ?'), lambda x: x <> ''), '|')) AS items_md5 FROM documents""")
+def _listed(a: str, b: str) -> Column:
+    size = F.col("p_size").cast("string")
+    return F.concat("p_name", F.lit(a), "p_type", F.lit("\t "), "p_brand", F.lit(b), "p_name", F.lit(" "), "p_type", F.lit(a + a), size, F.lit("\n" + b))
+
+
+@query(f"""SELECT p_partkey, array_to_string(list_filter(regexp_split_to_array({LISTED_SQL.format(a=", ", b=" ,,")}, ' ?, ?'), lambda x: x <> ''), '#') AS items FROM part""")
 def x4_comma_list(spark, sf_dir):
-    return scans.read_table(spark, sf_dir, "documents").select("doc_id", F.md5(F.array_join(X.comma_list(_listed("text", ", ")), "|")).alias("items_md5"))
+    return scans.read_table(spark, sf_dir, "part").select("p_partkey", F.array_join(X.comma_list(_listed(", ", " ,,")), "#").alias("items"))
 
 
-@query(rf"""SELECT doc_id, md5(array_to_string(list_filter(list_transform(regexp_split_to_array(trim(regexp_replace(text, '[{X.SPACE}]+', ' ; ', 'g'), ' '), ' ?; ?| {{2,}}| ?\| ?| ?, ?'),
-          lambda x: regexp_replace(trim(x, ' '), '^[,;]+|[,;]+$', '', 'g')), lambda x: x <> ''), '#')) AS items_md5 FROM documents""")
+@query(rf"""SELECT p_partkey, array_to_string(list_filter(list_transform(regexp_split_to_array({LISTED_SQL.format(a=" ; ", b="|")}, ' ?; ?| ?\| ?| ?, ?'),
+          lambda x: regexp_replace(trim(x, ' '), '^[,;]+|[,;]+$', '', 'g')), lambda x: x <> ''), '#') AS items FROM part""")
 def x5_loose_list(spark, sf_dir):
-    return scans.read_table(spark, sf_dir, "documents").select("doc_id", F.md5(F.array_join(X.loose_list(_listed("text", " ; ")), "#")).alias("items_md5"))
+    return scans.read_table(spark, sf_dir, "part").select("p_partkey", F.array_join(X.loose_list(_listed(" ; ", "|")), "#").alias("items"))
 
 
 @query(rf"""WITH t AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '[' || doc_id || '] ' WHEN 1 THEN '(' || doc_id || ')' ELSE doc_id || '. ' END || text AS t FROM documents)
@@ -195,9 +250,10 @@ def x15_prefixes(spark, sf_dir):
     return scans.read_table(spark, sf_dir, "documents").select("doc_id", F.md5(X.prefix("text", 1500)).alias("dense_md5"), F.md5(X.prefix("text", 1800)).alias("hybrid_md5"))
 
 
-@query("SELECT range + 1 AS attempt, CAST(least(2000 * pow(2.0, range), 60000) AS BIGINT) AS delay_ms FROM range(9)")
+@query("SELECT o_orderkey, 1 + o_custkey % 9 AS attempt, CAST(least(2000 * pow(2.0, o_custkey % 9), 60000) AS BIGINT) AS delay_ms FROM orders")
 def x18_backoff(spark, sf_dir):
-    return spark.range(1, 10).select(F.col("id").alias("attempt"), X.backoff_ms("id", 2000, 60000).alias("delay_ms"))
+    tried = scans.read_table(spark, sf_dir, "orders").select("o_orderkey", (1 + F.col("o_custkey") % 9).alias("attempt"))
+    return tried.select("o_orderkey", "attempt", X.backoff_ms("attempt", 2000, 60000).alias("delay_ms"))
 
 
 DATE_SQL = "CASE WHEN o_orderkey % 7 = 0 THEN '31 February 1950' ELSE strftime(o_orderdate, '%d %B %Y') END"
@@ -431,6 +487,27 @@ def r2_bm25_topk(spark, sf_dir):
     return search.bm25_topk(scans.read_table(spark, sf_dir, "documents"), TERMS, 20, "doc_id", "text")
 
 
+@query(f"WITH {_bm25_sql('documents', 'doc_id')} SELECT id, score FROM bm ORDER BY score DESC, id LIMIT 20")
+def k2_stored_postings(spark, sf_dir):
+    """BM25 from a collection's stored postings, behind an upsert that changes every second text."""
+    docs = scans.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    collection = _collection(spark, "doc_id", text="text")
+    collection.upsert(docs.withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("the that of old "), "text")).otherwise(F.col("text"))))
+    collection.upsert(docs.where("doc_id % 2 = 0"))
+    found = postings.bm25_topk(collection.postings(), TERMS, 20)
+    return _few(spark, collection, found.collect(), found.schema)
+
+
+@query(f"WITH {DENSE} SELECT id, score FROM dense ORDER BY score DESC, id LIMIT 20")
+def r7_index(spark, sf_dir):
+    """Search by a collection's vector index; tables of fewer rows than the index is for are searched exactly."""
+    collection = _collection(spark, "vec_id", 1 << 14)
+    collection.upsert(scans.read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    VectorIndex.build(collection, "embedding")
+    found = vector_topk(collection, _query_vector(spark, sf_dir), 20, "embedding")
+    return _few(spark, collection, found.collect(), found.schema)
+
+
 @query(rf"""SELECT doc_id AS id, term, count(*) AS tf FROM (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')) AS term FROM documents) GROUP BY ALL""")
 def r2_postings(spark, sf_dir):
     return search.postings(scans.read_table(spark, sf_dir, "documents"), "doc_id", "text").select("id", "term", "tf")
