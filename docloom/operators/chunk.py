@@ -17,6 +17,7 @@ SPACES = re.compile(r"[\s﻿]+")
 FIELDS = [
     ("chunk_id", T.StringType()), ("chunk_index", T.IntegerType()), ("paragraph_start", T.IntegerType()), ("paragraph_end", T.IntegerType()), ("text", T.StringType()),
     ("word_count", T.IntegerType()), ("has_subpoints", T.BooleanType()), ("source_paragraph_types", T.ArrayType(T.StringType())),
+    ("chunk_count", T.IntegerType()),
 ]
 
 
@@ -53,7 +54,7 @@ def spans(weights: list[int], most: int, overlap: int) -> Iterator[tuple[int, in
 
 
 def chunk(df: DataFrame, id_col: str = "case_id", paragraphs: str = "paragraphs", target_words: int = 900, overlap: int = 1, carry: list[str] | None = None) -> DataFrame:
-    """One row per passage: the id, ``chunk_id`` to ``source_paragraph_types``, and the document's columns ``carry``.
+    """One row per passage: the id, ``chunk_id`` to ``chunk_count`` (of its document), and the document's columns ``carry``.
 
     ``paragraph_start`` and ``paragraph_end`` count, from 1, the paragraphs after long ones are split. A
     document without paragraphs gives no rows.
@@ -62,7 +63,7 @@ def chunk(df: DataFrame, id_col: str = "case_id", paragraphs: str = "paragraphs"
         raise ValueError("target_words has to be positive and overlap not negative")
     carry = carry or []
     schema = T.StructType([df.schema[id_col], *(T.StructField(n, t) for n, t in FIELDS), *(df.schema[c] for c in carry)])
-    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.bool_(), pa.list_(pa.string())]
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.bool_(), pa.list_(pa.string()), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -71,11 +72,12 @@ def chunk(df: DataFrame, id_col: str = "case_id", paragraphs: str = "paragraphs"
                 rows, origin = [], []
                 for row, (key, found) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                     parts = list(split_long(found or [], target_words))
-                    for i, (start, end) in enumerate(spans([p[0] for p in parts], target_words, overlap)):
+                    found = list(spans([p[0] for p in parts], target_words, overlap))
+                    for i, (start, end) in enumerate(found):
                         own = parts[start:end]
                         text = "\n\n".join(t if p["para_no"] is None else f"[{p['para_no']}] {t}" for _, p, t in own).strip()
                         roles = list(dict.fromkeys(p["role"] for _, p, _ in own))
-                        rows.append((key, f"{key}_{i}", i, start + 1, end, text, sum(p[0] for p in own), "subpoint" in roles, roles))
+                        rows.append((key, f"{key}_{i}", i, start + 1, end, text, sum(p[0] for p in own), "subpoint" in roles, roles, len(found)))
                         origin.append(row)
                 first = pa.array([r[0] for r in rows], batch.schema.field(0).type)
                 yield pa.RecordBatch.from_arrays([first, *(pa.array([r[k + 1] for r in rows], kind) for k, kind in enumerate(kinds)), *(c.take(pa.array(origin, pa.int64())) for c in batch.columns[2:])], schema.names)

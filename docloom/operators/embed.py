@@ -3,11 +3,12 @@ offline hashing embedder can stand behind it; it runs inside Spark tasks, a batc
 
 from __future__ import annotations
 
-import random
+import threading
 import time
 import zlib
+from collections import deque
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -15,46 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docloom.sources.http import Retry, TooLong, Unavailable, request
 
-class TooLong(Exception):
-    """A text is longer than the embedder takes."""
-
-
-class Unavailable(Exception):
-    """Worth another attempt. ``status``: 408, 429 or 5xx where the service gave one."""
-
-    def __init__(self, status: int | None = None):
-        super().__init__(f"status {status}")
-        self.status = status
-
-
-@dataclass(frozen=True)
-class Retry:
-    """Doubling delays with a little jitter; a service that is told to slow down waits longer."""
-
-    attempts: int = 8
-    base_s: float = 2.0
-    busy_s: float = 5.0
-    most_s: float = 60.0
-    jitter_s: float = 1.0
-
-    def delay(self, attempt: int, status: int | None) -> float:
-        base = self.busy_s if status == 429 else self.base_s
-        return min(base * 2 ** (attempt - 1), self.most_s) + random.random() * self.jitter_s
-
-    def call(self, f: Callable[[list[str]], list], texts: list[str]) -> list:
-        for attempt in range(1, self.attempts + 2):
-            try:
-                found = f(texts)
-            except Unavailable as e:
-                if attempt > self.attempts:
-                    raise
-                time.sleep(self.delay(attempt, e.status))
-                continue
-            if len(found) != len(texts):
-                raise ValueError(f"{len(found)} vectors for {len(texts)} texts")
-            return found
-        raise AssertionError
+__all__ = ["Retry", "TooLong", "Unavailable", "embed", "hashing_embedder", "http_embedder", "precomputed"]
 
 
 def hashing_embedder(size: int) -> Callable[[list[str]], list[np.ndarray]]:
@@ -71,34 +35,73 @@ def hashing_embedder(size: int) -> Callable[[list[str]], list[np.ndarray]]:
     return embed
 
 
-def embed(df: DataFrame, text_col: str, embedder: Callable[[], Callable[[list[str]], list]], size: int, batch: int = 16, retry: Retry | None = None, out_col: str = "vector") -> DataFrame:
+def http_embedder(url: str, model: str, token: str | None = None, timeout_s: float = 90) -> Callable[[list[str]], list]:
+    """Vectors from a service: ``{"model", "input"}`` in, ``{"data": [{"embedding"}]}`` out, in the order of the texts."""
+
+    def embed(texts: list[str]) -> list:
+        found = request(url, {"model": model, "input": texts}, token=token, timeout_s=timeout_s)
+        return [x["embedding"] for x in found["data"]]
+
+    return embed
+
+
+def embed(
+    df: DataFrame, text_col: str, embedder: Callable[[], Callable[[list[str]], list]], size: int, batch: int | str = 16, retry: Retry | None = None, out_col: str = "vector", at_once: int = 1, pause_s: float = 0.0
+) -> DataFrame:
     """Adds ``out_col`` and ``skip_reason`` to every row.
 
-    ``embedder`` makes the function inside the task. A batch that is too long is tried text by text; the
-    texts that are themselves too long get a null vector and a reason, other errors end the task.
+    ``embedder`` makes the function inside the task. ``batch``: texts of a request, or the column that holds their number for a
+    row (a request takes neighbours of one number). A task has ``at_once`` requests under way and begins one every
+    ``pause_s`` seconds at most. A batch that is too long is tried text by text; the texts that are themselves too long get
+    a null vector and a reason, other errors end the task.
     """
     at, tries = df.columns.index(text_col), retry or Retry()
+    sizes = df.columns.index(batch) if isinstance(batch, str) else None
     schema = T.StructType([*df.schema.fields, T.StructField(out_col, T.ArrayType(T.FloatType())), T.StructField("skip_reason", T.StringType())])
 
+    def requests(whole: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+        each = [batch] * len(whole) if sizes is None else whole.column(sizes).to_pylist()
+        i = 0
+        while i < len(whole):
+            n = 1
+            while n < (each[i] or 1) and i + n < len(whole) and each[i + n] == each[i]:
+                n += 1
+            yield i, n
+            i += n
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = embedder()
+        f, pace, last = embedder(), threading.Lock(), [0.0]
+
+        def paced(texts: list[str]) -> list:
+            with pace:
+                time.sleep(max(0.0, last[0] + pause_s - time.monotonic()))
+                last[0] = time.monotonic()
+            return f(texts)
 
         def safely(texts: list[str]) -> list:
             try:
-                return tries.call(f, texts)
+                return tries.call(paced, texts)
             except TooLong as e:
                 return [e] if len(texts) == 1 else [v for t in texts for v in safely([t])]
 
-        for whole in batches:
-            for i in range(0, len(whole), batch):
-                part = whole.slice(i, batch)
-                found = safely([t or "" for t in part.column(at).to_pylist()])
-                wrong = [len(v) for v in found if not isinstance(v, TooLong) and len(v) != size]
-                if wrong:
-                    raise ValueError(f"a vector of {wrong[0]} components where {size} are wanted")
-                vectors = pa.array([None if isinstance(v, TooLong) else v for v in found], pa.list_(pa.float32()))
-                reasons = pa.array([(str(v) or "too long") if isinstance(v, TooLong) else None for v in found], pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns, vectors, reasons], schema.names)
+        def asked(part: pa.RecordBatch) -> pa.RecordBatch:
+            found = safely([t or "" for t in part.column(at).to_pylist()])
+            wrong = [len(v) for v in found if not isinstance(v, TooLong) and len(v) != size]
+            if wrong:
+                raise ValueError(f"a vector of {wrong[0]} components where {size} are wanted")
+            vectors = pa.array([None if isinstance(v, TooLong) else v for v in found], pa.list_(pa.float32()))
+            reasons = pa.array([(str(v) or "too long") if isinstance(v, TooLong) else None for v in found], pa.string())
+            return pa.RecordBatch.from_arrays([*part.columns, vectors, reasons], schema.names)
+
+        with ThreadPoolExecutor(at_once) as pool:
+            under_way: deque = deque()
+            for whole in batches:
+                for i, n in requests(whole):
+                    under_way.append(pool.submit(asked, whole.slice(i, n)))
+                    if len(under_way) >= at_once:
+                        yield under_way.popleft().result()
+            while under_way:
+                yield under_way.popleft().result()
 
     return df.mapInArrow(run, schema)
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.functions.text import SERIALS
+from docloom.functions.text import SERIALS, adaptive_batch
 from docloom.operators import backfill, postings
 from docloom.operators.chunk import chunk
 from docloom.operators.embed import embed, hashing_embedder
@@ -46,11 +48,22 @@ def create_hybrid_collection(spark: SparkSession, path: str) -> Collection:
     return collection
 
 
-def ingest(raw: DataFrame, collection: Collection, after: int, end: int | None = None, rows: int | None = None, size: int = 64, target_words: int = 600) -> None:
-    """Loads the range ``(after, end]``, or the next ``rows`` rows, into a collection."""
+def ingest(
+    raw: DataFrame, collection: Collection, after: int, end: int | None = None, rows: int | None = None, size: int = 64, target_words: int = 600, embedder: Callable[[], Callable[[list[str]], list]] | None = None, **requests
+) -> None:
+    """Loads the range ``(after, end]``, or the next ``rows`` rows, into a collection.
+
+    ``embedder`` makes the function of texts, such as ``lambda: http_embedder(url, model)``; without one it is the hashing stand-in.
+    A case's number of passages sets the texts of a request; ``requests`` (``at_once``, ``pause_s``, ``retry``) go to ``embed``.
+    """
     page = scans.keyset_range(raw, "file_name", after, end, "html", rows) if end is not None else scans.keyset_page(raw, "file_name", after, rows or 10, "html")
-    embedder = lambda: hashing_embedder(size)
-    collection.upsert(load(page, lambda chunks: embed(chunks, "text", embedder, size), target_words=target_words))
+    make = embedder or (lambda: hashing_embedder(size))
+
+    def vectors(chunks: DataFrame) -> DataFrame:
+        sized = chunks.withColumn("docloom_texts", adaptive_batch("chunk_count"))
+        return embed(sized, "text", make, size, "docloom_texts", **requests).drop("docloom_texts")
+
+    collection.upsert(load(page, vectors, target_words=target_words))
 
 
 def search(collection: Collection, words: list[str], size: int = 64, k: int = 5) -> DataFrame:
