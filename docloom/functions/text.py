@@ -5,12 +5,11 @@ White space is the ECMAScript class, written out, since Java's ``\\s`` is ASCII
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: The characters that count as white space. The escapes mean the same to Java and RE2.
 SPACE = r"\t\n\x0B\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
@@ -19,13 +18,42 @@ COURTS = [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20,
 SERIALS = 100_000
 
 
-@F.pandas_udf(T.StringType())
-def decode_entities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """HTML character references decoded once."""
-    import html
+#: What a character reference looks like.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+#: References that come first, as names are looked up in order.
+FREQUENT = ["amp;", "nbsp;", "lt;", "gt;", "quot;", "apos;"]
 
-    for texts in batches:
-        yield texts.map(lambda t: t if t is None or "&" not in t else html.unescape(t))
+
+def decode_entities(value: Column | str) -> Column:
+    """HTML character references decoded once, as HTML5 has them; null stays null. A Column expression: references and what lies
+    between them are taken apart, looked up and joined again."""
+    text = F.col(value) if isinstance(value, str) else value
+    found, between = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), F.split(text, REFERENCE, -1)
+    behind = F.zip_with(F.transform(found, _decoded), F.slice(between, 2, F.size(found)), lambda one, rest: F.concat(one, rest))
+    return F.when(F.contains(text, F.lit("&")), F.concat(F.get(between, F.lit(0)), F.array_join(behind, ""))).otherwise(text)
+
+
+def _decoded(reference: Column) -> Column:
+    name = F.substring(reference, 2, 40)
+    known = F.from_json(F.lit(json.dumps({n: html5[n] for n in [*FREQUENT, *sorted(html5.keys() - set(FREQUENT))]})), "map<string,string>")
+    open_ended = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))  # names that need no semicolon
+    start = F.regexp_extract(name, f"^({open_ended})", 1)
+    named = F.coalesce(F.try_element_at(known, name), F.when(start != "", F.concat(F.try_element_at(known, start), F.substr(name, F.length(start) + 1))), reference)
+    return F.when(name.startswith("#"), _numbered(reference)).otherwise(named)
+
+
+def _numbered(reference: Column) -> Column:
+    """The character of a number. Numbers of Windows-1252 are that page's, impossible ones the replacement character, control
+    and no characters nothing."""
+    decimal = reference.rlike("^&#[0-9]")
+    digits = F.regexp_replace(F.regexp_extract(reference, "^&#[xX]?([0-9a-fA-F]+)", 1), "^0+", "")
+    number = F.when(digits == "", 0).when(F.length(digits) > 7, 0x110000).otherwise(F.when(decimal, F.conv(digits, 10, 10)).otherwise(F.conv(digits, 16, 10)).cast("int"))
+    page = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)]
+    old = F.get(F.array(*map(F.lit, page)), number - 0x80)
+    gone = number.between(0x1, 0x8) | (number == 0xB) | number.between(0xE, 0x1F) | (number == 0x7F) | number.between(0xFDD0, 0xFDEF) | F.pmod(number, F.lit(0x10000)).isin(0xFFFE, 0xFFFF)
+    character = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    impossible = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+    return F.when(impossible, "\ufffd").when(number.between(0x80, 0x9F), old).when(gone, "").otherwise(character)
 
 
 def _text(value: Column | str) -> Column:
@@ -36,9 +64,11 @@ def strip(value: Column | str) -> Column:
     return F.regexp_replace(_text(value), f"^[{SPACE}]+|[{SPACE}]+$", "")
 
 
-def normalize_inline(value: Column | str) -> Column:
-    """White space to single spaces, none at the ends; null is empty."""
-    return F.trim(F.regexp_replace(_text(value), f"[{SPACE}]+", " "))
+def normalize_inline(value: Column | str, decode: bool = False) -> Column:
+    """White space to single spaces, none at the ends; null is empty. ``decode``: character references first (texts out of a
+    parsed document have been decoded)."""
+    text = decode_entities(_text(value)) if decode else _text(value)
+    return F.trim(F.regexp_replace(text, f"[{SPACE}]+", " "))
 
 
 def normalize_lines(value: Column | str) -> Column:
@@ -58,13 +88,14 @@ def comma_list(value: Column | str) -> Column:
 
 
 def loose_list(value: Column | str) -> Column:
-    """Items between ``;``, ``|``, ``,`` or two and more spaces."""
-    return _items(F.transform(F.split(normalize_inline(value), r" ?; ?| {2,}| ?\| ?| ?, ?"), lambda x: F.regexp_replace(F.trim(x), "^[,;]+|[,;]+$", "")))
+    """Items between ``;``, ``|`` or ``,`` (of several blanks normalisation leaves one, so they separate nothing)."""
+    return _items(F.transform(F.split(normalize_inline(value), r" ?; ?| ?\| ?| ?, ?"), lambda x: F.regexp_replace(F.trim(x), "^[,;]+|[,;]+$", "")))
 
 
 def paragraph_number(value: Column | str) -> Column:
     """``struct(para_no, text)`` from ``[n] ...``, ``(n) ...`` or ``n. ...``. Numbers of over 18 digits don't count as such."""
     text = _text(value)
+    # fixed values: the forms of a number, in the order in which they are tried
     forms = [rf"(?s)^\[(\d{{1,18}})\][{SPACE}]*(.*)$", rf"(?s)^\((\d{{1,18}})\)[{SPACE}]*(.*)$", rf"(?s)^(\d{{1,18}})\.[{SPACE}]*(.*)$"]
     out = F.struct(F.lit(None).cast("long").alias("para_no"), normalize_inline(text).alias("text"))
     for form in reversed(forms):
@@ -97,6 +128,7 @@ def compact(values: Column | str) -> Column:
     return F.array_join(_items(F.transform(items, strip)), ", ")
 
 
+#: The labels of a sparse text's lines, by column.
 SPARSE_LABELS = {
     "title": "title", "citation": "citation", "case_no": "case no", "case_type": "case type", "court": "court",
     "date_of_decision": "date of decision", "subject": "subject", "final_decision": "final decision",

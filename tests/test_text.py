@@ -1,4 +1,7 @@
 import datetime
+import html
+import random
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,7 +23,21 @@ def test_normalize_lines(spark):
 
 
 def test_decode_entities(spark):
-    assert one(spark, X.decode_entities, "a &amp;amp; &lt;") == "a &amp; <"
+    assert one(spark, X.decode_entities, "a &amp;amp; &lt;") == "a &amp; <" and one(spark, X.decode_entities, None) is None
+    assert one(spark, lambda c: X.normalize_inline(c, decode=True), " a&nbsp;&#9; b&amp;nbsp; ") == "a b&nbsp;"
+
+
+def test_decode_entities_as_the_standard_library(spark):
+    r = random.Random(1)
+    names = sorted(html5)
+    numbers = [0, 1, 8, 9, 10, 13, 0xB, 0x7F, 0x80, 0x81, 0x9F, 0xA0, 0xE9, 0xD7FF, 0xD800, 0xDFFF, 0xFDD0, 0xFFFD, 0xFFFE, 0x1F600, 0x1FFFF, 0x10FFFD, 0x10FFFF, 0x110000, 10**12]
+    pieces = [
+        lambda: "&" + r.choice(names), lambda: "&" + r.choice(names).rstrip(";") + r.choice(["", "x", "1;", " ", ";"]), lambda: f"&#{r.choice(numbers)}" + r.choice([";", "", "x"]),
+        lambda: f"&#{r.choice('xX')}{'0' * r.randint(0, 9)}{r.choice(numbers):{r.choice('xX')}}" + r.choice([";", "", "g"]), lambda: r.choice(["&", "&&", "&;", "&#;", "&#x;", "& ", "&notit;", "plain", " ", "é\n", "&" + "z" * 40 + ";"]),
+    ]
+    texts = ["".join(r.choice(pieces)() for _ in range(r.randint(0, 8))) for _ in range(3000)] + [f"&{n}" for n in names]
+    found = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", X.decode_entities("t").alias("d")).collect()
+    assert [(texts[x.i], x.d) for x in found if x.d != html.unescape(texts[x.i])] == []
 
 
 @pytest.mark.parametrize(("value", "wanted"), [("a , b,,a", ["a", "b", "a"]), (None, []), (" , ", [])])
