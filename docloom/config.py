@@ -9,7 +9,11 @@ from dataclasses import dataclass, fields
 
 @dataclass(frozen=True)
 class Config:
-    """Settings of the load and search jobs. ``DOCLOOM_<NAME>`` in the environment overrides a default."""
+    """Settings of the load and search jobs. ``DOCLOOM_<NAME>`` in the environment overrides a default.
+
+    ``table`` is a database table where ``jdbc_url`` is set, else a Parquet folder; ``collection`` is a folder. Without
+    ``embedding_url`` vectors come from the hashing stand-in.
+    """
 
     table: str = "documents"
     collection: str = "passages"
@@ -19,6 +23,11 @@ class Config:
     page_rows: int = 100
     jdbc_url: str | None = None
     jdbc_user: str | None = None
+    jdbc_password: str | None = None
+    jdbc_driver: str | None = None
+    embedding_url: str | None = None
+    embedding_model: str = "default"
+    embedding_token: str | None = None
 
     @classmethod
     def read(cls, environment: Mapping[str, str] | None = None) -> Config:

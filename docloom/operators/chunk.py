@@ -23,7 +23,7 @@ FIELDS = [
 
 def line_paragraphs(text: Column | str) -> Column:
     """A plain text's non-empty lines as paragraphs."""
-    lines = F.filter(F.transform(F.split(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), "\n"), X.normalize_inline), lambda t: t != "")
+    lines = F.filter(F.transform(F.split(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), "\n"), lambda t: X.normalize_inline(t)), lambda t: t != "")
     row = lambda t: F.struct(F.lit(None).cast("long").alias("para_no"), t.alias("text"), F.lit("judgpara").alias("source_class"), F.lit("main").alias("role"))
     return F.transform(lines, row)
 

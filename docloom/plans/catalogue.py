@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from docloom.functions import text as X
 from docloom.operators import backfill, parse, postings, search
 from docloom.operators.chunk import chunk, large_cases, line_paragraphs, totals
-from docloom.operators.embed import embed, hashing_embedder
+from docloom.operators.embed import TooLong, embed
 from docloom.operators.html import Selector, select_texts
-from docloom.operators.points import batches
+from docloom.operators.points import batches, points
 from docloom.operators.store import Collection
 from docloom.operators.vector_index import VectorIndex, vector_topk
 from docloom.sources import scans
@@ -212,6 +212,14 @@ def x5_loose_list(spark, sf_dir):
     return scans.read_table(spark, sf_dir, "part").select("p_partkey", F.array_join(X.loose_list(_listed(" ; ", "|")), "#").alias("items"))
 
 
+@query(rf"""WITH t AS (SELECT doc_id, replace(replace(text, '. ', '.' || chr(9) || chr(10) || ' ' || chr(10) || chr(10)), ', ', ',' || chr(160) || '  ') AS t FROM documents)
+SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(replace(t, chr(160), ' '), '[ \t]+', ' ', 'g'), '[{X.SPACE}]*\n[{X.SPACE}]*', chr(10), 'g'), '^[{X.SPACE}]+|[{X.SPACE}]+$', '', 'g')) AS text_md5 FROM t""")
+def x2_normalize_lines(spark, sf_dir):
+    """Texts with blank lines, tabs and no-break spaces; line ends stay."""
+    odd = F.replace(F.replace("text", F.lit(". "), F.lit(".\t\n \n\n")), F.lit(", "), F.lit(",\u00a0  "))
+    return scans.read_table(spark, sf_dir, "documents").select("doc_id", F.md5(X.normalize_lines(odd)).alias("text_md5"))
+
+
 @query(rf"""WITH t AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '[' || doc_id || '] ' WHEN 1 THEN '(' || doc_id || ')' ELSE doc_id || '. ' END || text AS t FROM documents)
 SELECT doc_id, CAST(regexp_extract(t, '^[\[(]?([0-9]+)[\]).]', 1) AS BIGINT) AS para_no,
        md5(trim(regexp_replace(regexp_extract(t, '(?s)^[\[(]?[0-9]+[\]).][{X.SPACE}]*(.*)$', 1), '[{X.SPACE}]+', ' ', 'g'), ' ')) AS text_md5 FROM t""")
@@ -390,12 +398,35 @@ def h16_judgment_text(spark, sf_dir):
     return _judgments(spark, sf_dir).select("case_id", F.md5("full_text").alias("full_text_md5"), F.array_join("warnings", ", ").alias("warnings"))
 
 
-@query()
+@query("""SELECT o_orderkey * 100000 AS id, o_orderkey || '_0' AS chunk_id, 1 AS paragraph_start, 4 AS paragraph_end, o_orderkey AS case_id, 'J' AS ftype, '[1] 5 percent' AS last_line,
+       'judges: A. ' || o_custkey || ', B. Roe' AS judges_line, 'acts referred: ' || CASE WHEN o_orderkey % 2 = 0 THEN 'Act ' || o_custkey || ', Act Z' ELSE 'A ' || o_custkey || ', B, C, D' END AS acts_line,
+       CASE WHEN o_orderkey % 5 <> 0 THEN 'title: Case ' || o_orderkey || ' versus State & Another' ELSE 'citation: ' || o_orderkey || ' SCC' || o_custkey END AS first_line FROM orders""")
+def f5_points(spark, sf_dir):
+    """Judgments as points: ids, the payload of the case and of the passage, and the sparse text's lines."""
+    cases = _judgments(spark, sf_dir)
+    found = points(chunk(cases, "case_id", "paragraphs", 600, carry=[c for c in parse.CASE_COLUMNS if c != "case_id"]))
+    lines = F.split("sparse_text", "\n")
+    labelled = lambda name: F.get(F.filter(lines, lambda x: x.startswith(f"{name}: ")), F.lit(0)).alias(f"{name.split()[0]}_line")
+    return found.select("id", "chunk_id", "paragraph_start", "paragraph_end", "case_id", "ftype", F.element_at(F.split("text", "\n"), -1).alias("last_line"), labelled("judges"), labelled("acts referred"), F.get(lines, F.lit(0)).alias("first_line"))
+
+
+ARTICLE_SQL = "regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"
+
+
+def _visible_sql(html: str) -> str:
+    """An element's text: breaks are spaces, other tags nothing."""
+    return _clean_sql(f"regexp_replace(replace({html}, '<br>', ' '), '<[^>]+>', '', 'g')")
+
+
+@query(rf"""WITH x AS (SELECT page_id, unnest(string_split({ARTICLE_SQL}, '<p>')) AS part, generate_subscripts(string_split({ARTICLE_SQL}, '<p>'), 1) AS i FROM pages),
+t AS (SELECT page_id, {_visible_sql("part")} AS text, i FROM x WHERE i > 1),
+f AS (SELECT page_id, text, min(i) AS i FROM t WHERE text <> '' AND NOT regexp_matches(text, '(?i)^judgement text\s*:?\s*$') GROUP BY page_id, text)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS position, CAST(NULL AS BIGINT) AS para_no, text, 'main' AS role FROM f""")
 def h9_paragraphs(spark, sf_dir):
     return _web(spark, sf_dir).select(F.col("case_id").alias("page_id"), F.posexplode("paragraphs").alias("position", "p")).select("page_id", "position", "p.para_no", "p.text", "p.role")
 
 
-@query()
+@query(f"SELECT page_id, {_visible_sql(ARTICLE_SQL)} AS body FROM pages")
 def h10_text(spark, sf_dir):
     found = select_texts(scans.read_table(spark, sf_dir, "pages").select("page_id", "html"), "html", {"body": Selector("article", "space", 1)})
     return found.select("page_id", F.array_join(F.transform("body", lambda x: x["text"]), "\n").alias("body"))
@@ -544,11 +575,29 @@ def r5_hybrid(spark, sf_dir):
     return found.select("score", "id", F.md5("text").alias("text_md5"))
 
 
-@query()
+LONGEST = 2500
+
+
+def _measuring_embedder():
+    """Characters and blanks of a text; over ``LONGEST`` characters it is too long."""
+
+    def f(texts):
+        if any(len(t) > LONGEST for t in texts):
+            raise TooLong("too long")
+        return [[len(t), t.count(" ")] for t in texts]
+
+    return f
+
+
+@query(f"""WITH RECURSIVE {_paragraph_sql(600)},
+t AS (SELECT w.doc_id, w.chunk_index, string_agg(c.t, chr(10) || chr(10) ORDER BY c.i) AS text FROM walk w JOIN c ON c.doc_id = w.doc_id AND c.i BETWEEN w.i AND w.stop GROUP BY w.doc_id, w.chunk_index)
+SELECT doc_id, chunk_index, CASE WHEN length(text) > {LONGEST} THEN 'too long' END AS skip_reason, CASE WHEN length(text) <= {LONGEST} THEN CAST(length(text) AS BIGINT) END AS characters,
+       CASE WHEN length(text) <= {LONGEST} THEN CAST(length(text) - length(replace(text, ' ', '')) AS BIGINT) END AS blanks FROM t""")
 def e3_embed(spark, sf_dir):
-    """Vectors of all passages by the offline embedder."""
-    out = embed(_chunked(spark, sf_dir, 600), "text", lambda: hashing_embedder(64), 64)
-    return out.select("doc_id", "chunk_index", F.round(search.inner_product(F.col("vector").cast("array<double>"), F.col("vector").cast("array<double>")), 3).alias("norm"), "skip_reason")
+    """Requests sized by the document's passages; passages that are too long are skipped with a reason."""
+    sized = _chunked(spark, sf_dir, 600).withColumn("texts", X.adaptive_batch("chunk_count"))
+    out = embed(sized, "text", _measuring_embedder, 2, "texts")
+    return out.select("doc_id", "chunk_index", "skip_reason", *(F.get("vector", F.lit(i)).cast("long").alias(c) for i, c in enumerate(("characters", "blanks"))))
 
 
 @query("""SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events, round(sum(value), 4) AS value FROM events GROUP BY ALL""")

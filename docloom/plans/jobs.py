@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docloom.config import Config
 from docloom.functions.text import SERIALS, adaptive_batch
 from docloom.operators import backfill, postings
 from docloom.operators.chunk import chunk
-from docloom.operators.embed import embed, hashing_embedder
+from docloom.operators.embed import embed, hashing_embedder, http_embedder
 from docloom.operators.parse import CASE_COLUMNS, parse_cases
 from docloom.operators.points import CHUNK_COLUMNS
 from docloom.operators.search import bm25_topk, query_text, rrf, shown
@@ -66,6 +67,24 @@ def ingest(
     collection.upsert(load(page, vectors, target_words=target_words))
 
 
+def source(spark: SparkSession, config: Config, after: int, end: int) -> DataFrame:
+    """The configured table's rows; a database is read by ranges of the keys ``(after, end]``, as many at once as pages of the range."""
+    if config.jdbc_url is None:
+        return scans.raw_records(spark.read.parquet(config.table))
+    given = {"user": config.jdbc_user, "password": config.jdbc_password, "driver": config.jdbc_driver}
+    ranges = max(1, min(64, (end - after) // config.page_rows))
+    return scans.raw_records(scans.read_jdbc(spark, config.jdbc_url, config.table, "file_name", after, end, ranges, **{k: v for k, v in given.items() if v}))
+
+
+def load_range(spark: SparkSession, config: Config, after: int, end: int) -> Collection:
+    """The configured range load: source, collection, passages and vectors."""
+    collection = create_hybrid_collection(spark, config.required("collection").collection)
+    url, model, token = config.embedding_url, config.embedding_model, config.embedding_token
+    embedder = (lambda: http_embedder(url, model, token)) if url else None
+    ingest(source(spark, config, after, end), collection, after, end, size=config.vector_size, target_words=config.chunk_words, embedder=embedder)
+    return collection
+
+
 def search(collection: Collection, words: list[str], size: int = 64, k: int = 5) -> DataFrame:
     """The best rows by vector; by the collection's vector index where it has one."""
     found = vector_topk(collection, hashing_embedder(size)([query_text(words)])[0].tolist(), k)

@@ -9,12 +9,14 @@ from urllib.parse import parse_qs, urlparse
 import pytest
 from pyspark.sql import functions as F
 
+from docloom.config import Config
 from docloom.operators import embed
 from docloom.operators.store import Collection
 from docloom.plans import jobs
 from docloom.sources import http, remote, scans
 from docloom.streaming import loads
 
+DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
 HTML = '<p class="judgtitle">Case {0}</p><p class="judgpara">[1] alpha word{0}</p>'
 
 
@@ -188,3 +190,16 @@ def test_ingest_by_the_service(spark, service, tmp_path):
     url = f"{service.url}/vectors"
     jobs.ingest(scans.raw_records(pages(spark, service)), c, 100000, 100009, size=2, embedder=lambda: embed.http_embedder(url, "m"), retry=embed.Retry(base_s=0.01, busy_s=0.01, jitter_s=0))
     assert sorted(r.case_id for r in c.read().where("dense[1] = 1").collect()) == sorted(service.rows)
+
+
+def test_configured_load_from_a_database(spark, service, tmp_path):
+    """Ranges of a database table in parallel, with the passages' vectors from the service."""
+    url = f"jdbc:derby:{tmp_path}/db"
+    table = spark.createDataFrame([(100000 + k, "t", "" if k == 5 else HTML.format(k), 0) for k in range(1, 41)], remote.RAW)
+    table.write.jdbc(f"{url};create=true", "cases", properties={"driver": DRIVER, "createTableColumnTypes": "jtext VARCHAR(2000)"})
+    given = {"TABLE": "cases", "COLLECTION": str(tmp_path / "c"), "JDBC_URL": url, "JDBC_DRIVER": DRIVER, "PAGE_ROWS": "10", "VECTOR_SIZE": "2", "EMBEDDING_URL": f"{service.url}/vectors"}
+    config, service.fail = Config.read({f"DOCLOOM_{k}": v for k, v in given.items()}), False
+    assert jobs.source(spark, config, 100000, 100040).rdd.getNumPartitions() == 4
+    c = jobs.load_range(spark, config, 100003, 100030)
+    assert sorted(r.case_id for r in c.read().where("dense[1] = 1").collect()) == [100000 + k for k in range(4, 31) if k != 5]
+    assert jobs.hybrid(c, ["word7"], 2).first().case_id == 100007
