@@ -62,7 +62,9 @@ class VectorIndex:
             return None
         rows = rows.where(F.size("v") == told.size)
         share = lambda most: F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(min(1.0, most / told.n) * (1 << 30)) + 1
-        sample = rows.where(share(SAMPLE_ROWS))
+        spark, held = collection.spark, f"staged/sample-{uuid.uuid4().hex}"
+        rows.where(share(SAMPLE_ROWS)).select("v").write.parquet(f"{collection.path}/{held}")  # training passes over it again and again
+        sample = spark.read.schema("v array<double>").parquet(f"{collection.path}/{held}")
         k = lists or min(MOST_LISTS, max(1, round(told.n**0.5)))
         model = KMeans(k=k, maxIter=10, seed=seed, distanceMeasure="cosine", featuresCol="f").fit(sample.select(array_to_vector("v").alias("f"))) if k > 1 else None
         found = np.array(model.clusterCenters() if model else [np.ones(told.size)])
@@ -72,7 +74,7 @@ class VectorIndex:
         low, high = parts.agg(F.percentile_approx("x", F.array(F.lit((1 - quantile) / 2), F.lit((1 + quantile) / 2)), 10_000)).first()[0]
         name = uuid.uuid4().hex
         settings = {"column": column, "size": told.size, "low": low, "high": max(high, low + 1e-9), "centroids": name, "lists": len(found)}
-        spark = collection.spark
+        collection.files.delete(held)
         spark.createDataFrame(list(enumerate(found.tolist())), "list int, vector array<double>").coalesce(1).write.parquet(f"{collection.path}/centroids/{name}")
         index = cls(collection, settings)
         settings["probes"] = index._measured(rows, rows.where(share(MEASURED)).limit(4 * MEASURED), recall)
