@@ -5,7 +5,7 @@
 
 - ``GET <url>?after=&end=&limit=``: rows with ``after < key <= end``, by key; ``GET <url>?last=1``: ``{"key": ...}``, the last key
 - ``POST <url>/staged/<write>/<part>``: ``{"batch": n, "points": [...]}``; ``POST <url>/commit/<write>``: ``{"parts": [...]}``;
-  ``DELETE <url>/staged/<write>``
+  ``DELETE <url>/staged/<write>``, behind which the service refuses further batches of that write (a task may still run)
 """
 
 from __future__ import annotations
