@@ -442,10 +442,18 @@ def h12_dedup(spark, sf_dir):
     return kept.where(F.size("paragraphs") > 0).select("doc_id", F.size("paragraphs").cast("long").alias("paragraphs"))
 
 
-@query("""SELECT c_custkey, c_custkey % 3 < 2 AS lead FROM customer""")
+@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+w AS (SELECT doc_id, i, CASE (doc_id + i) % 4 WHEN 0 THEN split_part(t, '.', 1) || ', C. J. -' WHEN 1 THEN 'per  COURT ' || left(t, i % 2) || '-:' WHEN 2 THEN left(t, 40) || ',j-' ELSE t END AS t FROM l)
+SELECT doc_id, count(*) AS lines, count(*) FILTER (regexp_matches(t, '^[A-Za-z][-A-Za-z.,'' \x09-\x0D]+,[ \x09-\x0D]*([Cc][.]?[ \x09-\x0D]*)?[Jj][.]?[ \x09-\x0D]*-[ \x09-\x0D]*$')
+       OR regexp_matches(lower(t), '^per[ \x09-\x0D]+court[ \x09-\x0D]*[-:]*$')) AS leads FROM w GROUP BY doc_id""")
 def h14_lead_line(spark, sf_dir):
-    line = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.regexp_replace("c_name", "[^A-Za-z]", ""), F.lit(", C. J. -"))).when(F.col("c_custkey") % 3 == 1, F.lit("PER  court -:")).otherwise(F.concat("c_name", F.lit(", J. - x")))
-    return scans.read_table(spark, sf_dir, "customer").select("c_custkey", parse.is_lead(line).alias("lead"))
+    """Lines of all documents, most of them with an ending as a judge's name line has; letters beyond ASCII make no name."""
+    lines = scans.read_table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "t"))
+    lines = lines.withColumn("i", F.col("i") + 1)
+    told = lambda k: (F.col("doc_id") + F.col("i")) % 4 == k
+    line = F.when(told(0), F.concat(F.split_part("t", F.lit("."), F.lit(1)), F.lit(", C. J. -"))).when(told(1), F.concat(F.lit("per  COURT "), F.substring("t", F.lit(1), F.col("i") % 2), F.lit("-:")))
+    line = line.when(told(2), F.concat(F.substring("t", 1, 40), F.lit(",j-"))).otherwise(F.col("t"))
+    return lines.groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(parse.is_lead(line)).alias("leads"))
 
 
 @query("""SELECT c_custkey, CAST(CASE WHEN c_custkey % 2 = 0 THEN 2 ELSE 3 END AS INTEGER) AS paragraphs, CASE WHEN c_custkey % 2 = 0 THEN 'Rao, J. - ' || c_name ELSE 'Rao, J. -' END AS first FROM customer""")
