@@ -40,7 +40,7 @@ def test_stages_in_turn(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_give_what_their_sql_gives(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         connection.sql(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
     wanted = connection.sql(queries.ORACLES[name])
     found = queries.QUERIES[name](spark, FOLDER)
