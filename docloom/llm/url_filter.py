@@ -5,12 +5,14 @@ keys exactly with respect to the corpus's whole key universe: level 0 encodes th
 the unlisted keys that level 0 takes for listed, level 2 the listed keys that level 1 takes in, and so
 on until a level has no false positives. Looking a key up reads a few bits and joins nothing.
 
-The filter itself is the one thing every task holds. It has about ``FIRST_BITS`` bits per listed key,
-so its size is known from a count before it is built, and a list over ``max_bits`` is refused.
+A filter has about ``FIRST_BITS`` bits per listed key, so its size is known from counts before it is built. Beyond
+``MOST_BITS`` the keys are split by a hash into parts with a cascade each, and the rows are judged in one pass for
+each part, so that tasks hold one part's cascade at a time, however long the list is.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +22,8 @@ from docloom.llm import scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FIRST_BITS, FIRST_HASHES, LATER_BITS, LATER_HASHES = 12, 6, 3, 2
+#: A level's size in bits above which the keys are split; the share of unlisted keys that level 0 takes in, at most; filter bytes that come to the driver in one row.
+MOST_BITS, FALSE_SHARE, PAGE_BYTES = 1 << 28, 0.01, 4096
 
 #: A host label with one of these words, alone or between hyphens, puts the host on the query's list.
 LISTED_WORDS = ["ads", "adult", "bets", "casino", "farm", "gambling", "pills", "porn", "spam", "track", "viagra", "xxx"]
@@ -95,25 +99,33 @@ class Level:
 
 
 def encode(keys: DataFrame, level: int, bits: int, hashes: int) -> Level:
-    """A Bloom filter of the column ``key``: bytes by bitwise OR, combined before the shuffle.
+    """A Bloom filter of the column ``key``: bytes by bitwise OR, combined before the shuffle, then joined to pages.
 
-    Only the filter's own nonzero bytes come to the driver; ``bits`` was checked before.
+    The filter's pages come to the driver, at most ``bits / 8 / PAGE_BYTES`` rows.
     """
     spread = F.array(*[position(F.col("key"), level, i, bits) for i in range(hashes)])
     ones = keys.select(F.explode(spread).alias("p")).select(F.shiftright("p", 3).alias("i"), F.expr("shiftleft(1, cast(pmod(p, 8) AS int))").alias("b"))
+    byte = F.struct(F.pmod("i", F.lit(PAGE_BYTES)).cast("int").alias("i"), "b")
+    pages = ones.groupBy("i").agg(F.bit_or("b").alias("b")).groupBy(F.floor(F.col("i") / PAGE_BYTES).alias("page")).agg(F.array_sort(F.collect_list(byte)).alias("held"))
+    gap = lambda x, at: x["i"] - F.coalesce(F.get("held", at - 1)["i"], F.lit(-1)) - 1
+    filled = F.transform("held", lambda x, at: F.concat(F.repeat(F.lit("00"), gap(x, at)), F.lpad(F.hex(x["b"]), 2, "0")))
     data = bytearray(bits // 8)
-    for row in ones.groupBy("i").agg(F.bit_or("b").alias("b")).collect():
-        data[row.i] = row.b
+    for row in pages.select("page", F.unhex(F.array_join(filled, "")).alias("bytes")).collect():
+        data[row.page * PAGE_BYTES : row.page * PAGE_BYTES + len(row.bytes)] = row.bytes
     return Level(bytes(data), hashes)
 
 
+def marked_keys(listed: DataFrame, universe: DataFrame) -> DataFrame:
+    """``key, listed``: every key of both (each with one column ``key``) once."""
+    universe = universe.where(F.col("key").isNotNull()).distinct()
+    listed = listed.where(F.col("key").isNotNull()).distinct()
+    return universe.join(listed.withColumn("listed", F.lit(True)), "key", "full").select("key", F.coalesce("listed", F.lit(False)).alias("listed"))
+
+
 class Cascade:
-    """Exact membership of listed keys over ``universe`` (both with one column ``key``)."""
+    """Exact membership of listed keys among the marked ones (``key, listed``, each key once)."""
 
-    def __init__(self, listed: DataFrame, universe: DataFrame, max_bits: int = 1 << 28):
-        universe = universe.where(F.col("key").isNotNull()).distinct()
-        listed = listed.where(F.col("key").isNotNull()).distinct()
-        marked = scratch.keep(universe.join(listed.withColumn("listed", F.lit(True)), "key", "full").select("key", F.coalesce("listed", F.lit(False)).alias("listed")))
+    def __init__(self, marked: DataFrame):
         yes, no = marked.where("listed").select("key"), marked.where("NOT listed").select("key")
         self.levels: list[Level] = []
         encoded, other = yes, no
@@ -122,10 +134,7 @@ class Cascade:
             if level and not n:  # the last level took in nothing false
                 break
             per, hashes = (LATER_BITS, LATER_HASHES) if level else (FIRST_BITS, FIRST_HASHES)
-            bits = 64 * max(1, -(-n * per // 64))
-            if bits > max_bits:
-                raise ValueError(f"{n} keys need {bits} bits at level {level}; the filter's bound is {max_bits}")
-            self.levels.append(encode(encoded, level, bits, hashes))
+            self.levels.append(encode(encoded, level, 64 * max(1, -(-n * per // 64)), hashes))
             encoded, other = other.where(self.levels[-1].holds(F.col("key"), level)), encoded
 
     def listed(self, key: Column) -> Column:
@@ -147,20 +156,42 @@ def key_universe(pages: DataFrame, url: str = "url") -> DataFrame:
     return pages.select(host(F.col(url)).alias("h")).distinct().select(F.explode(suffixes(F.col("h"))).alias("key")).distinct()
 
 
-def url_filter(pages: DataFrame, listed: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, words: list[str] = LISTED_WORDS, url: str = "url") -> DataFrame:
+def part_of(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit("part"), key), F.lit(parts))
+
+
+def parts_for(listed: int, unlisted: int, most_bits: int) -> int:
+    """Into how many parts keys are split, so that no level of a part has many more than ``most_bits`` bits."""
+    return max(1, math.ceil(max(FIRST_BITS * listed, LATER_BITS * FALSE_SHARE * unlisted) / most_bits))
+
+
+def url_filter(
+    pages: DataFrame, listed: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, words: list[str] = LISTED_WORDS, url: str = "url", most_bits: int = MOST_BITS
+) -> DataFrame:
     """Adds ``host``, ``path``, ``rule`` and ``verdict`` to every row of ``pages``.
 
     The longest fitting rule decides; where none fits, a url is blocked if its host or one of the
     host's parent domains is listed. ``listed`` has a column ``key``; without it the corpus's own
     hosts with one of ``words`` are listed. Null urls and urls without ``://`` have empty host and
-    path and are allowed. Repeated rows stay, an empty table gives an empty result, and columns of
-    the input named like the new ones are replaced.
+    path and are allowed. Repeated rows stay, an empty table gives an empty result, columns of
+    the input named like the new ones are replaced, and urls may have any length.
     """
-    with scratch.scope():
+    with scratch.scope() as leave:
         universe = scratch.keep(key_universe(pages, url))
-        cascade = Cascade(universe.transform(lambda u: hosts_with(words, u)) if listed is None else listed.select("key"), universe)
+        marked = scratch.keep(marked_keys(hosts_with(words, universe) if listed is None else listed.select("key"), universe))
+        parts = parts_for(*marked.agg(F.count_if("listed"), F.count_if(~F.col("listed"))).first(), most_bits)
+        hit = "docloom_listed"
+        while hit in (c.lower() for c in pages.columns):
+            hit += "_"
+        judged = pages.withColumn(hit, F.lit(False))
+        for i in range(parts):
+            part = Cascade(marked.where(part_of(F.col("key"), parts) == i))
+            passed = judged.withColumn(hit, F.col(hit) | F.exists(suffixes(host(F.col(url))), lambda key: (part_of(key, parts) == i) & part.listed(key) if parts > 1 else part.listed(key)))  # noqa: B023
+            judged = passed if parts == 1 else scratch.keep(passed)
+        if parts > 1:
+            leave(judged)
     name, where = host(F.col(url)), path(F.col(url))
     text, verdict = rule_of(name, where, rules)
-    by_list = F.when(F.exists(suffixes(name), cascade.listed), "block").otherwise("allow")
+    by_list = F.when(F.col(hit), "block").otherwise("allow")
     new = {"host": name, "path": where, "rule": text, "verdict": F.coalesce(verdict, by_list)}
-    return pages.withColumns(new)
+    return judged.withColumns(new).drop(hit)

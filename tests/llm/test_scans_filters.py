@@ -76,12 +76,40 @@ def test_cascade_is_exact(spark):
     keys = [f"h{i}.net" for i in range(3000)]
     listed = set(rng.sample(keys, 700))
     universe = spark.createDataFrame([(k,) for k in [*keys, None, keys[0]]], "key string")
-    cascade = url_filter.Cascade(spark.createDataFrame([(k,) for k in listed], "key string"), universe)
+    cascade = url_filter.Cascade(url_filter.marked_keys(spark.createDataFrame([(k,) for k in listed], "key string"), universe))
     assert len(cascade.levels) > 1
     found = {r.key for r in universe.where("key IS NOT NULL").where(cascade.listed(universe["key"])).collect()}
     assert found == listed
-    with pytest.raises(ValueError):
-        url_filter.Cascade(spark.createDataFrame([(k,) for k in listed], "key string"), universe, max_bits=64)
+
+
+def test_filter_bytes_are_those_of_its_keys(spark):
+    """Pages with gaps before, between and behind nonzero bytes, over several pages."""
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(40)], "key string")
+    bits = 8 * 3 * url_filter.PAGE_BYTES
+    level = url_filter.encode(keys, 0, bits, 3)
+    wanted = bytearray(bits // 8)
+    for row in keys.select(*(url_filter.position(F.col("key"), 0, i, bits) for i in range(3))).collect():
+        for p in row:
+            wanted[p // 8] |= 1 << p % 8
+    assert level.data == bytes(wanted) and url_filter.encode(keys.limit(0), 0, 64, 3).data == bytes(8)
+
+
+def test_a_list_beyond_the_bound_is_judged_in_parts(spark):
+    rng = random.Random(6)
+    hosts = [f"h{i}.x{i % 7}.net" for i in range(500)]
+    listed = set(rng.sample(hosts, 120)) | {"x3.net", "elsewhere.com"}
+    pages = spark.createDataFrame([(i, f"http://{rng.choice(hosts)}/a", i, i) for i in range(800)], "page_id long, url string, verdict long, docloom_listed long")
+    assert url_filter.parts_for(122, 400, 400) == 4
+    whole, parts = (url_filter.url_filter(pages, spark.createDataFrame([(k,) for k in listed], "key string"), most_bits=m) for m in (1 << 28, 400))
+    assert parts.columns == whole.columns and sorted(map(tuple, parts.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    for r in parts.collect():
+        assert r.verdict == ("block" if r.host in listed or r.host.endswith(".x3.net") else "allow") and r.docloom_listed == r.page_id
+
+
+def test_very_long_urls(spark):
+    pages = spark.createDataFrame([(1, "http://ads.net/" + "a" * 1_000_000), (2, "http://" + "b" * 1_000_000)], "page_id long, url string")
+    rows = url_filter.url_filter(pages).orderBy("page_id").collect()
+    assert [(r.verdict, len(r.host), len(r.path)) for r in rows] == [("block", 7, 1_000_001), ("allow", 1_000_000, 0)]
 
 
 def labelled(spark, n, seed=0):
