@@ -4,6 +4,7 @@ import random
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -89,6 +90,40 @@ def test_chunked_encoding_is_the_library_s(spark, size):
     assert all(bytes(r.bytes) == (texts[r.doc_id] or "").encode() for r in rows)
 
 
+def test_nothing_goes_on_from_another_character_to_white_space():
+    """What ``CERTAIN`` rests on, for every pre-token of random texts."""
+    rng, pattern = random.Random(2), regex.compile(P.PATTERN)
+    pieces = ["a", "Zé", "'", "'ll", "12", "!", " ", "  ", "\n", "\t", "\xa0", "\x1c", "\u2028", "漢", "\u0301", "\U0001f600", "\x00"]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 30)))
+        for begin in range(min(len(text), 4)):
+            ends = {m.end() + begin for m in pattern.finditer(text[begin:])}
+            assert {m.start() for m in regex.finditer(encoding.CERTAIN, text) if m.start() > begin} <= ends
+
+
+def test_cut_again_behind_a_long_pre_token(spark):
+    """A pre-token longer than the overlap joins its own chunks alone; a text without any boundary stays one piece."""
+    plain = "some words, it's 12 o'clock " * 40
+    texts = {1: plain + "x" * 100 + plain, 2: "漢" * 300, 3: "!" * 90 + plain + " " * 70 + plain, 4: plain + "漢" * 90 + "。漢字" * 60 + "\n" + plain}
+    long = spark.createDataFrame([(k, k, v) for k, v in texts.items()], "id long, row long, text string")
+    found = {}
+    for r in encoding.pieces_of(long, 40, 16).collect():
+        found.setdefault(r.id, []).append((r["from"], r.text))
+    pattern = regex.compile(P.PATTERN)
+    for key, text in texts.items():
+        pieces = [t for _, t in sorted(found[key])]
+        assert "".join(pieces) == text and [m[0] for t in pieces for m in pattern.finditer(t)] == [m[0] for m in pattern.finditer(text)]
+    longest = {key: max(len(t) for _, t in found[key]) for key in texts}
+    assert longest[1] <= 100 + 4 * 40 and longest[3] <= 90 + 4 * 40 and len(found[2]) == 1 and longest[4] <= 90 + 180 + 4 * 40
+
+
+def test_whole_chunks_of_the_real_size(spark):
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choice("abcdeé'12") for _ in range(rng.randint(1, 12))) for _ in range(60_000)) + "y" * 5000 + " the end" * 30_000
+    rows = encoding.decode(encoding.encode(spark.createDataFrame([(1, text)], "doc_id long, text string"), RANKS), RANKS).collect()
+    assert np.frombuffer(rows[0].ids, dtype="<u4").tolist() == bpe.by_ranks(RANKS).encode_ordinary(text) and bytes(rows[0].bytes) == text.encode()
+
+
 def test_encoding_keeps_repeated_rows_and_null_ids(spark):
     docs = spark.createDataFrame([(None, "a"), (1, "b " * 60), (1, "b " * 60)], "doc_id long, text string")
     rows = encoding.encode(docs, RANKS, chunk=20, overlap=8).select("doc_id", F.octet_length("ids").alias("n")).collect()
