@@ -8,7 +8,7 @@ vectors for which the chi-square test fails: a point as near as the current k-th
 ``SURE``, have a smaller projected distance. Its search ends at the first leaf for which the test holds.
 
 A first round takes the nearest leaf of each shard; the k-th of what all shards found is shared with
-the second, which therefore stops as if all vectors were in one tree.
+the second, which therefore stops as if all vectors were in one tree, and begins behind that leaf.
 """
 
 from __future__ import annotations
@@ -44,11 +44,12 @@ def chi2_quantile(share: float, dims: int) -> float:
 
 
 def search_shard(
-    ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, norm2: float, least: np.ndarray | None = None, first_only: bool = False, verified: list | None = None
+    ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, norm2: float, least: np.ndarray | None = None, first_only: bool = False, verified: list | None = None, begun: int = 0
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query's place, id, score) of the ``k`` nearest found in one shard, the query's own id left out.
 
-    ``least``: scores that each query has ``k`` of already. ``verified`` takes how many points were verified.
+    ``least``: scores that each query has ``k`` of already, ``begun``: how many leaves were read for them.
+    ``verified`` takes how many points were verified.
     """
     ids, vectors = fewest_ids(ids, vectors, k + 1)  # in the order of the ids, so row numbers break ties
     lift = np.sqrt(np.maximum(norm2 - (vectors**2).sum(1), 0))
@@ -70,7 +71,7 @@ def search_shard(
         distance = lengths - 2 * at @ points.T + (at**2).sum(1)[:, None]
         best, best_at = np.full((len(q), k), -np.inf), np.full((len(q), k), -1, dtype=np.int64)
         live, base = np.arange(len(q)), norm2 + (q**2).sum(1)
-        for step in range(1 if first_only else len(leaves)):
+        for step in range(1) if first_only else range(begun, len(leaves)):
             kth = np.maximum(base - 2 * floor, 1e-12)  # squared distance; infinite while there are fewer than k
             live = live[near[live, step] < limit * kth[live]]
             if not len(live):
@@ -107,7 +108,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
 
         def search(first_only: bool):
             def run(ids: np.ndarray, vectors: np.ndarray, asked: pd.DataFrame, queries: np.ndarray) -> tuple:
-                return search_shard(ids, vectors, asked["id"].to_numpy(), queries, k, norm2, asked["least"].to_numpy(), first_only)
+                return search_shard(ids, vectors, asked["id"].to_numpy(), queries, k, norm2, asked["least"].to_numpy(), first_only, begun=0 if first_only else 1)
 
             return run
 
