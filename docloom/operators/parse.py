@@ -78,11 +78,13 @@ def _or_null(value: Column) -> Column:
 
 def is_lead(value: Column) -> Column:
     """A judge's name line, as ``A. Name, J. -``, or ``Per Court -``."""
+    # fixed values: the two forms of such a line
     return value.rlike(r"(?i)^[A-Z][A-Za-z.\s,'-]+,\s*(C\.?\s*J\.?|J\.?)\s*-\s*$") | value.rlike(r"(?i)^per\s+court\s*[-:]*$")
 
 
 def paragraphs(df: DataFrame, found: str, p: Profile) -> DataFrame:
     """Adds ``paragraphs``: numbered, classified paragraphs of the raw texts ``found``; of equal texts the first stays."""
+    # fixed value: the heading that isn't a paragraph
     kept = F.filter(found, lambda x: (x["text"] != "") & ~x["text"].rlike(r"(?i)^judgement text\s*:?\s*$"))
     df = df.withColumn("docloom_kept", kept).withColumn("docloom_texts", F.transform("docloom_kept", lambda x: x["text"]))
     first = F.transform(F.array_distinct("docloom_texts"), lambda t: F.get("docloom_kept", (F.array_position("docloom_texts", t) - 1).cast("int")))
