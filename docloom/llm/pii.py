@@ -295,7 +295,7 @@ def redact(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with the personal data in ``text_col`` replaced by ``<EMAIL>``, ``<IP>``, ``<CARD>``, ``<PHONE>``.
 
     One kind after the other; base spans first, then accepted candidates of what is left. A null text
-    stays null.
+    stays null and texts may have any length; repeated rows stay, an empty table gives an empty one, and further columns may have any name.
     """
     for loose in (False, True):
         for kind in KINDS:
