@@ -4,6 +4,9 @@ Lists are a table partitioned by centroid, so a query reads the partitions of it
 candidates are scored again on their stored vectors. How many lists a query probes is measured when the index is built.
 Later changes of the collection append to the lists; an entry that is out of date is harmless, since the stored
 vector decides, until the next build. Collections of fewer rows than ``LEAST_ROWS`` are searched exactly.
+
+An entry also holds how far its 8-bit vector lies from the vector, which bounds its score from both sides. ``exact`` reads all lists'
+entries and scores every row whose bounds don't rule it out, so it finds what a scan of the vectors finds.
 """
 
 from __future__ import annotations
@@ -26,7 +29,9 @@ if TYPE_CHECKING:
 LEAST_ROWS, QUANTILE = 10_000, 0.99
 #: Bounds of what training takes and the driver holds: sampled rows, centroids, queries that the probes are measured on.
 SAMPLE_ROWS, MOST_LISTS, MEASURED = 100_000, 4096, 100
-LISTS = "id {kind}, codes binary, batch string, list int"
+#: Rows that an exact search reads by their keys; more are joined. What scores rounded to six places may differ by.
+BY_KEY, ROUNDING = 2000, 1e-6
+LISTS = "id {kind}, codes binary, error double, batch string, list int"
 
 
 def _units(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -113,7 +118,7 @@ class VectorIndex:
         """List entries of rows (the key and the vector)."""
         kind = dict(rows.dtypes)[self.collection.key]
         usable = _usable(rows, self.collection.key, self.column).where(F.size("v") == self.settings["size"])
-        entries = usable.mapInArrow(_entries(self.centroids(), self.settings["low"], self.settings["high"]), f"id {kind}, codes binary, list int")
+        entries = usable.mapInArrow(_entries(self.centroids(), self.settings["low"], self.settings["high"]), f"id {kind}, codes binary, error double, list int")
         entries.hint("rebalance", "list").sortWithinPartitions("list").write.partitionBy("list").parquet(folder)
 
     def candidates(self, query: list[float], most: int, probes: int | None = None) -> DataFrame:
@@ -141,6 +146,45 @@ class VectorIndex:
         ids = [r.id for r in self.candidates(query, k * oversample, probes).collect()]
         return dense_topk(self.collection.of_keys(ids), query, k, self.collection.key, self.column)
 
+    def _bounds(self, query: list[float]) -> DataFrame:
+        """``id, low, high``: between which a row's score lies. Of several entries of a row, one is up to date."""
+        unit = np.asarray(query, np.float64)
+        unit = unit / (np.linalg.norm(unit) or 1.0)
+        collection, low, high = self.collection, self.settings["low"], self.settings["high"]
+        kind = dict(collection.read(collection.key).dtypes)[collection.key]
+        lists = collection.spark.read.schema(LISTS.format(kind=kind)).parquet(f"{collection.path}/lists")
+        entries = lists.select("id", "codes", F.coalesce("error", F.lit(2.0)).alias("error"))  # entries of older indexes have no error
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if len(batch):
+                    codes = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int8).reshape(len(batch), -1)
+                    scores, errors = _decoded(codes, low, high) @ unit, batch.column(2).to_numpy() + 1e-9
+                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores - errors), pa.array(scores + errors)], ["id", "low", "high"])
+
+        return entries.mapInArrow(score, f"id {kind}, low double, high double").groupBy("id").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+    def exact(self, query: list[float], k: int = 5) -> DataFrame:
+        """``id, score``: the rows that a scan of all vectors finds. Entries of rows that are deleted may set the first bar too high; then it is lowered to
+        the score of the last row found, without k rows to nothing."""
+        collection = self.collection
+        stored = collection.read(collection.key, self.column)
+        if len(query) != self.settings["size"]:
+            return dense_topk(stored, query, k, collection.key, self.column)
+        bounds = self._bounds(query)
+        best = bounds.orderBy(F.desc("low")).limit(k).collect()
+        bar = best[-1].low if len(best) == k else -np.inf
+        while bar > -np.inf:
+            left = bounds.where(F.col("high") >= float(bar - 2 * ROUNDING)).select("id")
+            few = left.limit(BY_KEY + 1).collect()
+            rows = collection.of_keys([r.id for r in few]) if len(few) <= BY_KEY else stored.join(left.withColumnRenamed("id", collection.key), collection.key, "left_semi")
+            found = dense_topk(rows, query, k, collection.key, self.column)
+            scores = [r.score for r in found.collect()]
+            if len(scores) == k and scores[-1] >= bar - ROUNDING:
+                return found
+            bar = scores[-1] if len(scores) == k else -np.inf
+        return dense_topk(stored, query, k, collection.key, self.column)
+
 
 def _usable(rows: DataFrame, key: str, column: str) -> DataFrame:
     """``id, v``: vectors with a direction."""
@@ -148,6 +192,10 @@ def _usable(rows: DataFrame, key: str, column: str) -> DataFrame:
     return found.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0))
 
 
+def _decoded(codes: np.ndarray, low: float, high: float) -> np.ndarray:
+    return (codes.astype(np.float64) + 128) / 255 * (high - low) + low
+
+
 def _entries(centroids: np.ndarray, low: float, high: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,14 +203,15 @@ def _entries(centroids: np.ndarray, low: float, high: float) -> Callable[[Iterat
                 units = _units(batch.column(1))
                 codes = np.clip(np.rint((units - low) / (high - low) * 255 - 128), -128, 127).astype(np.int8)
                 lists = np.argmax(units @ centroids.T, axis=1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lists)], ["id", "codes", "list"])
+                errors = np.linalg.norm(units - _decoded(codes, low, high), axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(errors), pa.array(lists)], ["id", "codes", "error", "list"])
 
     return run
 
 
-def vector_topk(collection: Collection, query: list[float], k: int = 5, column: str = "dense") -> DataFrame:
-    """``id, score`` by cosine: from the collection's index, or exactly where it has none."""
+def vector_topk(collection: Collection, query: list[float], k: int = 5, column: str = "dense", exact: bool = False) -> DataFrame:
+    """``id, score`` by cosine: from the collection's index (with ``exact``, the rows that a scan finds), or exactly where it has none."""
     index = VectorIndex.of(collection)
     if index and index.column == column:
-        return index.topk(query, k)
+        return index.exact(query, k) if exact else index.topk(query, k)
     return dense_topk(collection.read(collection.key, column), query, k, collection.key, column)

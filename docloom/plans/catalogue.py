@@ -428,7 +428,7 @@ def h9_paragraphs(spark, sf_dir):
 
 @query(f"SELECT page_id, {_visible_sql(ARTICLE_SQL)} AS body FROM pages")
 def h10_text(spark, sf_dir):
-    found = select_texts(scans.read_table(spark, sf_dir, "pages").select("page_id", "html"), "html", {"body": Selector("article", "space", 1)})
+    found = select_texts(scans.read_table(spark, sf_dir, "pages").select("page_id", "html"), "html", {"body": Selector("article", "space", 1)}, parse.WEB.open_references)
     return found.select("page_id", F.array_join(F.transform("body", lambda x: x["text"]), "\n").alias("body"))
 
 
@@ -545,11 +545,11 @@ def k2_stored_postings(spark, sf_dir):
 
 @query(f"WITH {DENSE} SELECT id, score FROM dense ORDER BY score DESC, id LIMIT 20")
 def r7_index(spark, sf_dir):
-    """Search by a collection's vector index; tables of fewer rows than the index is for are searched exactly."""
+    """Exact search by the bounds in a collection's vector index; tables of fewer rows than the index is for are scanned."""
     collection = _collection(spark, "vec_id", 1 << 14)
     collection.upsert(scans.read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     VectorIndex.build(collection, "embedding")
-    found = vector_topk(collection, _query_vector(spark, sf_dir), 20, "embedding")
+    found = vector_topk(collection, _query_vector(spark, sf_dir), 20, "embedding", exact=True)
     return _few(spark, collection, found.collect(), found.schema)
 
 
