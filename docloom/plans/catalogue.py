@@ -362,7 +362,9 @@ def _judgments(spark, sf_dir):
         _lit('<p><a id="aCaseCited">Cited</a> <b>'), cust, _lit("</b></p>"), F.when(F.col("o_orderkey") % 3 == 0, '<p class="judgpara">A. Name, J. -</p>').otherwise(""),
         _lit('<p class="judgpara">[1] First &lt;'), key, _lit('&gt;</p><p class="judgspara">(2) Sub '), cust, _lit('</p><p class="judgpara">3. Third</p><p class="judgpara">3. Third</p><p class="judgpara">Judgement Text :</p><p class="judgpara">1.5 percent<script>x</script></p></body></html>'),
     )
-    orders = scans.read_table(spark, sf_dir, "orders")
+    orders = scans.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    # A small file is one partition, but parsing the pages made of its rows is long: the narrow rows are dealt out first.
+    orders = orders.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return parse.parse_cases(orders.select(F.col("o_orderkey").alias("file_name"), F.lit("J").alias("ftype"), F.lit(1).alias("flag"), html.alias("html")))
 
 
