@@ -28,9 +28,17 @@ def decode_entities(value: Column | str) -> Column:
     """HTML character references decoded once, as HTML5 has them; null stays null. A Column expression: references and what lies
     between them are taken apart, looked up and joined again."""
     text = F.col(value) if isinstance(value, str) else value
-    found, between = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), F.split(text, REFERENCE, -1)
-    behind = F.zip_with(F.transform(found, _decoded), F.slice(between, 2, F.size(found)), lambda one, rest: F.concat(one, rest))
-    return F.when(F.contains(text, F.lit("&")), F.concat(F.get(between, F.lit(0)), F.array_join(behind, ""))).otherwise(text)
+    between = F.split(text, REFERENCE, -1)
+
+    def behind(s: Column) -> Column:
+        each = F.transform(s["found"], lambda one: F.get(s["decoded"], (F.array_position(s["names"], one) - 1).cast("int")))
+        return F.zip_with(each, F.slice(between, 2, F.size(s["found"])), lambda one, rest: F.concat(one, rest))
+
+    # Each step is the argument of a function, so it is computed once a text; different references are decoded once.
+    found = F.transform(F.array(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))), lambda f: F.struct(f.alias("found"), F.array_distinct(f).alias("names")))
+    known = F.transform(found, lambda s: F.struct(s["found"].alias("found"), s["names"].alias("names"), F.transform(s["names"], _decoded).alias("decoded")))
+    joined = F.get(F.transform(known, lambda s: F.array_join(behind(s), "")), F.lit(0))
+    return F.when(F.contains(text, F.lit("&")), F.concat(F.get(between, F.lit(0)), joined)).otherwise(text)
 
 
 def _decoded(reference: Column) -> Column:
@@ -97,11 +105,11 @@ def paragraph_number(value: Column | str) -> Column:
     text = _text(value)
     # fixed values: the forms of a number, in the order in which they are tried
     forms = [rf"(?s)^\[(\d{{1,18}})\][{SPACE}]*(.*)$", rf"(?s)^\((\d{{1,18}})\)[{SPACE}]*(.*)$", rf"(?s)^(\d{{1,18}})\.[{SPACE}]*(.*)$"]
-    out = F.struct(F.lit(None).cast("long").alias("para_no"), normalize_inline(text).alias("text"))
+    out = plain = F.struct(F.lit(None).cast("long").alias("para_no"), normalize_inline(text).alias("text"))
     for form in reversed(forms):
         found = F.struct(F.regexp_extract(text, form, 1).try_cast("long").alias("para_no"), normalize_inline(F.regexp_extract(text, form, 2)).alias("text"))
         out = F.when(text.rlike(form), found).otherwise(out)
-    return out
+    return F.when(text.rlike(r"^[\[(]?\d"), out).otherwise(plain)  # most texts begin without a number
 
 
 def words(value: Column | str) -> Column:
