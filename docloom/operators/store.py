@@ -1,8 +1,9 @@
 """Collections of points: Parquet partitioned by ranges (or hashes) of the key, of which a change rewrites only what it touches.
 
-A change is prepared in ``staged/<batch>``: the new rows (computed once), the touched partitions as they will be, and what the
-change adds to the inverted and vector indexes. Once its ``plan.json`` is there, it is published by steps that may be
-repeated: partitions by Spark's dynamic overwrite, additions by a rename, and a line in the ``ledger`` at the end. A
+A change is prepared in ``staged/<batch>``: the new rows (computed once, laid out as they will be stored), the rows that stay of
+partitions where some go, and what the change adds to the inverted and vector indexes. Once its ``plan.json`` is there, it is
+published by steps that may be repeated: the files that the plan names go, the new ones are renamed into the partitions, where
+files of partitions that lose no row stay; additions by a rename, and a line in the ``ledger`` at the end. A
 writer that finds a sealed change of an interrupted one publishes it first; one that isn't sealed never happened. A
 batch that stands in the ledger isn't written again. One writer at a time; a reader that has begun before a change of its
 partitions has to begin anew.
@@ -22,6 +23,10 @@ from docloom.operators.vector_index import VectorIndex
 from docloom.sources.files import Files
 
 PART, AT = "docloom_part", "docloom_at"
+#: Keys are broadcast up to so many, so that the rows they are looked up for needn't be shuffled.
+BROADCAST_KEYS = 4_000_000
+#: A partition with so many files under ``SMALL_BYTES`` is written anew with the next change of it.
+MOST_SMALL, SMALL_BYTES = 32, 8 << 20
 
 
 class Collection:
@@ -147,27 +152,37 @@ class Collection:
             return False
         if not self.exists():
             self.ensure(new.schema)
-        stage = f"{self.path}/staged/{batch}"
+        stage, stored = f"staged/{batch}", self.schema
+        typed = [F.col(f.name).cast(stored[f.name].dataType).alias(f.name) if f.name in stored.names else F.col(f.name) for f in new.schema]
         at = F.monotonically_increasing_id() if order is None else order
-        merge_rows(None, new.withColumn(AT, at), self.key, F.col(AT)).drop(AT).withColumn(PART, self.part(self.key)).write.parquet(f"{stage}/new")
-        fresh = self.spark.read.schema(_with_part(new.schema)).parquet(f"{stage}/new")
-        self._widen(new.schema)
-        parts = {r[0] for r in fresh.select(PART).distinct().collect()}
-        if None in parts:
+        told = new.withColumn(AT, at).select(*typed, AT).withColumn(PART, self.part(self.key))
+        self._write_rows(told.hint("rebalance", PART), f"{stage}/new")  # a partition of many rows is split
+        given = self.spark.read.schema(told.schema).parquet(f"{self.path}/{stage}/new")
+        if not given.groupBy(self.key).count().where("count > 1").isEmpty():
+            self._write_rows(merge_rows(None, given, self.key, F.col(AT)).hint("rebalance", PART), f"{stage}/once")
+            self.files.delete(f"{stage}/new")
+            self.files.rename(f"{stage}/once", f"{stage}/new")
+        self._widen(told.drop(AT, PART).schema)
+        touched = self._parts(f"{stage}/new")
+        if None in touched:
             raise ValueError("rows without a key")
+        fresh = self.spark.read.schema(told.drop(AT).schema).parquet(f"{self.path}/{stage}/new")
         by = replace or self.key
-        if replace:
-            others = self._rows().select(PART, replace).join(fresh.select(replace).distinct(), replace, "left_semi")
-            parts |= {r[0] for r in others.select(PART).distinct().collect()}
-        stored = self._rows(sorted(parts))
-        named = fresh.select(by).distinct()
-        gone = stored.join(named, by, "left_semi")
-        rest = stored.join(named, by, "left_anti")
+        named, keys = (_looked_up(fresh.select(c).distinct()) for c in (by, self.key))
+        old = self._rows() if replace else self._rows(touched)
+        found = old.join(named, by, "left_semi").select(PART)
         if replace:  # a row that has gone over to another case
-            keys = fresh.select(self.key)
-            gone = gone.unionByName(rest.join(keys, self.key, "left_semi"))
-            rest = rest.join(keys, self.key, "left_anti")
-        self._change(batch, parts, fresh.unionByName(rest, allowMissingColumns=True), fresh, gone, count(fresh) if count else {})
+            found = found.union(old.join(keys, self.key, "left_semi").select(PART))
+        parts = {r[0] for r in found.distinct().collect()}
+        parts |= {p for p in touched if sum(n < SMALL_BYTES for n in self.files.sizes(f"rows/{PART}={p}").values()) >= MOST_SMALL}
+        gone = rest = None
+        if parts:
+            old = self._rows(sorted(parts))
+            gone, rest = old.join(named, by, "left_semi"), old.join(named, by, "left_anti")
+            if replace:
+                gone = gone.unionByName(rest.join(keys, self.key, "left_semi"))
+                rest = rest.join(keys, self.key, "left_anti")
+        self._change(batch, parts, rest, fresh, gone, count(fresh) if count else {})
         return True
 
     def delete(self, condition: Column | str, batch: str | None = None) -> bool:
@@ -187,10 +202,10 @@ class Collection:
         batch = self._begin(batch)
         if batch is None:
             return False
-        stage, names = f"{self.path}/staged/{batch}", [c for c in changes.columns if c != self.key]
-        changes.select(F.col(self.key), F.struct(*names).alias("docloom_new"), self.part(self.key).alias(PART)).write.parquet(f"{stage}/new")
+        stage, names = f"{self.path}/staged/{batch}/told", [c for c in changes.columns if c != self.key]
+        changes.select(F.col(self.key), F.struct(*names).alias("docloom_new"), self.part(self.key).alias(PART)).write.parquet(stage)
         self._widen(changes.schema)
-        told = self.spark.read.parquet(f"{stage}/new")
+        told = self.spark.read.parquet(stage)
         parts = {r[0] for r in told.select(PART).distinct().collect()}
         stored = self._rows(sorted(parts))
         joined = stored.join(told.drop(PART), self.key, "left")
@@ -199,7 +214,7 @@ class Collection:
         fresh = gone = None
         if self.text in names:
             fresh, gone = joined.where("docloom_new IS NOT NULL").drop("docloom_new"), stored.join(told.select(self.key), self.key, "left_semi")
-        self._change(batch, parts, joined.drop("docloom_new"), fresh, gone, {})
+        self._change(batch, parts, joined.drop("docloom_new").hint("rebalance", PART), fresh, gone, {})
         return True
 
     def _begin(self, batch: str | None) -> str | None:
@@ -213,22 +228,32 @@ class Collection:
         if added := [f for f in schema.fields if f.name not in old.names]:
             self._set(schema=T.StructType(old.fields + [T.StructField(f.name, f.dataType) for f in added]).jsonValue())
 
-    def _change(self, batch: str, parts: set[int], merged: DataFrame, fresh: DataFrame | None, gone: DataFrame | None, counters: dict) -> None:
-        stage, names = f"{self.path}/staged/{batch}", self.schema.names
-        indexed = [c for c in self.settings["indexes"] if c in names]
+    def _write_rows(self, rows: DataFrame, name: str) -> None:
+        """Rows with their ``PART`` as files of the stored layout."""
+        indexed = [c for c in self.settings["indexes"] if c in rows.columns]
+        out = rows.sortWithinPartitions(PART, *indexed, *(c for c in self.settings["sort_by"] if c in rows.columns))
+        writer = out.write.option("maxRecordsPerFile", 1_000_000)
+        for c in indexed:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        writer.partitionBy(PART).parquet(f"{self.path}/{name}")
+
+    def _parts(self, name: str) -> list[int | None]:
+        """The partitions of a folder of the stored layout; None for that of rows without one."""
+        found = [n.partition("=")[2] for n in self.files.names(name) if n.startswith(f"{PART}=")]
+        return [int(n) if n.lstrip("-").isdigit() else None for n in found]
+
+    def _change(self, batch: str, parts: set[int], rest: DataFrame | None, fresh: DataFrame | None, gone: DataFrame | None, counters: dict) -> None:
+        """``rest``: the rows of ``parts`` as they will be, but for those in ``staged/<batch>/new``."""
+        stage = f"{self.path}/staged/{batch}"
+        old = [f"{PART}={p}/{n}" for p in sorted(parts) for n in self.files.names(f"rows/{PART}={p}")]
         if parts:
-            order = [PART, *indexed, *(c for c in self.settings["sort_by"] if c in names)]
-            missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema if f.name not in merged.columns]
-            out = merged.select("*", *missing).select(*names, PART).hint("rebalance", PART).sortWithinPartitions(*order)  # a partition of many rows is split
-            writer = out.write.option("maxRecordsPerFile", 1_000_000)
-            for c in indexed:
-                writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
-            writer.partitionBy(PART).parquet(f"{stage}/rows")
+            self._write_rows(rest, f"staged/{batch}/rows")
         if self.text and (fresh is not None or gone is not None):
-            postings.write(postings.delta(self.key, self.text, fresh, gone), f"{stage}/postings")
+            size = self.files.size(f"staged/{batch}")
+            postings.delta(self.key, self.text, fresh, gone, size).write.partitionBy("bucket").parquet(f"{stage}/postings")
         if fresh is not None and (lists := VectorIndex.of(self)):
             lists.write(fresh.select(self.key, lists.column), f"{stage}/lists")
-        self.files.write(f"staged/{batch}/plan.json", {"parts": sorted(parts), "counters": counters})
+        self.files.write(f"staged/{batch}/plan.json", {"parts": sorted(parts), "old": old, "counters": counters})
         self._publish(batch)
 
     def recover(self) -> list[str]:
@@ -248,28 +273,31 @@ class Collection:
             self._swap(stage, plan["rebuilt"])
         if "vectors" in plan:
             self.files.write("vectors.json", plan["vectors"])
-        if self.files.exists(f"{stage}/rows"):
-            rows = self.spark.read.schema(_with_part(self.schema)).parquet(f"{self.path}/{stage}/rows")
-            left = {int(n.partition("=")[2]) for n in self.files.names(f"{stage}/rows") if n.startswith(PART)}
-            for part in set(plan["parts"]) - left:  # nothing of it is left
-                for folder in ("rows", *(f"index/{c}" for c in self.settings["indexes"])):
-                    self.files.delete(f"{folder}/{PART}={part}")
-            if left:
-                self._overwrite(rows)
+        if "old" in plan:
+            self._overwrite(stage, plan)
         for name in ("postings", "lists"):
             if self.files.exists(f"{stage}/{name}"):
                 self.files.rename(f"{stage}/{name}", f"{name}/batch={batch}")
         self.files.write(f"ledger/{batch}.json", {"batch": batch, **plan["counters"]})
         self.files.delete(stage)
 
-    def _overwrite(self, rows: DataFrame) -> None:
-        writer = rows.sortWithinPartitions(PART, *(c for c in [*self.settings["indexes"], *self.settings["sort_by"]] if c in rows.columns)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        for c in self.settings["indexes"]:
-            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
-        writer.partitionBy(PART).parquet(f"{self.path}/rows")
+    def _overwrite(self, stage: str, plan: dict) -> None:
+        """The files of ``plan["old"]`` go, the staged ones take their places. What has been done already isn't found again."""
+        for name in plan["old"]:
+            self.files.delete(f"rows/{name}")
+        parts = set(plan["parts"])
+        for folder in (f"{stage}/rows", f"{stage}/new"):
+            for part in self._parts(folder):
+                parts.add(part)
+                for name in self.files.names(f"{folder}/{PART}={part}"):
+                    self.files.rename(f"{folder}/{PART}={part}/{name}", f"rows/{PART}={part}/{name}")
+        empty = {p for p in parts if not self.files.names(f"rows/{PART}={p}")}
+        for part in empty:  # nothing of it is left
+            for folder in ("rows", *(f"index/{c}" for c in self.settings["indexes"])):
+                self.files.delete(f"{folder}/{PART}={part}")
         for c in self.settings["indexes"]:
-            if c in rows.columns:
-                self._write_index(c, rows)
+            if c in self.schema.names and parts - empty:
+                self._write_index(c, self._rows(sorted(parts - empty)))
 
     # ---- the inverted index
 
@@ -300,6 +328,11 @@ class Collection:
             self.files.rename(f"{stage}/rebuilt", f"{name}/batch={stage.rpartition('/')[2]}")
 
 
+def _looked_up(values: DataFrame) -> DataFrame:
+    """Distinct values to look rows up by: broadcast up to ``BROADCAST_KEYS``."""
+    return F.broadcast(values) if values.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else values
+
+
 def _with_part(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(PART, T.LongType())])
 

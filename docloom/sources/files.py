@@ -24,6 +24,16 @@ class Files:
         system, path = self._at(name)
         return sorted(x.getPath().getName() for x in system.listStatus(path)) if system.exists(path) else []
 
+    def sizes(self, name: str) -> dict[str, int]:
+        """Bytes of each file of a folder."""
+        system, path = self._at(name)
+        return {x.getPath().getName(): x.getLen() for x in system.listStatus(path)} if system.exists(path) else {}
+
+    def size(self, name: str) -> int:
+        """Bytes of a folder with all that it holds."""
+        system, path = self._at(name)
+        return system.getContentSummary(path).getLength() if system.exists(path) else 0
+
     def delete(self, name: str) -> None:
         system, path = self._at(name)
         system.delete(path, True)

@@ -108,6 +108,17 @@ def test_interrupted_changes(spark, tmp_path, monkeypatch):
     assert {x["batch"] for x in after.ledger()} == {"a", "b0", "b1", "b2", "b3"}
 
 
+def test_words_are_counted_where_their_texts_are(spark):
+    """A change's texts are shuffled, not their words."""
+    old = spark.createDataFrame([(1, "a a b"), (2, "a c")], "id long, t string")
+    new = spark.createDataFrame([(1, "a b b b"), (3, None)], "id long, t string")
+    found = postings.delta("id", "t", new, old, size=40 << 20)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+    summed = found.groupBy("term", "id").agg(F.sum("tf"), F.sum("dl")).collect()
+    assert sorted(map(tuple, summed), key=str) == sorted([("a", 1, -1, 1), ("b", 1, 2, 1), ("a", 2, -1, -2), ("c", 2, -1, -2), (None, None, 0, -1)], key=str)
+
+
 def same_as_scan(c, queries):
     for q in queries:
         want = [tuple(r) for r in search.bm25_topk(c.read(), q, 50, c.key, c.text).collect()]
