@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.operators import postings, search
-from docloom.operators.store import Collection
+from docloom.operators.store import MOST_SMALL, Collection
 from docloom.operators.vector_index import VectorIndex, vector_topk
 from docloom.plans import jobs
 from docloom.streaming import loads
@@ -108,6 +108,21 @@ def test_interrupted_changes(spark, tmp_path, monkeypatch):
     assert {x["batch"] for x in after.ledger()} == {"a", "b0", "b1", "b2", "b3"}
 
 
+def test_new_rows_leave_stored_files(spark, tmp_path):
+    """Rows of new keys become further files of their partition; only partitions of which a row goes, or of many small files, are written anew."""
+    c = Collection(spark, str(tmp_path), width=100)
+    c.upsert(rows(spark, (1, "a"), (2, "b")))
+    first = files(tmp_path)
+    c.upsert(rows(spark, (3, "c"), (3, "d"), (4, "e")))
+    second = files(tmp_path)
+    assert first.items() < second.items() and stored(c) == [(1, "a"), (2, "b"), (3, "d"), (4, "e")]
+    c.upsert(rows(spark, (4, "f"), (5, "g")))
+    assert not second.keys() & files(tmp_path).keys() and stored(c) == [(1, "a"), (2, "b"), (3, "d"), (4, "f"), (5, "g")]
+    for k in range(6, 8 + MOST_SMALL):
+        c.upsert(rows(spark, (k, "x")))
+    assert len(files(tmp_path)) <= MOST_SMALL and c.read().count() == 7 + MOST_SMALL
+
+
 def test_words_are_counted_where_their_texts_are(spark):
     """A change's texts are shuffled, not their words."""
     old = spark.createDataFrame([(1, "a a b"), (2, "a c")], "id long, t string")
