@@ -3,7 +3,8 @@
 A text is brought to one canonical form (copyright lines out, lower case, equivalent spellings to one,
 all but letters and digits to one space) and named by the form's digest. Whole documents are hash-joined
 to the digests of known licence texts, and whole lines to those of known licence notices. A text that isn't
-known as it stands is tried once more by its body, without a leading title and list markers. No text is
+known as it stands is tried once more by its body, without a leading title and list markers. A text and its lines
+are brought to canonical form together, once, and named by two hashes of the text; the digests are written once. No text is
 compared with another; only digests are joined, and the known side is broadcast only if its count is
 under a bound.
 """
@@ -13,6 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.llm import scratch
+from docloom.llm.line_dedup import _name, _once
+
 BROADCAST_ROWS = 200_000
 COPYRIGHT = r"(?i)(^|\n)[ \t#*/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 TITLE = r"(?i)^\s*[#*=/ \t-]*(the )?((mit|expat|isc|zlib|0bsd|bsd)( licen[cs]e)?|(modified |new |simplified )?bsd licen[cs]e|zlib/libpng licen[cs]e|bsd zero[- ]clause licen[cs]e|zero[- ]clause bsd( licen[cs]e)?|(the )?(bsd [23][- ]clause|[23][- ]clause bsd)( licen[cs]e)?)( *\([^)\n]*\))?[ \t:.*=#-]*\n([ \t]*[=*-]{3,}[ \t]*\n)?"
@@ -91,13 +95,35 @@ NOTICES = {
 }
 
 
+#: A word or phrase of another spelling. The look ahead spares most words the list.
+OTHERWISE = rf"\b(?=[{''.join(sorted({one[0] for one in SPELLINGS}))}])({'|'.join(SPELLINGS)})\b"
+
+
+def _spelled(plain: Column) -> Column:
+    pairs = F.array(*(F.struct(F.lit(rf"\b{one}\b").alias("one"), F.lit(other).alias("other")) for one, other in SPELLINGS.items()))
+    return F.aggregate(pairs, plain, lambda x, pair: F.regexp_replace(x, pair["one"], pair["other"]))
+
+
 def canonical(text: Column) -> Column:
     """The canonical form; empty for a text without a letter or digit."""
     plain = F.trim(F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT, "\n")), OTHER, " "))
-    spelled = plain
-    for one, other in SPELLINGS.items():
-        spelled = F.regexp_replace(spelled, rf"\b{one}\b", other)
-    return F.when(plain.rlike(rf"\b({'|'.join(SPELLINGS)})\b"), spelled).otherwise(plain)
+    return F.when(plain.rlike(OTHERWISE), _spelled(plain)).otherwise(plain)
+
+
+def told(texts: DataFrame) -> DataFrame:
+    """For each ``text``: ``key, more`` (its name), ``digest``, ``body`` (digest) and ``lines`` (distinct digests of its lines), as ``canonical`` gives them."""
+    key, more = _name("text")
+    bare = _once(texts.select(key.alias("key"), more.alias("more"), F.regexp_replace("text", COPYRIGHT, "\n").alias("text")))
+    # Line ends stay here. A copyright line is empty by itself as it is within the text, and no spelling reaches over a line end.
+    kept = _once(bare.select("*", F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}\n]+", " ").alias("kept")))
+    lines = lambda x: F.array_remove(F.transform(F.split(x, "\n"), lambda line: F.trim(line)), "")
+    plain = _once(kept.select("*", lines(F.col("kept")).alias("lines")))
+    plain = _once(plain.select("*", F.array_join("lines", " ").alias("plain")))
+    plain = _once(plain.select("*", F.col("plain").rlike(OTHERWISE).alias("odd")))
+    formed = _once(plain.select("key", "more", "text", F.when(F.col("odd"), lines(_spelled(F.col("kept")))).otherwise(F.col("lines")).alias("lines"), F.when(F.col("odd"), _spelled(F.col("plain"))).otherwise(F.col("plain")).alias("plain")))
+    whole = F.md5("plain")
+    body = F.when(F.col("text").rlike(TITLE) | F.col("text").rlike(MARKER), body_digest(F.col("text"))).otherwise(whole)
+    return formed.select("key", "more", whole.alias("digest"), body.alias("body"), F.array_distinct(F.transform("lines", lambda line: F.md5(line))).alias("lines"))
 
 
 def body_digest(text: Column) -> Column:
@@ -130,17 +156,20 @@ def license_scan(docs: DataFrame, licences: DataFrame, notices: DataFrame, text_
     ``BODIES`` join; ``digest`` stays that of the whole text. Repeated rows stay, also with null ids; an empty table gives an empty one; input
     columns named like the new ones are replaced.
     """
-    docs = docs.drop("digest", "licence", "notices").withColumn("docloom_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    # What a text holds follows from the text alone, so lines are joined by the text's hash and a copy adds no group.
-    lines = docs.select(F.xxhash64("docloom_text").alias("docloom_key"), F.explode(F.split("docloom_text", "\n")).alias("line"))
-    lines = lines.withColumn("digest", digest(F.col("line"))).join(digests(notices), "digest")
-    held = lines.groupBy("docloom_key").agg(F.array_sort(F.collect_set("licence")).alias("notices"))
-    text = F.col("docloom_text")
-    out = docs.withColumn("docloom_key", F.xxhash64(text)).withColumn("digest", digest(text)).withColumn("docloom_body", body_digest(text)).drop("docloom_text")
-    more = docs.sparkSession.createDataFrame(sorted(BODIES.items()), "docloom_body string, known string")
-    bodies = digests(licences, body_digest).toDF("docloom_body", "known").union(more).groupBy("docloom_body").agg(F.min("known").alias("docloom_licence"))
+    docs = docs.drop("digest", "licence", "notices")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    with scratch.scope() as leave:
+        found = leave(scratch.keep(told(docs.select(text.alias("text")))))
+    # What a text holds follows from the text alone, so its lines and its copies meet by its name.
+    lines = found.select("key", "more", F.explode("lines").alias("digest")).join(digests(notices), "digest")
+    held = lines.groupBy("key", "more").agg(F.array_sort(F.collect_set("licence")).alias("docloom_notices"))
+    more = docs.sparkSession.createDataFrame(sorted(BODIES.items()), "body string, known string")
+    bodies = digests(licences, body_digest).toDF("body", "known").union(more).groupBy("body").agg(F.min("known").alias("known"))
     bodies = F.broadcast(bodies) if bodies.count() <= BROADCAST_ROWS else bodies
-    out = out.join(digests(licences), "digest", "left").join(bodies, "docloom_body", "left").join(held, "docloom_key", "left")
-    out = out.withColumn("licence", F.coalesce("licence", "docloom_licence"))
-    new = [F.col("digest"), F.col("licence"), F.coalesce("notices", F.array().cast("array<string>")).alias("notices")]
-    return out.select(*[c for c in docs.columns if c != "docloom_text"], *new)
+    known = found.select("key", "more", "digest", "body").dropDuplicates(["key", "more"])
+    known = known.join(digests(licences), "digest", "left").join(bodies, "body", "left").join(held, ["key", "more"], "left")
+    known = known.select(F.col("key").alias("docloom_key"), F.col("more").alias("docloom_more"), F.col("digest").alias("docloom_digest"), F.coalesce("licence", "known").alias("docloom_licence"), "docloom_notices")
+    key, more = _name(text)
+    out = docs.withColumns({"docloom_key": key, "docloom_more": more}).join(known, ["docloom_key", "docloom_more"], "left")
+    new = [F.col("docloom_digest").alias("digest"), F.col("docloom_licence").alias("licence"), F.coalesce("docloom_notices", F.array().cast("array<string>")).alias("notices")]
+    return out.select(*docs.columns, *new)

@@ -1,3 +1,4 @@
+import hashlib
 import os
 import random
 
@@ -49,6 +50,21 @@ def test_longer_licences(spark):
     assert len(found) == len(LONGER) and all(r.licence == r.name for r in found)
 
 
+def test_a_text_and_its_lines_have_one_form(spark):
+    """The forms made together are those of the text, of its body and of each line by itself; a text is worked through once."""
+    texts = ["Copyright A\ncopyright b\nThe  LICENCE, of\ncc by nc\n\n(c) x", "a cc by\nnc work\nnon-commercial GNU\nGPL gnu gpl", "MIT License\n\n1. Same text\n* Copyright 2020 x\n(a) ΣΟΦΟΣ\nΣ", "", "\n", "é\u00a0É\r\nfavour  favourite\n", "not a copyright line\n# © here\nend"]
+    df = spark.createDataFrame([(x,) for x in texts], "text string")
+    line = L.digest(F.col("line"))
+    each = df.select("text", F.explode(F.split("text", "\n")).alias("line")).groupBy("text").agg(F.collect_set(line).alias("lines"))
+    want = {r.text: r for r in df.select("text", L.digest(F.col("text")).alias("digest"), L.body_digest(F.col("text")).alias("body")).join(each, "text").collect()}
+    keys = {r.key: r.text for r in df.select("text", F.xxhash64("text").alias("key")).collect()}
+    found = L.told(df)
+    none = hashlib.md5(b"").hexdigest()
+    for r in found.collect():
+        w = want[keys[r.key]]
+        assert (r.digest, r.body, set(r.lines)) == (w.digest, w.body, set(w.lines) - {none}), w.text
+
+
 def test_licence_edges(spark):
     known = spark.createDataFrame([("b", "Same  text"), ("a", "same text."), ("c", "  "), (None, None)], "licence string, text string")
     docs = spark.createDataFrame([(None, "SAME TEXT"), (None, "SAME TEXT"), (1, " ")], "doc_id long, text string")
