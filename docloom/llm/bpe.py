@@ -12,21 +12,41 @@ from array import array
 from collections.abc import Callable
 from itertools import filterfalse
 
+import numpy as np
+
 #: Pieces remembered by one Python worker, the first seen. It bounds memory, not results.
 REMEMBERED = 1_000_000
+#: Words encoded as one text.
+TOGETHER = 256
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class PieceCache:
     """``ids(texts)``: each text's ids as unsigned 32-bit integers of the machine's (little-endian) order."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], spaced: set[int] | None = None):
+        """``spaced``: the ids whose bytes begin with a space. With it, words behind a space are encoded many at once."""
         self.encode = encode
+        self.spaced = None if spaced is None else np.isin(np.arange(max(spaced, default=0) + 1), list(spaced))
         self.later: dict[str, bytes] = {"": b""}  # pieces behind a space, without it; "" stands for a text's first piece
         self.odd: dict[str, bytes] = {}  # pieces as they are: first ones, and all of texts with wider white space
 
     def _learn(self, known: dict[str, bytes], new: list[str], before: str) -> None:
-        known.update(zip(new, (array("I", x).tobytes() for x in self.encode([before + w for w in new])), strict=True))
+        if before and self.spaced is not None:
+            for at in range(0, len(new), TOGETHER):
+                self._learn_together(known, new[at : at + TOGETHER])
+        else:
+            known.update(zip(new, (array("I", x).tobytes() for x in self.encode([before + w for w in new])), strict=True))
+
+    def _learn_together(self, known: dict[str, bytes], new: list[str]) -> None:
+        """As a text can be cut at its single spaces, the words' ids are those of the text of all, cut where an id begins with a space."""
+        ids = np.array(self.encode([" " + " ".join(new)])[0], dtype="<u4")
+        starts = np.flatnonzero((ids < len(self.spaced)) & self.spaced[np.minimum(ids, len(self.spaced) - 1)])
+        if len(starts) == len(new) and starts[0] == 0:
+            data, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+            known.update(zip(new, (data[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
+        else:  # a special token took a space
+            known.update(zip(new, (array("I", x).tobytes() for x in self.encode([f" {w}" for w in new])), strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         known, odd = self.later.__contains__, self.odd
@@ -82,7 +102,7 @@ def by_tokenizers(path: str) -> PieceCache:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        _CACHES["tokenizers", path] = PieceCache(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        _CACHES["tokenizers", path] = PieceCache(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], {i for t, i in tokenizer.get_vocab(with_added_tokens=False).items() if t.startswith("Ġ")})
     return _CACHES["tokenizers", path]
 
 

@@ -129,3 +129,14 @@ def test_encoding_keeps_repeated_rows_and_null_ids(spark):
     rows = encoding.encode(docs, RANKS, chunk=20, overlap=8).select("doc_id", F.octet_length("ids").alias("n")).collect()
     assert sorted((r.doc_id is None, r.n) for r in rows)[0] == (False, rows[-1].n) and len(rows) == 3
     assert encoding.encode(docs.limit(0), RANKS).count() == 0
+
+
+def test_words_are_encoded_together():
+    """Words encoded as one text get the ids they have by themselves, also beside a special token, inner line ends and many stops."""
+    cache = bpe.by_tokenizers(VOCABULARY)
+    asked = []
+    both = bpe.PieceCache(lambda texts: asked.append(len(texts)) or cache.encode(texts), set(np.flatnonzero(cache.spaced).tolist()))
+    single = bpe.PieceCache(cache.encode)
+    texts = [" ".join(f"w{k}x" for k in range(3000)), "a <|endoftext|> b<|endoftext|>c \u0120x d", "one\ntwo three\u00a0four 'll x's 12345,6.7 \u6f22\u5b57 \U0001f600\u200d end.", "a  b\t c", "", " x "]
+    assert both.ids(texts) == single.ids(texts) == [np.array(x, dtype="<u4").tobytes() for x in cache.encode(texts)]
+    assert sum(asked) < 100
