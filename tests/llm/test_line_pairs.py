@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from docloom.llm import line_dedup
 from docloom.llm.line_dedup import line_groups
 from tests.llm import helpers
@@ -40,3 +42,32 @@ def test_common_keys_need_few_tables(spark, monkeypatch):
     monkeypatch.setattr(line_dedup.scratch, "keep", lambda df: kept.append(df.columns) or keep(df))
     assert line_groups(lines).count() == 0
     assert len(kept) <= 40
+
+
+def test_keys_of_the_same_lines_are_one(spark, monkeypatch):
+    """Lines that share a passage share many keys. These are kept and paired as one, and a pair under several keys is compared once."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(7))
+    passage = " ".join(word() for _ in range(60))
+    docs = spark.createDataFrame([(i, f"{passage} {word()}") for i in range(40)], "doc_id long, text string")
+    lines = line_dedup.scratch.keep(line_dedup._lines(docs, "doc_id", "text", 1))
+    rows, keep = [], line_dedup.scratch.keep
+
+    def counted(df):
+        out = keep(df)
+        if {"key", "h", "pivot"} <= set(out.columns):
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup.scratch, "keep", counted)
+    groups = line_groups(lines)
+    assert groups.count() == 40 and groups.select("component").distinct().count() == 1
+    assert 0 < sum(rows) <= 40 * 20
+
+
+def test_normalised_lines(spark):
+    """Single spaces stay as they are; all other runs become one space, also at the ends and before line ends."""
+    texts = ["a b", " a  b ", "a, b", "a ,b", "a\tb", "a \n b", "  \n", " \na", "É ß 東 京", "a - b -\n- c", " ", ""]
+    wanted = ["a b", " a b ", "a b", "a b", "a b", "a \n b", " \n", " \na", "é ß 東 京", "a b \n c", " ", ""]
+    found = spark.createDataFrame(list(enumerate(texts)), "i long, text string").select("i", line_dedup.normalised(F.col("text")).alias("x"))
+    assert [r.x for r in found.orderBy("i").collect()] == wanted
