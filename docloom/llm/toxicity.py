@@ -29,6 +29,8 @@ from docloom.llm import scratch
 #: Labelled rows that are learned from, at most (those of the smallest hashes), and words, at most (the most frequent).
 FIT_ROWS, FEATURES = 3_000, 400_000
 NEAREST, BLOCK, FREQUENT, WEAK, TELLING = 25, 32, 16, 0.05, 4.0
+#: Parts of texts whose words a worker remembers, at most: the memory counts once for each worker.
+REMEMBERED = 60_000
 WORDS = re.compile(r"[^\W\d_]+")
 EVIDENCE = "array<struct<id:string,toxic:int,cosine:double>>"
 
@@ -63,7 +65,7 @@ class Model:
         for part, n in Counter((text or "").lower().split()).items():  # white space is in no word, so parts can be remembered
             if (found := memo.get(part)) is None:
                 found = tuple(self.idf[word] for word in WORDS.findall(part) if word in self.idf)
-                if len(memo) < 300_000:
+                if len(memo) < REMEMBERED:
                     memo[part] = found
             for x in found:
                 counts[x] = counts.get(x, 0) + n

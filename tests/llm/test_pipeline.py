@@ -1,10 +1,11 @@
 import os
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from docloom.llm import queries
+from docloom.llm import queries, scratch, toxicity
 
 from . import helpers
 from .test_pack_bpe import check_packing, ids_by_tokenizers
@@ -36,6 +37,23 @@ def test_stages_in_turn(spark, tmp_path):
     check_packing(packed, {r.doc_id: ids_by_tokenizers(r.text or "") + [1] for r in kept.collect()}, 2048)
 
 
+def test_toxicity_sends_few_rows_at_once(spark, tmp_path, monkeypatch):
+    docs, labels = labelled(spark, 1500)
+    docs = docs.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "length(text) AS n_chars").union(spark.createDataFrame([(9000, None, "en", "s", None), (9001, "", "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars int"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    wanted = {r.doc_id for r in toxicity.score(docs, toxicity.fit(docs, labels)).where("predicted = 0").collect()}
+    sent = []
+    keep = scratch.keep
+    monkeypatch.setattr(scratch, "keep", lambda df, batch_rows=None: (sent.append(batch_rows), keep(df, batch_rows))[1])
+    before = spark.conf.get(scratch.BATCH_ROWS)
+    kept = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).collect()}
+    assert kept == wanted and {9000, 9001} <= kept and 0 < len(kept) < docs.count()
+    assert 512 in sent and spark.conf.get(scratch.BATCH_ROWS) == before
+    texts = docs.select("text").coalesce(1)
+    sizes = keep(texts.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [len(b)]}) for b in batches), "n long"), batch_rows=512).collect()
+    assert max(r.n for r in sizes) <= 512
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_give_what_their_sql_gives(spark, name):
