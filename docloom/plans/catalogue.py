@@ -349,8 +349,8 @@ def h5_links(spark, sf_dir):
 JUDGES = "Hon'ble Judges"
 
 
-def _judgments(spark, sf_dir):
-    """Judgment pages written from the columns of orders: some without a title or court, with a lead line, double paragraphs, acts with or without links."""
+def _judgments(spark, sf_dir, *wanted):
+    """The ``wanted`` columns, or all, of judgment pages written from the columns of orders: some without a title or court, with a lead line, double paragraphs, acts with or without links."""
     key, cust = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
     some = lambda n, *parts: F.when(F.col("o_orderkey") % n != 0, F.concat(*map(_lit, parts))).otherwise("")
     html = F.concat(
@@ -365,7 +365,7 @@ def _judgments(spark, sf_dir):
     orders = scans.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
     # A small file is one partition, but parsing the pages made of its rows is long: the narrow rows are dealt out first.
     orders = orders.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    return parse.parse_cases(orders.select(F.col("o_orderkey").alias("file_name"), F.lit("J").alias("ftype"), F.lit(1).alias("flag"), html.alias("html")))
+    return parse.parse_cases(orders.select(F.col("o_orderkey").alias("file_name"), F.lit("J").alias("ftype"), F.lit(1).alias("flag"), html.alias("html")), wanted=wanted or parse.RESULT)
 
 
 def _lit(value):
@@ -376,7 +376,7 @@ def _lit(value):
        strftime(o_orderdate, '%d %B %Y') AS date_of_decision, o_orderkey || ' SCC' || o_custkey AS citation, 'Appeal' AS case_type, o_orderkey || '/' || o_custkey AS case_no, 'Tax ' || o_custkey AS subject, 'Allowed' AS final_decision,
        CAST(o_custkey AS DOUBLE) AS cited FROM orders""")
 def h3_judgment_metadata(spark, sf_dir):
-    return _judgments(spark, sf_dir).select("case_id", "title", "court", "date_of_decision", "citation", "case_type", "case_no", "subject", "final_decision", "cited")
+    return _judgments(spark, sf_dir, "case_id", "title", "court", "date_of_decision", "citation", "case_type", "case_no", "subject", "final_decision", "cited")
 
 
 @query("""SELECT o_orderkey AS case_id, 'A. ' || o_custkey || '|B. Roe' AS judges, 'X ' || o_orderkey || '|Y 2' AS equivalent_citations, '' AS advocates,
@@ -390,14 +390,14 @@ def h4_judgment_lists(spark, sf_dir):
        CASE WHEN i = 1 THEN 'judgspara' ELSE 'judgpara' END AS source_class, CASE WHEN i = 1 THEN 'subpoint' ELSE 'main' END AS role
 FROM (SELECT *, unnest(range(4)) AS i FROM orders)""")
 def h9_judgment_paragraphs(spark, sf_dir):
-    found = _judgments(spark, sf_dir).select("case_id", F.posexplode("paragraphs").alias("place", "p"))
+    found = _judgments(spark, sf_dir, "case_id", "paragraphs").select("case_id", F.posexplode("paragraphs").alias("place", "p"))
     return found.select("case_id", F.col("place").cast("long"), F.col("p.para_no").cast("int").alias("para_no"), "p.text", "p.source_class", "p.role")
 
 
 @query("""SELECT o_orderkey AS case_id, md5('[1] ' || CASE WHEN o_orderkey % 3 = 0 THEN 'A. Name, J. - ' ELSE '' END || 'First <' || o_orderkey || '>' || chr(10) || chr(10) || '[2] Sub ' || o_custkey || chr(10) || chr(10) || '[3] Third' || chr(10) || chr(10) || '[1] 5 percent') AS full_text_md5,
        concat_ws(', ', CASE WHEN o_orderkey % 5 = 0 THEN 'no title found' END, CASE WHEN o_orderkey % 4 = 0 THEN 'no court found' END) AS warnings FROM orders""")
 def h16_judgment_text(spark, sf_dir):
-    return _judgments(spark, sf_dir).select("case_id", F.md5("full_text").alias("full_text_md5"), F.array_join("warnings", ", ").alias("warnings"))
+    return _judgments(spark, sf_dir, "case_id", "full_text", "warnings").select("case_id", F.md5("full_text").alias("full_text_md5"), F.array_join("warnings", ", ").alias("warnings"))
 
 
 @query("""SELECT o_orderkey * 100000 AS id, o_orderkey || '_0' AS chunk_id, 1 AS paragraph_start, 4 AS paragraph_end, o_orderkey AS case_id, 'J' AS ftype, '[1] 5 percent' AS last_line,

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.operators import chunk as C
-from docloom.operators.parse import JUDGMENT, parse_cases
+from docloom.operators.html import Selector, _Reader
+from docloom.operators.parse import JUDGMENT, parse_cases, selectors
 
 FULL = """<html><style>.x{}</style><p class="judgtitle">A <b>v</b>.<br>B&amp;C</p><div class="highcourt">High Court</div><p class=judgdate>Date of Decision : 1 March 2000
 <p class="citations">Citation: X<br>Y</p><p class="judges">Hon'ble Judges : A, B,, C</p><p class="apptype">Case Type: Civil</p><p class="appealno">Case No: 5</p>
@@ -70,3 +71,34 @@ def test_chunk_numbers_and_roles(spark):
     assert (found.text, found.has_subpoints, found.source_paragraph_types) == ("[4] a b\n\nc", True, ["main", "subpoint"])
     assert C.totals(C.chunk(row)).first().asDict() == {"cases": 1, "chunks": 1}
     assert C.large_cases(C.chunk(row), over=0).select(F.col("chunks")).first().chunks == 1
+
+
+def test_pages_of_one_template_are_parsed_once(monkeypatch):
+    wanted = [*selectors(JUDGMENT).values(), Selector("h1", "tags"), Selector("p", "space", 1)]
+    texts = ["", " ", "a", "x &amp; y", "&amp;lt;", "a > b", "one\n two", "﻿", "&", "&am", "&copy 1", '"', "'", "a < b", "&#65;", "-->", "&amp;0"]
+    layouts = [
+        '{}<h1>{}</h1><p class="judgtitle FD">{}<br/>{}<b>{}</b><p class="judgpara">{}<script>{}</script>{}</p>{}',
+        '{}<div class="acts">{}<a>{}</a>{}</div><p><a id="aCaseCited">{}</a><b>{}</b></p><ul><li>{}<li>{}</ul>{}',
+        "{}<p class='judgpara'>{}<!-- {} -->{}<p title=\"1 > 2\" class=\"fd\">{}</p ><style>{}</p>{}</style>{}<b{}",
+    ]
+    rnd = random.Random(3)
+    pages = [rnd.choice(layouts).format(*rnd.choices(texts, k=9)) for _ in range(600)]
+    for open_references in (True, False):
+        found = _Reader(wanted, open_references)
+        assert [found(page) for page in pages] == [_Reader(wanted, open_references)(page) for page in pages]  # a new one parses each
+    calls = []
+    parsed_alone = _Reader.parsed
+    monkeypatch.setattr(_Reader, "parsed", lambda self, page: (calls.append(page), parsed_alone(self, page))[1])
+    read = _Reader(wanted, True)
+    for i in range(300):
+        assert read(layouts[0].format(*(f"{i} {k}" for k in range(9))))[-2] == [(f"{i} 1", "")]
+    assert len(calls) == 2  # the first page, and its tags when they came again
+
+
+def test_only_what_wanted_columns_are_made_of_is_looked_for(spark):
+    assert set(selectors(JUDGMENT, ["case_id", "judges", "subject"])) == {"docloom_judges", "docloom_block"}
+    assert set(selectors(JUDGMENT)) >= {"docloom_title", "docloom_paragraphs", "docloom_acts", "docloom_cited"}
+    raw = spark.createDataFrame([(1, "t", FULL, 0), (2, "t", None, 0), (3, "t", "<p>nothing", 0)], "file_name long, ftype string, html string, flag int")
+    whole = parse_cases(raw).orderBy("case_id")
+    for wanted in (["case_id", "title", "cited", "subject"], ["judges", "acts_referred", "case_id"], ["warnings", "case_id"], ["full_text", "flag", "case_id"]):
+        assert parse_cases(raw, wanted=wanted).orderBy("case_id").collect() == whole.select(*wanted).collect()
