@@ -382,7 +382,8 @@ def h3_judgment_metadata(spark, sf_dir):
 @query("""SELECT o_orderkey AS case_id, 'A. ' || o_custkey || '|B. Roe' AS judges, 'X ' || o_orderkey || '|Y 2' AS equivalent_citations, '' AS advocates,
        CASE WHEN o_orderkey % 2 = 0 THEN 'Act ' || o_custkey || '|Act Z' ELSE 'A ' || o_custkey || '|B|C|D' END AS acts_referred FROM orders""")
 def h4_judgment_lists(spark, sf_dir):
-    return _judgments(spark, sf_dir).select("case_id", *(F.array_join(c, "|").alias(c) for c in ("judges", "equivalent_citations", "advocates", "acts_referred")))
+    lists = ("judges", "equivalent_citations", "advocates", "acts_referred")
+    return _judgments(spark, sf_dir, "case_id", *lists).select("case_id", *(F.array_join(c, "|").alias(c) for c in lists))
 
 
 @query("""SELECT o_orderkey AS case_id, i AS place, CASE i WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 1 END AS para_no,
