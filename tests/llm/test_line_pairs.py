@@ -71,3 +71,33 @@ def test_normalised_lines(spark):
     wanted = ["a b", " a b ", "a b", "a b", "a b", "a \n b", " \n", " \na", "é ß 東 京", "a b \n c", " ", ""]
     found = spark.createDataFrame(list(enumerate(texts)), "i long, text string").select("i", line_dedup.normalised(F.col("text")).alias("x"))
     assert [r.x for r in found.orderBy("i").collect()] == wanted
+
+
+def test_counts_of_characters_rule_out_pairs_before_they_are_made(spark, monkeypatch):
+    """No pair of similar lines goes by its counts; of lines that share a passage only, few are paired."""
+    rng = random.Random(5)
+    made = lambda n, of: "".join(rng.choice(of) for _ in range(n)).strip() or "x"
+    lines, wanted = [], []
+    for n in (5, 30, 60, 200, 500, 1200):
+        for of in ("abcdefgh ", "abcdefghijklmnopqrstuvwxyz 0", "eeeeeeet ", "東京äö zé", "zzz", "019 "):
+            a = made(n, of)
+            for b in (changed(rng, a, n // 10), a[n // 10 :] + "q" * rng.randrange(3), a + "e" * (n // 12), made(n, of), made(n, "xyz ")):
+                lines.append((len(lines), a, b))
+    rows = spark.createDataFrame(lines, "i long, a string, b string")
+    both = [rows.select("i", F.length(k).alias("n"), *line_dedup._counts(F.col(k))).alias(s) for k, s in (("a", "p"), ("b", "q"))]
+    most = F.lit(100_000)
+    assert both[0].join(both[1], F.col("p.i") == F.col("q.i")).where(line_dedup._counts_near("p", "q", most)).count() == len(lines)
+    for i, a, b in lines:
+        exact = lambda x, y: sum(max(0, min(127, x.count(c)) - min(127, y.count(c))) for some in line_dedup.COUNTED for c in some)
+        wanted.append((i, max(exact(a, b), exact(b, a))))
+    least = spark.createDataFrame(wanted, "i long, least long")
+    joined = both[0].join(both[1], F.col("p.i") == F.col("q.i")).join(least.alias("r"), F.col("r.i") == F.col("p.i"))
+    assert joined.where(line_dedup._counts_near("p", "q", F.col("least"))).count() == len(lines)
+    assert joined.where(line_dedup._counts_near("p", "q", F.col("least") - 1)).count() == 0
+
+    passage = made(40, "abcdefghijklmnopqrstuvwxyz")
+    docs = spark.createDataFrame([(i, f"{passage} {made(120, letters)}") for i, letters in enumerate(rng.sample("bcdfghjklmnpqrstvwxz", 8) for _ in range(40))], "doc_id long, text string")
+    compared, verified = [], line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, *rest: compared.append(pairs.count()) or verified(pairs, *rest))
+    assert line_groups(line_dedup.scratch.keep(line_dedup._lines(docs, "doc_id", "text", 1))).count() == 0
+    assert sum(compared[1:]) < 100  # of 741 pairs without the pivot
